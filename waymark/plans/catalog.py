@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators import fleet, gold, geometry, reports, silver as silver_ops
+from waymark.functions import telemetry
+from waymark.operators import eta, fleet, gold, geometry, reports, silver as silver_ops
 from waymark.plans.lake import Lake, as_ntz
 from waymark.sources import envelope
 
@@ -211,3 +212,143 @@ def _fleet_kpis(lk: Lake) -> DataFrame:
 @query("exception_feed")
 def _exception_feed(lk: Lake) -> DataFrame:
     return fleet.exception_feed(lk.status_events, lk.exceptions, settings=lk.settings)
+
+
+# ------------------------------------------------------------------ ETA
+
+@query("training_set")
+def _training_set(lk: Lake) -> DataFrame:
+    return lk.training
+
+
+@query("label_summary")
+def _label_summary(lk: Lake) -> DataFrame:
+    return eta.label_summary(lk.training)
+
+
+@query("eta_features")
+def _eta_features(lk: Lake) -> DataFrame:
+    return lk.features
+
+
+@query("eta_for_shipment")
+def _eta_for_shipment(lk: Lake) -> DataFrame:
+    """ETA of every shipment from its latest ping (fallback estimator)."""
+    s = eta.score(lk.features.drop("event_time"), None, lk.settings)
+    return s.select("shipment_id", "predicted_eta_min", "method", "progress_pct")
+
+
+@query("fallback_eta")
+def _fallback_eta(lk: Lake) -> DataFrame:
+    t = lk.training
+    return t.select("shipment_id", "seq", telemetry.fallback_eta_min(
+        "dist_remaining_km", "avg_speed_kmh", lk.settings).alias("eta_min"))
+
+
+@query("score_requests")
+def _score_requests(lk: Lake) -> DataFrame:
+    return lk.scored_requests().select(
+        "request_id", "route_id", "hour", "dow", "dist_remaining_km", "speed_kmh",
+        "avg_speed_kmh", "is_stopped", "predicted_eta_min", "method")
+
+
+@query("score_rejects")
+def _score_rejects(lk: Lake) -> DataFrame:
+    return eta.reject_requests(lk.requests())
+
+
+@query("regression_metrics")
+def _regression_metrics(lk: Lake) -> DataFrame:
+    """Fallback estimator against the trip labels."""
+    t = lk.training.withColumn("pred", telemetry.fallback_eta_min(
+        "dist_remaining_km", "avg_speed_kmh", lk.settings))
+    return eta.regression_metrics(t, "pred")
+
+
+@query("promotion_gate")
+def _promotion_gate(lk: Lake) -> DataFrame:
+    """Champion = fallback on the trailing mean speed, challenger = fallback on
+    the current speed; both on the held-out trips."""
+    t = lk.training.where(eta.holdout_flag("shipment_id"))
+    t = (t.withColumn("champion", telemetry.fallback_eta_min("dist_remaining_km", "avg_speed_kmh",
+                                                             lk.settings))
+          .withColumn("challenger", telemetry.fallback_eta_min("dist_remaining_km", "speed_kmh",
+                                                               lk.settings)))
+    return eta.promotion_gate(t, "champion", "challenger", settings=lk.settings)
+
+
+@query("eta_model_metrics")
+def _eta_model_metrics(lk: Lake) -> DataFrame:
+    """Gradient-boosted trees fitted on 80 % of the trips, scored on the rest."""
+    from waymark.operators import model as mdl
+    _, m = mdl.train_and_evaluate(lk.training)
+    return m
+
+
+@query("feature_importance")
+def _feature_importance(lk: Lake) -> DataFrame:
+    from waymark.operators import model as mdl
+    train, test = mdl.split(lk.training)
+    return mdl.permutation_importance(mdl.fit(train), test)
+
+
+# ------------------------------------------------------------------ drift
+
+def _traffic(lk: Lake):
+    from waymark.operators import drift
+    ref = lk.training
+    cuts = drift.cut_points(ref, settings=lk.settings)
+    return drift, ref, cuts
+
+
+@query("psi_cuts")
+def _psi_cuts(lk: Lake) -> DataFrame:
+    drift, ref, cuts = _traffic(lk)
+    pe = F.posexplode("cuts").alias("cut", "value")
+    out = cuts.select("feature", pe)
+    return out.select("feature", F.col("cut").cast("int").alias("cut"),
+                      F.when(F.abs("value") == F.lit(float("inf")), F.col("value"))
+                       .otherwise(F.round("value", 6)).alias("value"))
+
+
+@query("psi_histogram")
+def _psi_histogram(lk: Lake) -> DataFrame:
+    drift, ref, cuts = _traffic(lk)
+    return drift.histogram(ref, lk.scored_requests(), settings=lk.settings, cuts=cuts)
+
+
+def _psi_all(lk: Lake) -> DataFrame:
+    drift, ref, cuts = _traffic(lk)
+    parts = []
+    for name, shifted in (("live", False), ("shifted", True)):
+        h = drift.histogram(ref, lk.scored_requests(shifted), settings=lk.settings, cuts=cuts)
+        parts.append(drift.psi(h).withColumn("traffic", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
+@query("psi")
+def _psi(lk: Lake) -> DataFrame:
+    from waymark.operators import drift
+    p = _psi_all(lk)
+    return p.select("traffic", "feature", F.round("psi", 6).alias("psi"),
+                    drift.classify(F.col("psi"), lk.settings).alias("status"))
+
+
+@query("drift_report")
+def _drift_report(lk: Lake) -> DataFrame:
+    from waymark.operators import drift
+    r = drift.report(_psi_all(lk), lk.settings, by=["traffic"])
+    return r.select("traffic", F.round("max_psi", 6).alias("max_psi"), "alert",
+                    "features_checked", "recommendation")
+
+
+@query("method_mix")
+def _method_mix(lk: Lake) -> DataFrame:
+    """Scores the requests, appends them to the JSON-lines prediction log in
+    the shared checkpoint folder, reads the log back and counts by method."""
+    from waymark.session import scratch_path
+    from waymark.sources import tables
+    path = scratch_path(lk.spark, "prediction-log")
+    tables.append_predictions(lk.scored_requests(), path)
+    log = tables.read_predictions(lk.spark, path)
+    return log.groupBy("method").agg(F.count(F.lit(1)).alias("predictions"))

@@ -107,3 +107,23 @@ class Lake:
     @cached_property
     def board(self) -> DataFrame:
         return fleet.board(self.status, self.settings)
+
+    # ------------------------------------------------------------ ETA
+    @cached_property
+    def training(self) -> DataFrame:
+        from waymark.operators import eta
+        return eta.training_set(self.silver, self.settings)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        from waymark.operators import eta
+        return eta.shipment_features(self.silver, self.settings)
+
+    def requests(self, shifted: bool = False) -> DataFrame:
+        from waymark.operators import eta
+        return eta.requests_from_pings(self.silver, shifted)
+
+    def scored_requests(self, shifted: bool = False, model=None) -> DataFrame:
+        from waymark.operators import eta
+        return eta.score(eta.request_features(self.requests(shifted), self.settings), model,
+                         self.settings)

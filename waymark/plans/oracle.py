@@ -16,7 +16,8 @@ ORACLE: dict[str, str] = {}
 
 
 def dround(expr: str, n: int) -> str:
-    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,12)), {n}) AS DOUBLE)"
+    """Spark's round on a double: HALF_UP applied to the shortest decimal text."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,17)), {n}) AS DOUBLE)"
 
 
 def _partition(key: str) -> str:
@@ -183,3 +184,167 @@ ORACLE["exception_feed"] = with_ctes(PINGS_CTES, SILVER_CTES, GOLD_CTES, body=(
     "SELECT * FROM (SELECT shipment_id, event_type, detail AS info, event_time AS ts FROM gstatus "
     "UNION ALL SELECT shipment_id, event_type, at_facility AS info, window_end AS ts FROM gexc) u "
     "ORDER BY ts DESC, shipment_id, event_type, info NULLS FIRST LIMIT 25"))
+
+# ------------------------------------------------------------------ ETA
+_REMAIN = "CASE WHEN total_km - dist_km IS NULL THEN NULL ELSE greatest(0e0, total_km - dist_km) END"
+_HOUR = "CAST(hour({t}) AS INTEGER)"
+_DOW = "CAST(isodow({t})-1 AS INTEGER)"
+
+
+def _fallback(dist: str, avg: str) -> str:
+    return dround(f"{dist} / (CASE WHEN {avg} > 5.0e0 THEN {avg} ELSE 25.0e0 END) * 60.0e0", 1)
+
+
+def _md5_unit(text: str) -> str:
+    return f"((('0x'||substr(md5({text}),1,8))::BIGINT) / 4294967296e0)"
+
+
+_TRAIN = ",\n".join([
+    "tra AS (SELECT * FROM (SELECT shipment_id, min(event_time) FILTER (WHERE dist_km >= total_km) "
+    "AS arrival_time FROM silver GROUP BY shipment_id) z WHERE arrival_time IS NOT NULL)",
+    "trw AS (SELECT s.*, avg(speed_kmh) OVER (PARTITION BY shipment_id ORDER BY event_time, seq "
+    "ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS avg5 FROM silver s)",
+    "training AS (SELECT t.shipment_id, t.seq, t.route_id, " + _HOUR.format(t="t.event_time")
+    + " AS hour, " + _DOW.format(t="t.event_time") + " AS dow, "
+    + dround(_REMAIN, 3) + " AS dist_remaining_km, progress_pct, speed_kmh, "
+    + dround("avg5", 1) + " AS avg_speed_kmh, coalesce(dist_to_route_km, 0e0) AS dist_to_route_km, "
+    "CAST(speed_kmh < 3.0e0 AS INTEGER) AS is_stopped, "
+    + dround("(epoch(a.arrival_time) - epoch(t.event_time)) / 60.0e0", 2) + " AS minutes_to_arrival "
+    "FROM trw t JOIN tra a ON a.shipment_id = t.shipment_id WHERE t.event_time <= a.arrival_time)",
+    "feat AS (SELECT l.shipment_id, route_id, " + _HOUR.format(t="event_time") + " AS hour, "
+    + _DOW.format(t="event_time") + " AS dow, " + _REMAIN + " AS dist_remaining_km, progress_pct, "
+    "speed_kmh, av.avg5 AS avg_speed_kmh, coalesce(dist_to_route_km, 0e0) AS dist_to_route_km, "
+    "CAST(speed_kmh < 3.0e0 AS INTEGER) AS is_stopped, event_time FROM (SELECT * FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY shipment_id ORDER BY event_time DESC, seq DESC) rn FROM silver) "
+    "z WHERE rn = 1) l LEFT JOIN (SELECT shipment_id, avg5 FROM (SELECT shipment_id, avg5, "
+    "row_number() OVER (PARTITION BY shipment_id ORDER BY event_time DESC, seq DESC) rn FROM trw) "
+    "z WHERE rn = 1) av ON av.shipment_id = l.shipment_id)",
+])
+
+
+def _requests(name: str, shifted: bool) -> str:
+    rid = "concat_ws('#', shipment_id, CAST(seq AS VARCHAR))"
+    dist, speed = _REMAIN, "speed_kmh"
+    if shifted:
+        dist = f"({dist}) * (0.1e0 + 0.2e0 * {_md5_unit(f'concat_ws(chr(35), {rid}, chr(100)||chr(105)||chr(115)||chr(116))')})"
+        speed = f"speed_kmh * (0.3e0 + 0.2e0 * {_md5_unit(f'concat_ws(chr(35), {rid}, chr(115)||chr(112)||chr(101)||chr(101)||chr(100))')})"
+    rq = (f"{name}0 AS (SELECT {rid} AS request_id, route_id, {dround(dist, 2)} AS dist_remaining_km, "
+          f"progress_pct, {dround(speed, 1)} AS speed_kmh, NULL::DOUBLE AS avg_speed_kmh, "
+          f"0e0 AS dist_to_route_km, NULL::INTEGER AS hour, NULL::INTEGER AS dow, event_time AS as_of "
+          "FROM silver)")
+    rf = (f"{name} AS (SELECT request_id, route_id, coalesce(hour, {_HOUR.format(t='as_of')}) AS hour, "
+          f"coalesce(dow, {_DOW.format(t='as_of')}) AS dow, dist_remaining_km, "
+          "coalesce(progress_pct, 0e0) AS progress_pct, coalesce(speed_kmh, 0e0) AS speed_kmh, "
+          "coalesce(avg_speed_kmh, coalesce(speed_kmh, 0e0)) AS avg_speed_kmh, "
+          "coalesce(dist_to_route_km, 0e0) AS dist_to_route_km, "
+          "CAST(coalesce(speed_kmh, 0e0) < 3.0e0 AS INTEGER) AS is_stopped, "
+          + _fallback("dist_remaining_km", "coalesce(avg_speed_kmh, coalesce(speed_kmh, 0e0))")
+          + f" AS predicted_eta_min, 'fallback' AS method FROM {name}0 WHERE route_id IS NOT NULL "
+          "AND dist_remaining_km IS NOT NULL AND dist_remaining_km >= 0)")
+    return rq + ",\n" + rf
+
+
+def eta_sql(body: str) -> str:
+    return with_ctes(PINGS_CTES, SILVER_CTES, _TRAIN, _requests("rq", False),
+                     _requests("rqs", True), body=body)
+
+
+ORACLE["training_set"] = eta_sql("SELECT * FROM training")
+ORACLE["label_summary"] = eta_sql(
+    "SELECT count(*) AS rows, count(DISTINCT route_id) AS routes, min(minutes_to_arrival) AS label_min, "
+    + dround("avg(minutes_to_arrival)", 6) + " AS label_mean, max(minutes_to_arrival) AS label_max "
+    "FROM training")
+ORACLE["eta_features"] = eta_sql("SELECT * FROM feat")
+ORACLE["eta_for_shipment"] = eta_sql(
+    "SELECT shipment_id, " + _fallback("dist_remaining_km", "avg_speed_kmh")
+    + " AS predicted_eta_min, 'fallback' AS method, progress_pct FROM feat")
+ORACLE["fallback_eta"] = eta_sql(
+    "SELECT shipment_id, seq, " + _fallback("dist_remaining_km", "avg_speed_kmh") + " AS eta_min "
+    "FROM training")
+ORACLE["score_requests"] = eta_sql(
+    "SELECT request_id, route_id, hour, dow, dist_remaining_km, speed_kmh, avg_speed_kmh, "
+    "is_stopped, predicted_eta_min, method FROM rq")
+ORACLE["score_rejects"] = eta_sql(
+    "SELECT request_id, route_id, dist_remaining_km, CASE WHEN route_id IS NULL THEN "
+    "'route_id missing' WHEN dist_remaining_km IS NULL THEN 'dist_remaining_km missing' ELSE "
+    "'dist_remaining_km must be >= 0' END AS reason FROM rq0 WHERE NOT coalesce(route_id IS NOT NULL "
+    "AND dist_remaining_km IS NOT NULL AND dist_remaining_km >= 0, false)")
+
+
+def _metrics(pred: str, src: str) -> str:
+    err = f"({pred} - minutes_to_arrival)"
+    return ("SELECT count(*) AS n, " + dround(f"avg(abs({err}))", 6) + " AS mae, "
+            + dround(f"sqrt(avg({err}*{err}))", 6) + " AS rmse, "
+            + dround(f"1.0e0 - sum({err}*{err}) / (sum(minutes_to_arrival*minutes_to_arrival) "
+                     f"- pow(sum(minutes_to_arrival), 2) / count(*))", 6)
+            + f" AS r2 FROM {src} WHERE {pred} IS NOT NULL AND minutes_to_arrival IS NOT NULL")
+
+
+ORACLE["regression_metrics"] = eta_sql(_metrics(
+    "pred", "(SELECT *, " + _fallback("dist_remaining_km", "avg_speed_kmh") + " AS pred FROM training) z"))
+ORACLE["promotion_gate"] = eta_sql(
+    "SELECT n_holdout, " + dround("champion_mae", 6) + " AS champion_mae, "
+    + dround("challenger_mae", 6) + " AS challenger_mae, coalesce(champion_mae IS NULL OR "
+    "challenger_mae < champion_mae * 0.99e0, false) AS promote FROM (SELECT count(*) AS n_holdout, "
+    "avg(abs(champion - minutes_to_arrival)) AS champion_mae, "
+    "avg(abs(challenger - minutes_to_arrival)) AS challenger_mae FROM (SELECT *, "
+    + _fallback("dist_remaining_km", "avg_speed_kmh") + " AS champion, "
+    + _fallback("dist_remaining_km", "speed_kmh") + " AS challenger FROM training "
+    "WHERE (('0x'||substr(md5(shipment_id),1,8))::BIGINT % 100) < 20) h) g")
+
+# ------------------------------------------------------------------ drift
+_PROBS = "[" + ", ".join(f"{i / 10!r}e0" if False else repr(i / 10) for i in range(11)) + "]"
+
+
+def _long(src: str, name: str) -> str:
+    return (f"{name} AS (SELECT * FROM (SELECT 'dist_remaining_km' AS feature, "
+            f"CAST(dist_remaining_km AS DOUBLE) AS value FROM {src} UNION ALL SELECT 'speed_kmh', "
+            f"CAST(speed_kmh AS DOUBLE) FROM {src}) z WHERE value IS NOT NULL AND NOT isnan(value))")
+
+
+def _hist(name: str, live_long: str) -> str:
+    cnt = ("SELECT l.feature, len(list_filter(c.cuts[2:10], lambda x: x <= l.value)) AS bin, count(*) AS n "
+           "FROM {src} l JOIN cuts c ON c.feature = l.feature GROUP BY 1, 2")
+    return (f"{name}0 AS (SELECT g.feature, g.bin, coalesce(r.n, 0) AS ref_count, "
+            f"coalesce(v.n, 0) AS live_count FROM grid g LEFT JOIN ({cnt.format(src='reflong')}) r "
+            f"ON r.feature = g.feature AND r.bin = g.bin LEFT JOIN ({cnt.format(src=live_long)}) v "
+            f"ON v.feature = g.feature AND v.bin = g.bin), "
+            f"{name} AS (SELECT feature, bin, ref_count, live_count, "
+            f"greatest(ref_count / sum(ref_count) OVER (PARTITION BY feature), 1e-4) AS ref_share, "
+            f"greatest(live_count / sum(live_count) OVER (PARTITION BY feature), 1e-4) AS live_share "
+            f"FROM {name}0)")
+
+
+_DRIFT = ",\n".join([
+    _long("training", "reflong"), _long("rq", "livelong"), _long("rqs", "shiftlong"),
+    "cuts AS (SELECT feature, list_concat(['-inf'::DOUBLE], q[2:10], ['inf'::DOUBLE]) AS cuts FROM "
+    f"(SELECT feature, quantile_cont(value, {_PROBS}) AS q FROM reflong GROUP BY feature) z)",
+    "grid AS (SELECT feature, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM cuts)",
+    _hist("hlive", "livelong"), _hist("hshift", "shiftlong"),
+    "psis AS (SELECT 'live' AS traffic, feature, sum((live_share - ref_share) * ln(live_share / "
+    "ref_share)) AS psi FROM hlive GROUP BY feature UNION ALL SELECT 'shifted', feature, "
+    "sum((live_share - ref_share) * ln(live_share / ref_share)) FROM hshift GROUP BY feature)",
+])
+
+
+def drift_sql(body: str) -> str:
+    return with_ctes(PINGS_CTES, SILVER_CTES, _TRAIN, _requests("rq", False),
+                     _requests("rqs", True), _DRIFT, body=body)
+
+
+_STATUS = ("CASE WHEN {p} > 0.2e0 THEN 'SIGNIFICANT DRIFT' WHEN {p} > 0.1e0 THEN 'moderate shift' "
+           "ELSE 'stable' END")
+ORACLE["psi_cuts"] = drift_sql(
+    "SELECT feature, CAST(i - 1 AS INTEGER) AS cut, CASE WHEN isinf(cuts[i]) THEN cuts[i] ELSE "
+    + dround("cuts[i]", 6) + " END AS value FROM cuts, range(1, 12) r(i)")
+ORACLE["psi_histogram"] = drift_sql("SELECT * FROM hlive")
+ORACLE["psi"] = drift_sql(
+    "SELECT traffic, feature, " + dround("psi", 6) + " AS psi, " + _STATUS.format(p="psi")
+    + " AS status FROM psis")
+ORACLE["drift_report"] = drift_sql(
+    "SELECT traffic, " + dround("max(psi)", 6) + " AS max_psi, bool_or(psi > 0.2e0) AS alert, "
+    "count(*) AS features_checked, CASE WHEN bool_or(psi > 0.2e0) THEN "
+    "'SIGNIFICANT DRIFT detected -> recommend retraining' ELSE "
+    "'inputs stable vs training distribution -> no retrain needed' END AS recommendation "
+    "FROM psis GROUP BY traffic")
+ORACLE["method_mix"] = eta_sql("SELECT method, count(*) AS predictions FROM rq GROUP BY method")
