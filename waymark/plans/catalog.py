@@ -79,7 +79,8 @@ def _silver_dedup(lk: Lake) -> DataFrame:
 
 @query("silver_enrich")
 def _silver_enrich(lk: Lake) -> DataFrame:
-    return lk.silver
+    """The Silver job itself: validate, dedup and enrich the Bronze table."""
+    return lk.silver_plan
 
 
 @query("silver_summary")

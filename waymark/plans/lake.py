@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from waymark.config import DEFAULT, Settings
 from waymark.operators import fleet, gold, silver as silver_ops
+from waymark.plans import tables
 from waymark.session import use_utc
 from waymark.sources import envelope, network, recipe
 
@@ -28,11 +29,31 @@ def as_ntz(df: DataFrame) -> DataFrame:
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT):
+    """``materialized=True`` (default) keeps Bronze and Silver as written tables
+    in the shared checkpoint folder, as the ingest and Silver jobs would; the
+    ``*_plan`` properties give the same tables as plain lineage."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT,
+                 materialized: bool = True):
         use_utc(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.settings = settings
+        self.materialized = materialized
+
+    def _table(self, name: str, build) -> DataFrame:
+        if not self.materialized:
+            return build()
+        src = f"{self.sf_dir}/events.parquet"
+        key = tables.table_key(self.spark, name, src, repr(self.settings))
+        return tables.materialize(self.spark, key, build, self._write_partitions(name))
+
+    def _write_partitions(self, name: str) -> int | None:
+        if name != "bronze_pings":
+            return None
+        want = self.spark.sparkContext.defaultParallelism
+        have = self.spark.read.parquet(f"{self.sf_dir}/events.parquet").rdd.getNumPartitions()
+        return want if have < want else None
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -41,11 +62,11 @@ class Lake:
 
     @cached_property
     def segments(self) -> DataFrame:
-        return network.segments(self.waypoints, self.settings)
+        return network.cached_dimension(network.segments(self.waypoints, self.settings))
 
     @cached_property
     def route_arrays(self) -> DataFrame:
-        return network.route_segment_arrays(self.segments)
+        return network.cached_dimension(network.route_segment_arrays(self.segments))
 
     @cached_property
     def facilities(self) -> DataFrame:
@@ -53,9 +74,14 @@ class Lake:
 
     # ------------------------------------------------------------ bronze
     @cached_property
-    def pings(self) -> DataFrame:
+    def pings_plan(self) -> DataFrame:
         """Raw pings with re-deliveries (``copy`` = 1 for the second delivery)."""
-        return recipe.pings(self.spark, self.sf_dir, self.settings)
+        return recipe.pings(self.spark, self.sf_dir, self.settings, self.segments)
+
+    @cached_property
+    def pings(self) -> DataFrame:
+        """The Bronze ping table (written once, then scanned)."""
+        return self._table("bronze_pings", lambda: self.pings_plan)
 
     @cached_property
     def envelopes(self) -> DataFrame:
@@ -79,9 +105,15 @@ class Lake:
         return silver_ops.dedup(self.valid)
 
     @cached_property
-    def silver(self) -> DataFrame:
+    def silver_plan(self) -> DataFrame:
+        """validate -> dedup -> enrich over the Bronze table (the Silver job)."""
         return silver_ops.enrich(self.deduped, self.route_arrays, self.facilities, self.settings)
 
+    @cached_property
+    def silver(self) -> DataFrame:
+        """The Silver table (written once by the Silver job, then scanned)."""
+        return self._table("silver", lambda: self.silver_plan)
+
     # ------------------------------------------------------------ gold
     @cached_property
     def status_events(self) -> DataFrame:

@@ -55,16 +55,32 @@ FACILITY_SCHEMA = T.StructType([
 ])
 
 
+def _values(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small constant table as a JVM-side VALUES relation (LocalRelation):
+    no Python worker is involved when it is scanned, and the optimizer knows
+    its exact size."""
+    def lit(v, t):
+        if isinstance(t, T.StringType):
+            return "'" + str(v).replace("'", "''") + "'"
+        if isinstance(t, T.DoubleType):
+            return f"{float(v)!r}D"
+        return f"{int(v)}L"
+    body = ", ".join("(" + ", ".join(lit(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                     for r in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
+
+
 def waypoints(spark: SparkSession) -> DataFrame:
     rows = [(rk, rid, i, lat, lon)
             for rk, (rid, pts) in enumerate(ROUTES.items())
             for i, (lat, lon) in enumerate(pts)]
-    return spark.createDataFrame(rows, WAYPOINT_SCHEMA)
+    return _values(spark, rows, WAYPOINT_SCHEMA)
 
 
 def facilities(spark: SparkSession) -> DataFrame:
     rows = [(i, n, lat, lon) for i, (n, lat, lon) in enumerate(FACILITIES)]
-    return spark.createDataFrame(rows, FACILITY_SCHEMA)
+    return _values(spark, rows, FACILITY_SCHEMA)
 
 
 def segments(wp: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -109,6 +125,17 @@ def route_segment_arrays(seg: DataFrame) -> DataFrame:
         .alias("segs"))
 
 
+def cached_dimension(df: DataFrame) -> DataFrame:
+    """Keep a small derived dimension in executor memory.
+
+    The route geometry is recomputed from the waypoint table by several
+    windows; every plan that joins it would otherwise re-run those stages.
+    A lost cache block is recomputed from lineage, so this is safe on a
+    cluster; the size is bounded by the (checked) dimension size.
+    """
+    return df.persist()
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of a dimension if it is at most ``max_rows``, else None.
 

@@ -9,8 +9,10 @@ NULL shipment id.  The same recipe is written in SQL for the oracle
 engines compute the same bits.
 
 The job is a projection of ``events`` plus two broadcast joins against the
-(fixed, tiny) route segment table, so it scales linearly with ``events`` and
-never shuffles the event rows.
+(fixed, size-checked) route segment table, so it scales linearly with
+``events`` and never shuffles the event rows.  Downstream jobs read its
+output as the written Bronze table (``waymark.plans.tables``), so their
+predicates reach a parquet scan rather than these expressions.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ SHIPMENTS_PER_BLOCK = 20
 ROUND_SECONDS = 6
 
 
-def recipe_segments(spark: SparkSession, settings: Settings = DEFAULT) -> DataFrame:
-    seg = network.segments(network.waypoints(spark), settings)
+def recipe_segments(spark: SparkSession, settings: Settings = DEFAULT,
+                    seg: DataFrame | None = None) -> DataFrame:
+    if seg is None:
+        seg = network.segments(network.waypoints(spark), settings)
     return seg.select("route_rank", "route_id", F.col("seq").alias("i"), "lat", "lon",
                       "lat2", "lon2", "len_km", "cum_km", "total_km", "is_last", "bearing")
 
@@ -40,9 +44,14 @@ def _walked(r: F.Column, off: F.Column) -> F.Column:
     return F.floor(k / F.lit(160.0)) * 125 + F.greatest(F.lit(0), k % 160 - 35)
 
 
-def pings_from_events(events: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def pings_from_events(events: DataFrame, settings: Settings = DEFAULT,
+                      segments: DataFrame | None = None) -> DataFrame:
+    """``segments``: the route segment dimension (fixed, 15 rows, broadcast)."""
     spark = events.sparkSession
-    seg = F.broadcast(recipe_segments(spark, settings))
+    seg = recipe_segments(spark, settings, segments)
+    if network.bounded_rows(seg, settings.broadcast_max_rows) is None:
+        raise ValueError("route network too large to broadcast")
+    seg = F.broadcast(seg)
     tot = seg.select("route_rank", "route_id", "total_km").distinct()
 
     eid = F.col("event_id")
@@ -52,7 +61,7 @@ def pings_from_events(events: DataFrame, settings: Settings = DEFAULT) -> DataFr
     ).withColumn("s", F.col("b") * SHIPMENTS_PER_BLOCK + eid % SHIPMENTS_PER_BLOCK) \
      .withColumn("r", F.floor((eid % BLOCK) / F.lit(float(SHIPMENTS_PER_BLOCK))).cast("bigint"))
 
-    e1 = (e0.join(F.broadcast(tot), F.col("route_rank") == F.col("s") % 4)
+    e1 = (e0.join(F.broadcast(tot), F.col("route_rank") == F.col("s") % len(network.ROUTES))
             .withColumn("st", F.col("total_km") * F.lit(0.3) * ((F.col("s") * 13) % 10) / F.lit(10.0))
             .withColumn("base", F.lit(35.0) + (F.col("s") * 7) % 40)
             .withColumn("off", F.col("s") * 37))
@@ -65,6 +74,8 @@ def pings_from_events(events: DataFrame, settings: Settings = DEFAULT) -> DataFr
     e3 = e2.where(F.col("dprev") < F.col("total_km")) \
            .withColumn("dist", F.least(F.col("total_km"), F.col("draw")))
 
+    # Range lookup of the segment under `dist`: broadcast hash join on the
+    # route with a range condition (at most 4 candidate segments per row).
     g = seg.select(F.col("route_rank").alias("g_rank"), F.col("lat").alias("g_lat"),
                    F.col("lon").alias("g_lon"), F.col("lat2").alias("g_lat2"),
                    F.col("lon2").alias("g_lon2"), F.col("cum_km").alias("g_cum"),
@@ -99,11 +110,12 @@ def pings_from_events(events: DataFrame, settings: Settings = DEFAULT) -> DataFr
     )
 
 
-def pings(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT) -> DataFrame:
+def pings(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT,
+          segments: DataFrame | None = None) -> DataFrame:
     """The ping stream with injected re-deliveries (every event with id % 50 == 7
     arrives twice)."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    p0 = pings_from_events(events, settings)
+    p0 = pings_from_events(events, settings, segments)
     copies = F.explode(F.when(F.col("event_id") % 50 == 7, F.array(F.lit(0), F.lit(1)))
                        .otherwise(F.array(F.lit(0))))
     return p0.select("*", copies.alias("copy"))
