@@ -353,3 +353,56 @@ def _method_mix(lk: Lake) -> DataFrame:
     tables.append_predictions(lk.scored_requests(), path)
     log = tables.read_predictions(lk.spark, path)
     return log.groupBy("method").agg(F.count(F.lit(1)).alias("predictions"))
+
+
+# ------------------------------------------------------------------ streaming
+
+def _stream_run(lk: Lake, name: str, df: DataFrame) -> DataFrame:
+    """Run a streaming job to completion (availableNow) into a fresh table in
+    the shared checkpoint folder and return a batch scan of its output."""
+    from waymark.session import scratch_path
+    from waymark.streaming import jobs
+    target = jobs.StreamTarget(path=scratch_path(lk.spark, f"{name}-out"),
+                               checkpoint=scratch_path(lk.spark, f"{name}-ckpt"))
+    jobs.run(df, target, available_now=True, query_name=None)
+    return lk.spark.read.schema(df.schema).parquet(target.path)
+
+
+@query("stream_bronze")
+def _stream_bronze(lk: Lake) -> DataFrame:
+    """Envelope files -> Bronze stream (ingest_time dropped from the output)."""
+    from waymark.session import scratch_path
+    from waymark.streaming import jobs
+    src = scratch_path(lk.spark, "envelopes")
+    envelope.publish(lk.envelopes, path=src, mode="overwrite")
+    raw = jobs.file_stream(lk.spark, src, envelope.ENVELOPE_SCHEMA)
+    out = _stream_run(lk, "bronze", jobs.bronze_stream(raw))
+    return out.drop("ingest_time")
+
+
+@query("stream_silver")
+def _stream_silver(lk: Lake) -> DataFrame:
+    """Bronze table as a file stream -> Silver stream (watermark + dedup within
+    the watermark + enrichment)."""
+    from waymark.sources import recipe
+    from waymark.streaming import jobs
+    bronze = jobs.file_stream(lk.spark, lk.table_path("bronze_pings"), lk.pings.schema)
+    s = jobs.silver_stream(bronze.select("event_id", *recipe.PING_COLUMNS), lk.route_arrays,
+                           lk.facilities, lk.settings)
+    return _stream_run(lk, "silver", s)
+
+
+@query("stream_status")
+def _stream_status(lk: Lake) -> DataFrame:
+    from waymark.streaming import jobs
+    src = jobs.file_stream(lk.spark, lk.table_path("silver"), lk.silver.schema)
+    return _stream_run(lk, "status", jobs.status_stream(src, lk.settings))
+
+
+@query("stream_exceptions")
+def _stream_exceptions(lk: Lake) -> DataFrame:
+    """Windowed exceptions as a stream: only windows closed by the watermark
+    are emitted (append mode)."""
+    from waymark.streaming import jobs
+    src = jobs.file_stream(lk.spark, lk.table_path("silver"), lk.silver.schema)
+    return _stream_run(lk, "exceptions", jobs.exceptions_stream(src, lk.settings))

@@ -41,12 +41,23 @@ class Lake:
         self.settings = settings
         self.materialized = materialized
 
+    def _key(self, name: str) -> tuple:
+        src = f"{self.sf_dir}/events.parquet"
+        return tables.table_key(self.spark, name, src, repr(self.settings))
+
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialized:
             return build()
-        src = f"{self.sf_dir}/events.parquet"
-        key = tables.table_key(self.spark, name, src, repr(self.settings))
-        return tables.materialize(self.spark, key, build, self._write_partitions(name))
+        return tables.materialize(self.spark, self._key(name), build,
+                                  self._write_partitions(name))
+
+    def table_path(self, name: str) -> str:
+        """Folder of a materialised table ("bronze_pings" or "silver")."""
+        {"bronze_pings": lambda: self.pings, "silver": lambda: self.silver}[name]()
+        path = tables.path_of(self._key(name))
+        if path is None:
+            raise RuntimeError(f"{name} is not materialised")
+        return path
 
     def _write_partitions(self, name: str) -> int | None:
         if name != "bronze_pings":

@@ -348,3 +348,11 @@ ORACLE["drift_report"] = drift_sql(
     "'inputs stable vs training distribution -> no retrain needed' END AS recommendation "
     "FROM psis GROUP BY traffic")
 ORACLE["method_mix"] = eta_sql("SELECT method, count(*) AS predictions FROM rq GROUP BY method")
+
+# ------------------------------------------------------------------ streaming
+ORACLE["stream_bronze"] = ORACLE["bronze_parse"]
+ORACLE["stream_silver"] = ORACLE["silver_enrich"]
+ORACLE["stream_status"] = ORACLE["gold_status"]
+ORACLE["stream_exceptions"] = gold_sql(
+    "SELECT * FROM gexc WHERE window_end <= (SELECT max(event_time) FROM silver) "
+    "- INTERVAL '2 minutes'")

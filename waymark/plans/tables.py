@@ -59,6 +59,11 @@ def materialize(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
     return spark.read.parquet(path)
 
 
+def path_of(key: tuple) -> str | None:
+    with _LOCK:
+        return _TABLES.get(key)
+
+
 def forget(spark: SparkSession | None = None) -> None:
     """Drop the registry (the files stay in the checkpoint folder)."""
     with _LOCK:
