@@ -41,7 +41,6 @@ class Settings:
     broadcast_max_rows: int = 50_000   # dimension tables above this are shuffle-joined
     facility_array_max: int = 256      # facility sets above this use the grid join
     rolling_bucket_seconds: int = 3600 # time bucket of the skew-safe trailing window
-    psi_exact_max_rows: int = 50_000_000  # above this, cuts use approx_percentile
 
     @property
     def cos_lat0(self) -> float:

@@ -8,9 +8,13 @@ PSI = sum((live - ref) * ln(live / ref)).  NULL / NaN values are dropped on
 both sides before counting.
 
 Scale notes: features are stacked into (feature, value) rows so one
-aggregation serves all features; cut points come from ``percentile`` (exact)
-or ``percentile_approx`` when the reference exceeds a checked size; the only
-join is against the cut table, one row per feature.
+aggregation serves all features.  Cut points come from ``percentile``
+(exact, numpy's linear interpolation); its partial aggregate is a
+value -> count map, so its memory is bounded by the number of DISTINCT values,
+not rows: the monitored features are rounded (km to 0.01-0.001, speed to
+0.1), so a feature spanning 0-1000 has at most ~10^6 distinct values at any
+row count.  ``exact=False`` switches to ``percentile_approx`` for unrounded
+features.  The only join is against the cut table, one row per feature.
 """
 
 from __future__ import annotations
@@ -19,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.config import DEFAULT, Settings
-from waymark.sources.network import bounded_rows
 
 FEATURES = ("dist_remaining_km", "speed_kmh")
 
@@ -33,13 +36,11 @@ def stacked(df: DataFrame, features=FEATURES) -> DataFrame:
 
 
 def cut_points(reference: DataFrame, features=FEATURES, settings: Settings = DEFAULT,
-               exact: bool | None = None) -> DataFrame:
+               exact: bool = True) -> DataFrame:
     """feature -> cuts array<double> of bins+1 edges; the outer edges are +-inf."""
     bins = settings.psi_bins
     probs = [i / bins for i in range(bins + 1)]
     long = stacked(reference, features)
-    if exact is None:
-        exact = bounded_rows(reference, settings.psi_exact_max_rows) is not None
     q = (F.percentile("value", F.array(*[F.lit(p) for p in probs])) if exact
          else F.percentile_approx("value", probs, 1_000_000))
     inner = F.slice(F.col("_q"), 2, bins - 1)

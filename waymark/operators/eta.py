@@ -213,3 +213,38 @@ def promotion_gate(df: DataFrame, champion: str | None, challenger: str,
     return g.select("n_holdout", F.round("champion_mae", 6).alias("champion_mae"),
                     F.round("challenger_mae", 6).alias("challenger_mae"),
                     F.coalesce(promote, F.lit(False)).alias("promote"))
+
+
+# ------------------------------------------------------------------ sampling
+
+def thin(df: DataFrame, keep: float = 0.5, seed: int = 42, key=("shipment_id", "seq")) -> DataFrame:
+    """Bernoulli thinning: keep each row with probability ``keep``, decided by a
+    hash of its key, so the result does not depend on partitioning or retries."""
+    u = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    return df.where(u < F.lit(keep))
+
+
+def bootstrap_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement (Poisson oversampling, then the
+    n rows with the smallest random key: a top-k, not a sort of the input)."""
+    total = df.count()
+    if total == 0 or n <= 0:
+        return df.limit(0)
+    frac = max(1.0, n / total) * 1.25 + 10.0 / total
+    for attempt in range(5):
+        s = df.sample(withReplacement=True, fraction=frac, seed=seed + attempt)
+        s = s.withColumn("_k", F.rand(seed + attempt))
+        if s.count() >= n:
+            return s.orderBy("_k").limit(n).drop("_k")
+        frac *= 2
+    raise RuntimeError("bootstrap oversampling did not reach n rows")
+
+
+def shipment_eta(silver: DataFrame, shipment_id: str, model=None,
+                 settings: Settings = DEFAULT) -> DataFrame:
+    """ETA of one shipment; the id filter reaches the Silver scan.  An unknown
+    id gives an empty DataFrame (the caller reports "not found")."""
+    one = silver.where(F.col("shipment_id") == F.lit(shipment_id))
+    feats = shipment_features(one, settings)
+    return score(feats.drop("event_time"), model, settings).select(
+        "shipment_id", "predicted_eta_min", "method", "progress_pct")

@@ -219,7 +219,8 @@ def _exception_feed(lk: Lake) -> DataFrame:
 
 @query("training_set")
 def _training_set(lk: Lake) -> DataFrame:
-    return lk.training
+    """The training-set job over the Silver table."""
+    return lk.training_plan
 
 
 @query("label_summary")

@@ -53,7 +53,8 @@ class Lake:
 
     def table_path(self, name: str) -> str:
         """Folder of a materialised table ("bronze_pings" or "silver")."""
-        {"bronze_pings": lambda: self.pings, "silver": lambda: self.silver}[name]()
+        {"bronze_pings": lambda: self.pings, "silver": lambda: self.silver,
+         "training": lambda: self.training}[name]()
         path = tables.path_of(self._key(name))
         if path is None:
             raise RuntimeError(f"{name} is not materialised")
@@ -153,10 +154,15 @@ class Lake:
 
     # ------------------------------------------------------------ ETA
     @cached_property
-    def training(self) -> DataFrame:
+    def training_plan(self) -> DataFrame:
         from waymark.operators import eta
         return eta.training_set(self.silver, self.settings)
 
+    @cached_property
+    def training(self) -> DataFrame:
+        """The training table (written once, like the training parquet file)."""
+        return self._table("training", lambda: self.training_plan)
+
     @cached_property
     def features(self) -> DataFrame:
         from waymark.operators import eta
