@@ -161,3 +161,50 @@ def resolve_alias(spark: SparkSession, registry_dir: str, name: str,
     path = versions.where((F.col("model") == name) & (F.col("version") == cur)) \
                    .select("path").first()
     return PipelineModel.load(path[0]) if path else None
+
+
+# ------------------------------------------------------------------ train / retrain flows
+
+def train_and_register(spark: SparkSession, training: DataFrame, registry_dir: str,
+                       name: str = "eta-predictor", params: dict | None = None,
+                       importance: bool = True) -> dict:
+    """Fit on the training trips, evaluate on the held-out trips, register the
+    model and point the ``production`` alias at it (first training run)."""
+    train, test = split(training)
+    model = fit(train, params)
+    m = evaluate(model, test).first()
+    version = register(spark, registry_dir, model, name, float(m.mae) if m.mae is not None else None)
+    set_alias(spark, registry_dir, name, "production", version)
+    out = {"version": version, "n_test": m.n, "mae": m.mae, "rmse": m.rmse, "r2": m.r2}
+    if importance:
+        top = permutation_importance(model, test).limit(6).collect()
+        out["top_features"] = [(r.feature, r.importance) for r in top]
+    return out
+
+
+def champion_challenger(spark: SparkSession, training: DataFrame, registry_dir: str,
+                        name: str = "eta-predictor", params: dict | None = None,
+                        margin: float = 0.01) -> DataFrame:
+    """Fit a challenger, score it and the current champion on the SAME held-out
+    trips in one pass, and promote the challenger when it wins by ``margin``.
+
+    Returns the gate row (n_holdout, champion_mae, challenger_mae, promote).
+    """
+    from waymark.config import Settings
+    from waymark.operators.eta import promotion_gate
+    train, test = split(training)
+    challenger = fit(train, dict(CHALLENGER_PARAMS, **(params or {})))
+    champion = resolve_alias(spark, registry_dir, name)
+    scored = challenger.transform(test).withColumnRenamed("prediction", "challenger") \
+                       .drop("route_idx", "route_vec", "features")
+    champ_col = None
+    if champion is not None:
+        scored = champion.transform(scored).withColumnRenamed("prediction", "champion")
+        champ_col = "champion"
+    gate = promotion_gate(scored, champ_col, "challenger",
+                          settings=Settings(champion_margin=margin)).cache()
+    row = gate.first()
+    version = register(spark, registry_dir, challenger, name, row.challenger_mae)
+    if row.promote:
+        set_alias(spark, registry_dir, name, "production", version)
+    return gate.withColumn("challenger_version", F.lit(version).cast("bigint"))
