@@ -40,6 +40,9 @@ class Settings:
     # Scale guards (not reference values).
     broadcast_max_rows: int = 50_000   # dimension tables above this are shuffle-joined
     facility_array_max: int = 256      # facility sets above this use the grid join
+    unroll_max_segments: int = 64      # route networks up to this many segments are
+                                       # compiled into one CASE/least expression
+    unroll_max_facilities: int = 64    # same for the facility lookup
     rolling_bucket_seconds: int = 3600 # time bucket of the skew-safe trailing window
 
     @property

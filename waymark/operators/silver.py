@@ -5,10 +5,12 @@ a streaming DataFrame (only the de-duplication branches on ``isStreaming``).
 
 Scale notes
 -----------
-* Validation and enrichment are narrow (no shuffle).  The route geometry is
-  attached with a broadcast hash join on ``route_id`` behind a size check; the
-  facility lookup is a literal array expression (no join at all) for small
-  facility sets and a grid-cell equi-join for large ones.
+* Validation and enrichment are narrow (no shuffle).  A small (size-checked)
+  route network and facility list are compiled into codegen'd expressions
+  (``CASE route_id ... least(...)``; ``least(struct(d, ord, name) ...)``), no
+  join at all.  Larger networks attach the geometry with a size-checked
+  broadcast hash join on ``route_id`` and ``array_min(transform(...))``;
+  facility sets above 256 use a grid-cell equi-join.
 * De-duplication shuffles on ``(shipment_id, seq)``, so even a shipment that
   holds a third of all pings spreads over every reducer.
 """
@@ -74,7 +76,39 @@ def dist_to_route(df: DataFrame, route_segments: DataFrame,
 
     ``route_segments`` is ``route_id -> segs array<struct<ax,ay,bx,by>>``.
     Unknown route or missing coordinates give NULL.
+
+    A small network (size-checked) is compiled into one expression,
+    ``CASE route_id WHEN r THEN least(d(seg1), d(seg2), ...)``: no join, and
+    whole-stage codegen covers it (array lambdas are interpreted).  Larger
+    networks use a broadcast join and ``array_min(transform(...))``.
     """
+    n = network.bounded_rows(route_segments, settings.unroll_max_segments)
+    if n is not None:
+        rows = route_segments.collect()
+        if sum(len(r["segs"]) for r in rows) <= settings.unroll_max_segments:
+            # Project the ping once; the per-segment terms are then plain
+            # arithmetic on two columns and folded literals.
+            return (df.withColumn("_px", geo.project_x("lon", settings))
+                      .withColumn("_py", geo.project_y("lat", settings))
+                      .withColumn(out, F.round(_unrolled_route_distance(rows, settings), 3))
+                      .drop("_px", "_py"))
+    return _dist_to_route_join(df, route_segments, settings, out)
+
+
+def _unrolled_route_distance(rows, settings: Settings) -> Column:
+    px, py = F.col("_px"), F.col("_py")
+    expr = None
+    for r in sorted(rows, key=lambda r: r["route_id"]):
+        ds = [geo.point_segment_km(px, py, F.lit(s["ax"]), F.lit(s["ay"]), F.lit(s["bx"]),
+                                   F.lit(s["by"])) for s in r["segs"]]
+        d = ds[0] if len(ds) == 1 else F.least(*ds)
+        cond = F.col("route_id") == F.lit(r["route_id"])
+        expr = F.when(cond, d) if expr is None else expr.when(cond, d)
+    return expr if expr is not None else F.lit(None).cast("double")
+
+
+def _dist_to_route_join(df: DataFrame, route_segments: DataFrame, settings: Settings,
+                        out: str) -> DataFrame:
     segs = network.maybe_broadcast(route_segments.select("route_id", F.col("segs").alias("_segs")),
                                    settings)
     px, py = geo.project_x("lon", settings), geo.project_y("lat", settings)
@@ -117,8 +151,32 @@ def nearest_facility(df: DataFrame, facilities: DataFrame, settings: Settings =
     if not rows:
         return df.withColumn(out, F.lit(None).cast("string"))
     lat, lon = F.col("lat"), F.col("lon")
-    return df.withColumn(out, _nearest_within(_facility_array(rows), lat, lon,
-                                              settings.facility_radius_km, settings))
+    if n <= settings.unroll_max_facilities:
+        best = _nearest_unrolled(rows, lat, lon, settings)
+    else:
+        best = _nearest_array(_facility_array(rows), lat, lon, settings)
+    # The nearest candidate is its own column so it is computed once and
+    # then tested against the radius.
+    return (df.withColumn("_best", best)
+              .withColumn(out, F.when(F.col("_best.d") <= F.lit(settings.facility_radius_km),
+                                      F.col("_best.name")))
+              .drop("_best"))
+
+
+def _nearest_unrolled(rows, lat: Column, lon: Column, settings: Settings) -> Column:
+    """least(struct(d_i, ord_i, name_i)) over a small facility list, compiled
+    into the generated code instead of an interpreted array lambda."""
+    cands = [F.struct(geo.haversine_km(lat, lon, F.lit(float(r["lat"])), F.lit(float(r["lon"])),
+                                       settings).alias("d"),
+                      F.lit(int(r["ord"])).cast("bigint").alias("ord"),
+                      F.lit(r["name"]).alias("name")) for r in rows]
+    return cands[0] if len(cands) == 1 else F.least(*cands)
+
+
+def _nearest_array(facs: Column, lat: Column, lon: Column, settings: Settings) -> Column:
+    return F.array_min(F.transform(facs, lambda f: F.struct(
+        geo.haversine_km(lat, lon, f["lat"], f["lon"], settings).alias("d"),
+        f["ord"].alias("ord"), f["name"].alias("name"))))
 
 
 def nearest_facility_grid(df: DataFrame, facilities: DataFrame, settings: Settings = DEFAULT,
