@@ -103,3 +103,33 @@ def test_stream_exceptions_emit_closed_windows_only(spark, lake001):
     expected = gold.closed_windows(lake001.exceptions, lake001.silver)
     assert out.count() == expected.count() == 21
     assert out.exceptAll(expected.select(*out.columns)).count() == 0
+
+
+def test_producer_restart_reusing_ids_survives(spark):
+    """A producer restart reuses (shipment_id, seq) an hour later.  Within-
+    watermark dedup keeps the new pings once the old keys expired; plain
+    dropDuplicates keeps every key forever and drops them."""
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 1)
+    def rows(sid, seqs, base):
+        return [(sid, s, base + timedelta(seconds=6 * s)) for s in seqs]
+    files = [rows("SHP-A", range(1, 11), t0),
+             rows("SHP-B", range(1, 6), t0 + timedelta(hours=1)),
+             rows("SHP-B", range(6, 11), t0 + timedelta(hours=1)),
+             rows("SHP-A", range(1, 11), t0 + timedelta(hours=1, minutes=2))]
+    src = scratch_path(spark, "restart-ids")
+    for f in files:
+        spark.createDataFrame(f, "shipment_id string, seq bigint, event_time timestamp") \
+             .coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    schema = "shipment_id string, seq bigint, event_time timestamp"
+    def run(within: bool) -> int:
+        st = jobs.file_stream(spark, src, schema, max_files_per_trigger=1)
+        st = st.withWatermark("event_time", "2 minutes")
+        d = (st.dropDuplicatesWithinWatermark(["shipment_id", "seq"]) if within
+             else st.dropDuplicates(["shipment_id", "seq"]))
+        t = jobs.StreamTarget(scratch_path(spark, "ri-out"), scratch_path(spark, "ri-ckpt"))
+        jobs.run(d, t)
+        return spark.read.parquet(t.path).count()
+    assert run(True) == 30
+    assert run(False) == 20
