@@ -58,14 +58,21 @@ def bin_counts(long: DataFrame, cuts: DataFrame, settings: Settings = DEFAULT) -
 
 
 def histogram(reference: DataFrame, live: DataFrame, features=FEATURES,
-              settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
-    """feature, bin, ref_count, live_count, ref_share, live_share (floored)."""
+              settings: Settings = DEFAULT, cuts: DataFrame | None = None,
+              ref_counts: DataFrame | None = None) -> DataFrame:
+    """feature, bin, ref_count, live_count, ref_share, live_share (floored).
+
+    ``cuts`` / ``ref_counts`` (from :func:`cut_points` / :func:`bin_counts`)
+    can be passed in when several live samples are compared to one reference.
+    """
     bins, floor = settings.psi_bins, settings.psi_floor
     cuts = cuts if cuts is not None else cut_points(reference, features, settings)
     live_feats = [f for f in features if f in live.columns]
     cuts = cuts.where(F.col("feature").isin(live_feats))
     grid = cuts.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    ref = bin_counts(stacked(reference, features), cuts, settings).withColumnRenamed("n", "ref_count")
+    if ref_counts is None:
+        ref_counts = bin_counts(stacked(reference, features), cuts, settings)
+    ref = ref_counts.withColumnRenamed("n", "ref_count")
     cur = bin_counts(stacked(live, features), cuts, settings).withColumnRenamed("n", "live_count")
     h = (grid.join(ref, ["feature", "bin"], "left").join(cur, ["feature", "bin"], "left")
              .fillna(0, ["ref_count", "live_count"]))
