@@ -98,3 +98,11 @@ def test_permutation_importance_shape(spark, lake01):
     assert len(imp) == 9
     top = imp[0]
     assert top.feature in ("dist_remaining_km", "progress_pct") and top.importance > 0
+
+
+def test_gbt_early_stopping_on_validation_trips(lake01):
+    train, test = mdl.split(lake01.training)
+    m = mdl.fit(train, dict(maxIter=200, maxDepth=4, stepSize=0.3), validation_pct=10)
+    gbt = m.stages[-1]
+    assert gbt.getNumTrees < 200                     # stopped early
+    assert mdl.evaluate(m, test).first().r2 > 0.5

@@ -44,8 +44,18 @@ def split(training: DataFrame, holdout_pct: int = 20) -> tuple[DataFrame, DataFr
     return training.where(~flag), training.where(flag)
 
 
-def fit(train: DataFrame, params: dict | None = None) -> PipelineModel:
-    return eta_pipeline(params).fit(train)
+def fit(train: DataFrame, params: dict | None = None,
+        validation_pct: int | None = None) -> PipelineModel:
+    """Fit the pipeline.  ``validation_pct`` holds that share of the training
+    trips out as GBT's validation set (``validationIndicatorCol``), so boosting
+    stops once the validation error stops improving (early stopping)."""
+    p = dict(params or {})
+    if validation_pct:
+        bucket = F.conv(F.substring(F.md5(F.concat_ws("#", F.col("shipment_id"), F.lit("val"))),
+                                    1, 8), 16, 10).cast("bigint") % 100
+        train = train.withColumn("_is_val", bucket < validation_pct)
+        p["validationIndicatorCol"] = "_is_val"
+    return eta_pipeline(p).fit(train)
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
