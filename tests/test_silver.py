@@ -79,3 +79,14 @@ def test_envelope_roundtrip_and_malformed(spark, lake001):
     # same key -> same partition
     parts = env.groupBy("key").agg(F.countDistinct("partition").alias("n")).where("n > 1")
     assert parts.count() == 0
+
+
+def test_grid_lookup_wraps_the_antimeridian(spark):
+    fac = spark.createDataFrame([(0, "East", 10.0, 179.999), (1, "West", -20.0, -179.9995)],
+                                "ord bigint, name string, lat double, lon double")
+    pts = spark.createDataFrame([(1, 10.0, -179.999), (2, 10.0, 179.99), (3, -20.0, 179.9995),
+                                 (4, 10.0, 0.0)], "id int, lat double, lon double")
+    got = {r.id: r.at_facility for r in so.nearest_facility_grid(pts, fac).collect()}
+    assert got == {1: "East", 2: None, 3: "West", 4: None}
+    arr = {r.id: r.at_facility for r in so.nearest_facility(pts, fac).collect()}
+    assert arr == got

@@ -183,34 +183,38 @@ def nearest_facility_grid(df: DataFrame, facilities: DataFrame, settings: Settin
                           out: str = "at_facility") -> DataFrame:
     """Facility lookup for large facility sets as an equi-join on grid cells.
 
-    Cells are ``c`` degrees square with ``c`` = the radius as an angle.  A
+    Cells are ``g`` degrees square, ``g`` <= the radius as an angle and
+    dividing 360 so longitude cells wrap at +-180 (cell index pmod 360/g).  A
     facility is copied into every cell its geofence can touch: latitude
-    +-c, longitude +- the haversine bound for its latitude band.  Each cell
-    then holds an array of candidates, and a ping joins exactly one cell (its
-    own), so the nearest-within-radius test stays an array expression and no
-    per-ping aggregation (shuffle) is needed.  The cell table is broadcast
-    behind a size check; otherwise AQE splits hot cells of the sort-merge join.
-    Longitude wrap at +-180 is not handled.
+    +- the radius angle, longitude +- the haversine bound for its latitude
+    band.  Each cell holds an array of candidates and a ping joins exactly
+    one cell (its own), so the nearest-within-radius test stays an array
+    expression and no per-ping aggregation (shuffle) is needed.  The cell
+    table is broadcast behind a size check; otherwise AQE splits hot cells of
+    the sort-merge join.
     """
     radius = settings.facility_radius_km
     ang = radius / settings.earth_km                      # radians
-    c = math.degrees(ang)                                  # cell size in degrees
+    c = math.degrees(ang)                                  # geofence angle in degrees
+    n_lon = math.ceil(360.0 / c)
+    g = 360.0 / n_lon                                      # cell size, divides 360
     flat, flon = F.col("lat"), F.col("lon")
     # Longitude half-width of the geofence at the facility's latitude band.
     cos_far = F.cos(F.radians(F.least(F.abs(flat) + F.lit(c), F.lit(89.9))))
     half_lon = F.degrees(F.lit(2.0) * F.asin(F.least(
         F.lit(1.0), F.lit(math.sin(ang / 2)) / F.sqrt(F.cos(F.radians(flat)) * cos_far))))
     cells = (facilities
-             .withColumn("cy", F.explode(F.sequence(F.floor((flat - F.lit(c)) / F.lit(c)),
-                                                    F.floor((flat + F.lit(c)) / F.lit(c)))))
-             .withColumn("cx", F.explode(F.sequence(F.floor((flon - half_lon) / F.lit(c)),
-                                                    F.floor((flon + half_lon) / F.lit(c)))))
+             .withColumn("cy", F.explode(F.sequence(F.floor((flat - F.lit(c)) / F.lit(g)),
+                                                    F.floor((flat + F.lit(c)) / F.lit(g)))))
+             .withColumn("cx", F.explode(F.sequence(F.floor((flon - half_lon) / F.lit(g)),
+                                                    F.floor((flon + half_lon) / F.lit(g)))))
+             .withColumn("cx", F.pmod(F.col("cx"), F.lit(n_lon)))
              .groupBy("cx", "cy")
              .agg(F.collect_list(F.struct(F.col("ord").cast("bigint").alias("ord"), "name",
                                           "lat", "lon")).alias("_facs")))
     cells = network.maybe_broadcast(cells, settings)
-    keyed = df.withColumn("_cx", F.floor(F.col("lon") / F.lit(c))) \
-              .withColumn("_cy", F.floor(F.col("lat") / F.lit(c)))
+    keyed = df.withColumn("_cx", F.pmod(F.floor(F.col("lon") / F.lit(g)), F.lit(n_lon))) \
+              .withColumn("_cy", F.floor(F.col("lat") / F.lit(g)))
     joined = keyed.join(cells, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")),
                         "left")
     res = _nearest_within(F.col("_facs"), F.col("lat"), F.col("lon"), radius, settings)
