@@ -43,3 +43,19 @@ def test_stop_thresholds_strict(spark):
                                      "speed_kmh double, dist_km double, at_facility string, seq bigint")
     got = [(r.shipment_id, r.event_type) for r in gold.window_exceptions(df).collect()]
     assert got == [("A", "STOPPED")]
+
+
+def test_golden_counts_sf01(spark):
+    """FIXTURES.md golden counts at sf0.1."""
+    from waymark.operators import eta
+    from waymark.plans.lake import Lake
+    lk = Lake(spark, "/root/testdata/sf0.1")
+    assert lk.pings.count() == 57466
+    assert lk.silver.count() == 55350
+    assert lk.silver.where("is_moving").count() == 43428
+    assert lk.silver.where("dist_to_route_km IS NOT NULL").count() == 55089
+    assert _counts(lk.status_events) == {"OFF_ROUTE": 2461, "AT_FACILITY": 2788}
+    assert gold.window_movement(lk.silver).count() == 11385
+    assert _counts(lk.exceptions) == {"DWELL": 142, "STOPPED": 2026}
+    assert _counts(gold.closed_windows(lk.exceptions, lk.silver)) == {"DWELL": 142, "STOPPED": 2024}
+    assert eta.arrivals(lk.silver).count() == 184
