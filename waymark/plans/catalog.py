@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import telemetry
-from waymark.operators import eta, fleet, gold, geometry, reports, silver as silver_ops
+from waymark.operators import eta, fleet, geometry, reports, silver as silver_ops
 from waymark.plans.lake import Lake, as_ntz
 from waymark.sources import envelope
 

@@ -293,7 +293,7 @@ ORACLE["promotion_gate"] = eta_sql(
     "WHERE (('0x'||substr(md5(shipment_id),1,8))::BIGINT % 100) < 20) h) g")
 
 # ------------------------------------------------------------------ drift
-_PROBS = "[" + ", ".join(f"{i / 10!r}e0" if False else repr(i / 10) for i in range(11)) + "]"
+_PROBS = "[" + ", ".join(repr(i / 10) for i in range(11)) + "]"
 
 
 def _long(src: str, name: str) -> str:
