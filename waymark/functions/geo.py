@@ -74,3 +74,30 @@ def offset_lat(lat, dy_km) -> Column:
 def offset_lon(lat, lon, dx_km) -> Column:
     """Longitude shifted by dx_km to the east (at the point's latitude)."""
     return _c(lon) + _c(dx_km) / (F.lit(111.320) * F.cos(F.radians(_c(lat))))
+
+
+# SQL-text forms of the same formulas, used when an expression is unrolled
+# over many constant points: one parsed expression instead of hundreds of
+# Column calls through the Python/JVM bridge.  Same operation order as above.
+
+def sql_num(x: float) -> str:
+    return f"({float(x)!r}D)"
+
+
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str,
+                  settings: Settings = DEFAULT) -> str:
+    h = (f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
+         f"cos(radians({lat1})) * cos(radians({lat2})) * "
+         f"pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))")
+    return f"({sql_num(2.0)} * {sql_num(settings.earth_km)} * asin(sqrt({h})))"
+
+
+def point_segment_sql(px: str, py: str, ax: float, ay: float, bx: float, by: float) -> str:
+    ax, ay, bx, by = map(sql_num, (ax, ay, bx, by))
+    len2 = f"(({bx} - {ax}) * ({bx} - {ax}) + ({by} - {ay}) * ({by} - {ay}))"
+    t = (f"greatest({sql_num(0.0)}, least({sql_num(1.0)}, "
+         f"(({px} - {ax}) * ({bx} - {ax}) + ({py} - {ay}) * ({by} - {ay})) / {len2}))")
+    on_seg = (f"sqrt(pow({px} - ({ax} + {t} * ({bx} - {ax})), 2) + "
+              f"pow({py} - ({ay} + {t} * ({by} - {ay})), 2))")
+    to_a = f"sqrt(pow({px} - {ax}, 2) + pow({py} - {ay}, 2))"
+    return f"(CASE WHEN {len2} = 0 THEN {to_a} ELSE {on_seg} END)"

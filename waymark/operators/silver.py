@@ -82,9 +82,8 @@ def dist_to_route(df: DataFrame, route_segments: DataFrame,
     whole-stage codegen covers it (array lambdas are interpreted).  Larger
     networks use a broadcast join and ``array_min(transform(...))``.
     """
-    n = network.bounded_rows(route_segments, settings.unroll_max_segments)
-    if n is not None:
-        rows = route_segments.collect()
+    rows = network.collect_bounded(route_segments, settings.unroll_max_segments)
+    if rows is not None:
         if sum(len(r["segs"]) for r in rows) <= settings.unroll_max_segments:
             # Project the ping once; the per-segment terms are then plain
             # arithmetic on two columns and folded literals.
@@ -95,16 +94,22 @@ def dist_to_route(df: DataFrame, route_segments: DataFrame,
     return _dist_to_route_join(df, route_segments, settings, out)
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _unrolled_route_distance(rows, settings: Settings) -> Column:
-    px, py = F.col("_px"), F.col("_py")
-    expr = None
+    """CASE route_id WHEN r THEN least(segment distances) END, as one parsed
+    SQL expression (same arithmetic as :func:`geo.point_segment_km`)."""
+    if not rows:
+        return F.lit(None).cast("double")
+    branches = []
     for r in sorted(rows, key=lambda r: r["route_id"]):
-        ds = [geo.point_segment_km(px, py, F.lit(s["ax"]), F.lit(s["ay"]), F.lit(s["bx"]),
-                                   F.lit(s["by"])) for s in r["segs"]]
-        d = ds[0] if len(ds) == 1 else F.least(*ds)
-        cond = F.col("route_id") == F.lit(r["route_id"])
-        expr = F.when(cond, d) if expr is None else expr.when(cond, d)
-    return expr if expr is not None else F.lit(None).cast("double")
+        ds = [geo.point_segment_sql("_px", "_py", s["ax"], s["ay"], s["bx"], s["by"])
+              for s in r["segs"]]
+        d = ds[0] if len(ds) == 1 else "least(" + ", ".join(ds) + ")"
+        branches.append(f"WHEN route_id = {_sql_str(r['route_id'])} THEN {d}")
+    return F.expr("CASE " + " ".join(branches) + " END")
 
 
 def _dist_to_route_join(df: DataFrame, route_segments: DataFrame, settings: Settings,
@@ -144,10 +149,10 @@ def nearest_facility(df: DataFrame, facilities: DataFrame, settings: Settings =
     Small facility sets (checked size) become a literal array: no join, no
     shuffle.  Larger sets use :func:`nearest_facility_grid`.
     """
-    n = network.bounded_rows(facilities, settings.facility_array_max)
-    if n is None:
+    rows = network.collect_bounded(facilities, settings.facility_array_max, order_by="ord")
+    if rows is None:
         return nearest_facility_grid(df, facilities, settings, out)
-    rows = facilities.orderBy("ord").collect() if n else []
+    n = len(rows)
     if not rows:
         return df.withColumn(out, F.lit(None).cast("string"))
     lat, lon = F.col("lat"), F.col("lon")
@@ -165,12 +170,12 @@ def nearest_facility(df: DataFrame, facilities: DataFrame, settings: Settings =
 
 def _nearest_unrolled(rows, lat: Column, lon: Column, settings: Settings) -> Column:
     """least(struct(d_i, ord_i, name_i)) over a small facility list, compiled
-    into the generated code instead of an interpreted array lambda."""
-    cands = [F.struct(geo.haversine_km(lat, lon, F.lit(float(r["lat"])), F.lit(float(r["lon"])),
-                                       settings).alias("d"),
-                      F.lit(int(r["ord"])).cast("bigint").alias("ord"),
-                      F.lit(r["name"]).alias("name")) for r in rows]
-    return cands[0] if len(cands) == 1 else F.least(*cands)
+    into the generated code instead of an interpreted array lambda (one parsed
+    SQL expression; same arithmetic as :func:`geo.haversine_km`)."""
+    df_lat, df_lon = "lat", "lon"
+    cands = [f"named_struct('d', {geo.haversine_sql(df_lat, df_lon, geo.sql_num(r['lat']), geo.sql_num(r['lon']), settings)}, "
+             f"'ord', CAST({int(r['ord'])} AS BIGINT), 'name', {_sql_str(r['name'])})" for r in rows]
+    return F.expr(cands[0] if len(cands) == 1 else "least(" + ", ".join(cands) + ")")
 
 
 def _nearest_array(facs: Column, lat: Column, lon: Column, settings: Settings) -> Column:

@@ -145,6 +145,15 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def collect_bounded(df: DataFrame, max_rows: int, order_by=None) -> list | None:
+    """The rows of a small dimension, or None when it has more than
+    ``max_rows`` rows.  One job that reads at most max_rows + 1 rows."""
+    if order_by is not None:
+        df = df.orderBy(order_by)
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def maybe_broadcast(dim: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Broadcast hint only behind a checked size bound; otherwise leave the
     join to Catalyst/AQE (sort-merge with skew splitting)."""
