@@ -57,36 +57,57 @@ def bin_counts(long: DataFrame, cuts: DataFrame, settings: Settings = DEFAULT) -
     return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def histogram(reference: DataFrame, live: DataFrame, features=FEATURES,
-              settings: Settings = DEFAULT, cuts: DataFrame | None = None,
-              ref_counts: DataFrame | None = None) -> DataFrame:
-    """feature, bin, ref_count, live_count, ref_share, live_share (floored).
-
-    ``cuts`` / ``ref_counts`` (from :func:`cut_points` / :func:`bin_counts`)
-    can be passed in when several live samples are compared to one reference.
+def histograms(reference: DataFrame, lives: dict[str, DataFrame], features=FEATURES,
+               settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
+    """traffic, feature, bin, ref_count, live_count, ref_share, live_share.
+
+    The reference and every live sample are stacked into one
+    (source, feature, value) stream, binned against the broadcast cut table
+    and counted in ONE aggregation (one shuffle of at most
+    sources x features x bins partial rows per task).
     """
     bins, floor = settings.psi_bins, settings.psi_floor
     cuts = cuts if cuts is not None else cut_points(reference, features, settings)
-    live_feats = [f for f in features if f in live.columns]
-    cuts = cuts.where(F.col("feature").isin(live_feats))
+    parts = [stacked(reference, features).withColumn("src", F.lit("__ref__"))]
+    for name, live in lives.items():
+        live_feats = [f for f in features if f in live.columns]
+        parts.append(stacked(live, live_feats).withColumn("src", F.lit(name)))
+    allv = parts[0]
+    for p in parts[1:]:
+        allv = allv.unionByName(p)
+    j = allv.join(F.broadcast(cuts), "feature")
+    b = F.size(F.filter(F.slice(F.col("cuts"), 2, bins - 1), lambda c: c <= F.col("value")))
+    counts = j.groupBy("feature", b.alias("bin")).pivot("src", ["__ref__", *lives]).count()
     grid = cuts.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    if ref_counts is None:
-        ref_counts = bin_counts(stacked(reference, features), cuts, settings)
-    ref = ref_counts.withColumnRenamed("n", "ref_count")
-    cur = bin_counts(stacked(live, features), cuts, settings).withColumnRenamed("n", "live_count")
-    h = (grid.join(ref, ["feature", "bin"], "left").join(cur, ["feature", "bin"], "left")
-             .fillna(0, ["ref_count", "live_count"]))
+    h = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["__ref__", *lives])
     from pyspark.sql import Window
     tot = Window.partitionBy("feature")
-    return h.select(
-        "feature", "bin", "ref_count", "live_count",
-        F.greatest(F.col("ref_count") / F.sum("ref_count").over(tot), F.lit(floor)).alias("ref_share"),
-        F.greatest(F.col("live_count") / F.sum("live_count").over(tot), F.lit(floor)).alias("live_share"))
+    out = []
+    for name, live in lives.items():
+        present = [f for f in features if f in live.columns]
+        out.append(h.where(F.col("feature").isin(present)).select(
+            F.lit(name).alias("traffic"), "feature", "bin",
+            F.col("__ref__").alias("ref_count"), F.col(f"`{name}`").alias("live_count"),
+            F.greatest(F.col("__ref__") / F.sum("__ref__").over(tot), F.lit(floor)).alias("ref_share"),
+            F.greatest(F.col(f"`{name}`") / F.sum(f"`{name}`").over(tot), F.lit(floor))
+             .alias("live_share")))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+def histogram(reference: DataFrame, live: DataFrame, features=FEATURES,
+              settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
+    """feature, bin, ref_count, live_count, ref_share, live_share (floored)."""
+    return histograms(reference, {"live": live}, features, settings, cuts).drop("traffic")
 
 
 def psi(hist: DataFrame) -> DataFrame:
+    """Per feature (and traffic, when present): sum of the PSI terms."""
     term = (F.col("live_share") - F.col("ref_share")) * F.log(F.col("live_share") / F.col("ref_share"))
-    return hist.groupBy("feature").agg(F.sum(term).alias("psi"))
+    keys = [c for c in ("traffic", "feature") if c in hist.columns]
+    return hist.groupBy(*keys).agg(F.sum(term).alias("psi"))
 
 
 def classify(psi_col, settings: Settings = DEFAULT):

@@ -320,14 +320,11 @@ def _psi_histogram(lk: Lake) -> DataFrame:
 
 
 def _psi_all(lk: Lake) -> DataFrame:
+    """PSI of the live traffic and of the shifted traffic against one
+    reference, counted in a single pass."""
     drift, ref, cuts = _traffic(lk)
-    ref_counts = drift.bin_counts(drift.stacked(ref), cuts, lk.settings)
-    parts = []
-    for name, shifted in (("live", False), ("shifted", True)):
-        h = drift.histogram(ref, lk.scored_requests(shifted), settings=lk.settings, cuts=cuts,
-                            ref_counts=ref_counts)
-        parts.append(drift.psi(h).withColumn("traffic", F.lit(name)))
-    return parts[0].unionByName(parts[1])
+    lives = {"live": lk.scored_requests(False), "shifted": lk.scored_requests(True)}
+    return drift.psi(drift.histograms(ref, lives, settings=lk.settings, cuts=cuts))
 
 
 @query("psi")
