@@ -29,12 +29,19 @@ from waymark.config import DEFAULT
 from waymark.session import use_utc
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _session(args) -> SparkSession:
     b = SparkSession.builder.appName(f"waymark-{args.cmd}")
     if args.master:
         b = b.master(args.master)
     spark = b.getOrCreate()
     use_utc(spark)
+    if args.cmd in ("silver", "gold") and args.state_store == "rocksdb":
+        # Dedup keys and open windows live in the state store; RocksDB keeps
+        # them off the JVM heap.  The provider is recorded in a new checkpoint.
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
 
@@ -171,6 +178,8 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="waymark")
     ap.add_argument("--master", default=None)
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--state-store", default="rocksdb", choices=["rocksdb", "hdfs"],
+                    help="state store provider for the stateful stream jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
     def add(name, fn, *opts):
         p = sub.add_parser(name)
