@@ -60,3 +60,14 @@ def test_hot_key_edge_set_is_bounded(spark):
     ref = df.withColumn("m", F.avg("speed_kmh").over(
         Window.partitionBy("shipment_id").orderBy("event_time", "seq").rowsBetween(-4, 0)))
     assert out.exceptAll(ref.select(*out.columns)).count() == 0
+
+
+def test_trailing_mean_shuffles_the_input_once(lake01):
+    """Both branches of the skew-safe window read ONE shuffle of the input on
+    (shipment, bucket); AQE reuses the exchange for the second branch."""
+    s = lake01.silver.select("shipment_id", "seq", "event_time", "speed_kmh")
+    out = rolling.trailing_mean(s, "shipment_id", "event_time", "seq", "speed_kmh", "m", 5)
+    out.collect()
+    plan = _plan(out)
+    assert "isFinalPlan=true" in plan
+    assert plan.count("ReusedExchange") >= 1

@@ -15,7 +15,10 @@ earlier bucket are re-windowed per key:
   is exact for them.
 
 The per-key window therefore sees at most 2(n-1) rows per bucket, a volume
-bounded by the key's time span rather than its row count.
+bounded by the key's time span rather than its row count.  Both branches
+read the same shuffle of the input on (key, bucket): AQE reuses the exchange
+(``ReusedExchange`` in the executed plan, pinned by a test), so the big input
+is shuffled once and only the edge rows are shuffled again by key.
 """
 
 from __future__ import annotations
