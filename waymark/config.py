@@ -43,6 +43,8 @@ class Settings:
     unroll_max_segments: int = 64      # route networks up to this many segments are
                                        # compiled into one CASE/least expression
     unroll_max_facilities: int = 64    # same for the facility lookup
+    segment_index_min: int = 2_000     # networks with more segments use the cell index
+    segment_cell_km: float = 2.0       # cell size (= exact search radius) of that index
     rolling_bucket_seconds: int = 3600 # time bucket of the skew-safe trailing window
 
     @property

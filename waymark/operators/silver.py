@@ -79,18 +79,22 @@ def dist_to_route(df: DataFrame, route_segments: DataFrame,
 
     A small network (size-checked) is compiled into one expression,
     ``CASE route_id WHEN r THEN least(d(seg1), d(seg2), ...)``: no join, and
-    whole-stage codegen covers it (array lambdas are interpreted).  Larger
-    networks use a broadcast join and ``array_min(transform(...))``.
+    whole-stage codegen covers it (array lambdas are interpreted).  Medium
+    networks use a broadcast join and ``array_min(transform(...))``; networks
+    of long polylines use the exact cell index (:func:`dist_to_route_indexed`).
     """
     rows = network.collect_bounded(route_segments, settings.unroll_max_segments)
-    if rows is not None:
-        if sum(len(r["segs"]) for r in rows) <= settings.unroll_max_segments:
-            # Project the ping once; the per-segment terms are then plain
-            # arithmetic on two columns and folded literals.
-            return (df.withColumn("_px", geo.project_x("lon", settings))
-                      .withColumn("_py", geo.project_y("lat", settings))
-                      .withColumn(out, F.round(_unrolled_route_distance(rows, settings), 3))
-                      .drop("_px", "_py"))
+    n_segs = (sum(len(r["segs"]) for r in rows) if rows is not None
+              else route_segments.select(F.sum(F.size("segs"))).first()[0] or 0)
+    if rows is not None and n_segs <= settings.unroll_max_segments:
+        # Project the ping once; the per-segment terms are then plain
+        # arithmetic on two columns and folded literals.
+        return (df.withColumn("_px", geo.project_x("lon", settings))
+                  .withColumn("_py", geo.project_y("lat", settings))
+                  .withColumn(out, F.round(_unrolled_route_distance(rows, settings), 3))
+                  .drop("_px", "_py"))
+    if n_segs >= settings.segment_index_min:
+        return dist_to_route_indexed(df, route_segments, settings, out)
     return _dist_to_route_join(df, route_segments, settings, out)
 
 
@@ -124,6 +128,46 @@ def _dist_to_route_join(df: DataFrame, route_segments: DataFrame, settings: Sett
     return joined.select(*cols, F.round(dist, 3).alias(out))
 
 
+def dist_to_route_indexed(df: DataFrame, route_segments: DataFrame,
+                          settings: Settings = DEFAULT,
+                          out: str = "dist_to_route_km") -> DataFrame:
+    """Route distance for networks with long polylines, exact.
+
+    Every segment is registered in each grid cell (``C`` km) that its
+    bounding box, widened by ``C``, touches; a ping looks up its own cell only.
+    Any segment within ``C`` of the ping is registered there, so when the
+    nearest candidate is within ``C`` it is the true minimum.  Pings with no
+    candidate that close (far off route) take the full per-route scan, which
+    the CASE evaluates for those rows only.  Both lookups are equi-joins
+    (broadcast behind a size check).
+    """
+    c = settings.segment_cell_km
+    segs = route_segments.select("route_id", F.explode("segs").alias("s")).select(
+        "route_id", "s.*")
+    lo_x, hi_x = F.least("ax", "bx") - F.lit(c), F.greatest("ax", "bx") + F.lit(c)
+    lo_y, hi_y = F.least("ay", "by") - F.lit(c), F.greatest("ay", "by") + F.lit(c)
+    cells = (segs.withColumn("cx", F.explode(F.sequence(F.floor(lo_x / c), F.floor(hi_x / c))))
+                 .withColumn("cy", F.explode(F.sequence(F.floor(lo_y / c), F.floor(hi_y / c))))
+                 .groupBy("route_id", "cx", "cy")
+                 .agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("_cand")))
+    cells = network.maybe_broadcast(cells, settings)
+    full = network.maybe_broadcast(
+        route_segments.select(F.col("route_id").alias("_rid"), F.col("segs").alias("_segs")),
+        settings)
+    px, py = F.col("_px"), F.col("_py")
+    keyed = (df.withColumn("_px", geo.project_x("lon", settings))
+               .withColumn("_py", geo.project_y("lat", settings))
+               .withColumn("_cx", F.floor(F.col("_px") / c))
+               .withColumn("_cy", F.floor(F.col("_py") / c)))
+    j = (keyed.join(cells, (keyed["route_id"] == cells["route_id"]) & (F.col("_cx") == F.col("cx"))
+                    & (F.col("_cy") == F.col("cy")), "left").drop(cells["route_id"])
+              .join(full, F.col("route_id") == F.col("_rid"), "left"))
+    seg_d = lambda s: geo.point_segment_km(px, py, s["ax"], s["ay"], s["bx"], s["by"])
+    near = F.array_min(F.transform(F.col("_cand"), seg_d))
+    d = F.when(near <= F.lit(c), near).otherwise(F.array_min(F.transform(F.col("_segs"), seg_d)))
+    return j.select(*df.columns, F.round(d, 3).alias(out))
+
+
 # ---------------------------------------------------------------- facility lookup
 
 def _facility_array(rows) -> Column:
