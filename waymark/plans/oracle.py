@@ -303,7 +303,8 @@ def _long(src: str, name: str) -> str:
 
 
 def _hist(name: str, live_long: str) -> str:
-    cnt = ("SELECT l.feature, len(list_filter(c.cuts[2:10], lambda x: x <= l.value)) AS bin, count(*) AS n "
+    binx = " + ".join(f"(CASE WHEN c.cuts[{i}] <= l.value THEN 1 ELSE 0 END)" for i in range(2, 11))
+    cnt = ("SELECT l.feature, CAST(" + binx + " AS INTEGER) AS bin, count(*) AS n "
            "FROM {src} l JOIN cuts c ON c.feature = l.feature GROUP BY 1, 2")
     return (f"{name}0 AS (SELECT g.feature, g.bin, coalesce(r.n, 0) AS ref_count, "
             f"coalesce(v.n, 0) AS live_count FROM grid g LEFT JOIN ({cnt.format(src='reflong')}) r "
