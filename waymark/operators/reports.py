@@ -57,3 +57,24 @@ def exceptions_sample(exceptions: DataFrame, n: int = 10) -> DataFrame:
     return (exceptions.orderBy(F.col("window_start").desc(), "shipment_id").limit(n)
                       .select("shipment_id", "event_type", "window_start", "window_end",
                               "moved_km", "max_speed", "at_facility"))
+
+
+def bronze_quality(bronze: DataFrame) -> DataFrame:
+    """Data-quality counts of the Bronze table in one aggregation: rows whose
+    JSON did not parse (every ping field NULL), missing id / coordinates /
+    event time, coordinates out of range, and rows Silver validation keeps."""
+    fields = ["shipment_id", "vehicle_id", "route_id", "lat", "lon", "speed_kmh", "dist_km",
+              "total_km", "seq"]
+    unparsed = F.lit(True)
+    for c in fields:
+        unparsed = unparsed & F.col(c).isNull()
+    in_range = F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
+    valid = F.col("shipment_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull() & in_range
+    return bronze.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(unparsed).alias("unparseable"),
+        F.count_if(F.col("shipment_id").isNull()).alias("missing_id"),
+        F.count_if(F.col("lat").isNull() | F.col("lon").isNull()).alias("missing_coords"),
+        F.count_if(~in_range).alias("out_of_range"),
+        F.count_if(F.col("event_time").isNull()).alias("missing_event_time"),
+        F.count_if(valid).alias("valid"))

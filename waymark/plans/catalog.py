@@ -55,6 +55,11 @@ def _bronze_summary(lk: Lake) -> DataFrame:
     return reports.bronze_summary(lk.bronze)
 
 
+@query("bronze_quality")
+def _bronze_quality(lk: Lake) -> DataFrame:
+    return reports.bronze_quality(lk.bronze)
+
+
 @query("pings_per_route")
 def _pings_per_route(lk: Lake) -> DataFrame:
     return reports.pings_per_route(lk.bronze)

@@ -54,6 +54,16 @@ ORACLE["bronze_summary"] = pings_sql(
     "SELECT count(*) AS total_pings, count(DISTINCT shipment_id) AS shipments, "
     "count(DISTINCT route_id) AS routes, min(event_time) AS earliest_event, "
     "max(event_time) AS latest_event FROM pings")
+ORACLE["bronze_quality"] = pings_sql(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE shipment_id IS NULL AND vehicle_id IS NULL "
+    "AND route_id IS NULL AND lat IS NULL AND lon IS NULL AND speed_kmh IS NULL AND dist_km IS NULL "
+    "AND total_km IS NULL AND seq IS NULL) AS unparseable, "
+    "count(*) FILTER (WHERE shipment_id IS NULL) AS missing_id, "
+    "count(*) FILTER (WHERE lat IS NULL OR lon IS NULL) AS missing_coords, "
+    "count(*) FILTER (WHERE NOT (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180)) AS out_of_range, "
+    "count(*) FILTER (WHERE event_time IS NULL) AS missing_event_time, "
+    "count(*) FILTER (WHERE shipment_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND "
+    "lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS valid FROM pings")
 ORACLE["pings_per_route"] = pings_sql(
     "SELECT route_id, count(*) AS pings FROM pings GROUP BY route_id ORDER BY route_id NULLS FIRST")
 ORACLE["bronze_sample"] = with_ctes(PINGS_CTES, _ENV, body=(
