@@ -111,3 +111,11 @@ def test_indexed_route_distance_equals_full_scan(spark, lake01):
     assert "_cand" not in via.columns
     j = full.join(via.select("event_id", "copy", "v"), ["event_id", "copy"])
     assert j.where(~F.col("d").eqNullSafe(F.col("v"))).count() == 0
+
+
+def test_require_event_time_option(spark):
+    from datetime import datetime
+    df = spark.createDataFrame([("A", 1.0, 1.0, datetime(2024, 1, 1)), ("B", 1.0, 1.0, None)],
+                               "shipment_id string, lat double, lon double, event_time timestamp")
+    assert so.validate(df).count() == 2
+    assert so.validate(df, require_event_time=True).count() == 1

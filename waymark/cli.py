@@ -153,7 +153,8 @@ def cmd_drift(spark, a):
     from waymark.operators import drift
     from waymark.sources import tables
     ref = spark.read.parquet(a.training)
-    live = tables.read_predictions(spark, a.log)
+    live = drift.recent(tables.read_predictions(spark, a.log), since=a.since,
+                        last_n=int(a.last_n) if a.last_n else None)
     h = drift.histogram(ref, live)
     p = drift.psi(h)
     p.withColumn("status", drift.classify(F.col("psi"))).show(truncate=False)
@@ -196,7 +197,7 @@ def main(argv=None) -> None:
     add("train", cmd_train, "training", "registry")
     add("retrain", cmd_retrain, "training", "registry")
     add("score", cmd_score, "requests", "registry", "log")
-    add("drift", cmd_drift, "training", "log")
+    add("drift", cmd_drift, "training", "log", "since", "last_n")
     add("board", cmd_board, "silver", "status", "exceptions")
     a = ap.parse_args(argv)
     spark = _session(a)

@@ -35,6 +35,18 @@ def stacked(df: DataFrame, features=FEATURES) -> DataFrame:
     return s.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def recent(live: DataFrame, since=None, last_n: int | None = None,
+           ts_col: str = "ts") -> DataFrame:
+    """Restrict the live traffic to what was scored since ``since`` and/or to
+    the latest ``last_n`` predictions (a top-k by time), so that old traffic
+    does not dilute a recent shift."""
+    if since is not None:
+        live = live.where(F.col(ts_col) >= F.lit(since).cast("timestamp"))
+    if last_n is not None:
+        live = live.orderBy(F.col(ts_col).desc()).limit(last_n)
+    return live
+
+
 def cut_points(reference: DataFrame, features=FEATURES, settings: Settings = DEFAULT,
                exact: bool = True) -> DataFrame:
     """feature -> cuts array<double> of bins+1 edges; the outer edges are +-inf."""

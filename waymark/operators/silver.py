@@ -29,13 +29,19 @@ from waymark.sources import network
 DEDUP_KEYS = ("shipment_id", "seq")
 
 
-def validate(df: DataFrame) -> DataFrame:
+def validate(df: DataFrame, require_event_time: bool = False) -> DataFrame:
     """Keep pings with an id and coordinates inside the valid ranges (inclusive).
-    NaN coordinates fail the range test and are dropped too."""
-    return df.where(
-        F.col("shipment_id").isNotNull()
-        & F.col("lat").isNotNull() & F.col("lon").isNotNull()
-        & F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    NaN coordinates fail the range test and are dropped too.
+
+    Rows without an event time pass by default (they are written once and
+    never fall into a window); ``require_event_time`` rejects them as well.
+    """
+    ok = (F.col("shipment_id").isNotNull()
+          & F.col("lat").isNotNull() & F.col("lon").isNotNull()
+          & F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    if require_event_time:
+        ok = ok & F.col("event_time").isNotNull()
+    return df.where(ok)
 
 
 def with_watermark(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
