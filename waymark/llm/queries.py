@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import pii
+from waymark.llm import mixing, pii
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,13 +19,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 PII_KEY = "demonstration-key"
 
 
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents replicated to square-root-of-size target shares, one epoch, shuffled."""
+    return mixing.replicate(read(spark, sf_dir, "documents"))
+
+
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with pseudonymised text and the number of values replaced."""
     return pii.pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
 
 
 QUERIES: dict[str, Query] = {
+    "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_poisson_mixing": mixing.oracle(),
+}
