@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import mixing, pii
+from waymark.llm import decontaminate, mixing, pii
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 PII_KEY = "demonstration-key"
 
 
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated (doc_id, item_id) pairs of all documents and benchmark items."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents replicated to square-root-of-size target shares, one epoch, shuffled."""
     return mixing.replicate(read(spark, sf_dir, "documents"))
@@ -30,10 +35,12 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_spaced_seed_decontamination": decontaminate.oracle(),
     "op6_poisson_mixing": mixing.oracle(),
 }
