@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, mixing, pii
+from waymark.llm import decontaminate, mixing, pii, toxicity
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,17 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
+    "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
 }
 
 ORACLE: dict[str, str] = {
