@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, mixing, pii, toxicity
+from waymark.llm import decontaminate, mixing, pii, repeats, toxicity
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +40,17 @@ def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document once recurring 35-word windows are gone."""
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
+    "op9_repeated_phrases": op9_repeated_phrases,
 }
 
 ORACLE: dict[str, str] = {
