@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, mixing, pii, repeats, toxicity
+from waymark.llm import decontaminate, mixing, order_minhash, pii, repeats, toxicity
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return order_minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents replicated to square-root-of-size target shares, one epoch, shuffled."""
     return mixing.replicate(read(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ def op9_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
+    "op5_order_minhash": op5_order_minhash,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
