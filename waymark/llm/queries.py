@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, mixing, order_minhash, pii, repeats, toxicity
+from waymark.llm import decontaminate, lattice, mixing, order_minhash, pii, repeats, toxicity
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 PII_KEY = "demonstration-key"
 
 
+def op1_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9."""
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated (doc_id, item_id) pairs of all documents and benchmark items."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -51,6 +56,7 @@ def op9_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_e8_lattice": op1_e8_lattice,
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op5_order_minhash": op5_order_minhash,
     "op6_poisson_mixing": op6_poisson_mixing,
