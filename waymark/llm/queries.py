@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, lattice, mixing, order_minhash, pii, repeats, toxicity
+from waymark.llm import decontaminate, lattice, mixing, order_minhash, pages, pii, repeats, toxicity
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op9_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_e8_lattice": op1_e8_lattice,
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_counterfactual_toxicity": op8_counterfactual_toxicity,
     "op9_repeated_phrases": op9_repeated_phrases,
+    "op10_template_extraction": op10_template_extraction,
 }
 
 ORACLE: dict[str, str] = {
