@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, lattice, mixing, order_minhash, pages, pii, repeats, toxicity
+from waymark.llm import decontaminate, lattice, mixing, order_minhash, pages, pii, repeats, toxicity, warc
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    return warc.archive(read(spark, sf_dir, "pages"))
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return order_minhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_e8_lattice": op1_e8_lattice,
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
+    "op4_warc_dictionary": op4_warc_dictionary,
     "op5_order_minhash": op5_order_minhash,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
@@ -73,5 +79,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op3_spaced_seed_decontamination": decontaminate.oracle(),
+    "op4_warc_dictionary": warc.oracle(),
     "op6_poisson_mixing": mixing.oracle(),
 }
