@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, lattice, mixing, order_minhash, pages, pii, repeats, toxicity, warc
+from waymark.llm import chat, decontaminate, lattice, mixing, order_minhash, pages, pii, repeats, toxicity, warc
 from waymark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op1_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op2_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of conversations in its repaired and rendered form."""
+    return chat.format_chat(read(spark, sf_dir, "conversations"))
+
+
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated (doc_id, item_id) pairs of all documents and benchmark items."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -67,6 +72,7 @@ def op10_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_e8_lattice": op1_e8_lattice,
+    "op2_role_repair": op2_role_repair,
     "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
     "op4_warc_dictionary": op4_warc_dictionary,
     "op5_order_minhash": op5_order_minhash,
