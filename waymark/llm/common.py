@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +31,38 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application (what
+    ``--py-files`` does), so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if getattr(sc, "_waymark_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="waymark-py-"), "waymark_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._waymark_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and return a scan of it.
 
     Cuts the lineage: lost executors cost a re-read, and later stages see the
     same rows and Spark knows the table's size.
     """
+    ship(df.sparkSession)
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
