@@ -113,7 +113,7 @@ def _writer(folder: str, dictionary: bytes, date: str):
                         if out is not None:
                             out.close()
                         name = f"part-{uuid.uuid4().hex}.warc.zst"
-                        out = store.open_output_stream(f"{root}/{name}")
+                        out = store.open_output_stream(f"{root}/{name}", compression=None)
                         out.write(lead)
                         at = len(lead)
                     out.write(frame)
@@ -146,7 +146,7 @@ def write(pages: DataFrame, folder: str, min_payload: int = 0, date: str = DATE,
 
 def _records(store, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of an archive's records, one at a time."""
-    with store.open_input_stream(path) as f:
+    with store.open_input_stream(path, compression=None) as f:
         magic, size = struct.unpack("<II", f.read(8))
         if magic != SKIPPABLE_MAGIC:
             raise ValueError(f"{path}: no dictionary frame")
