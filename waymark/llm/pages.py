@@ -8,8 +8,8 @@ tokens), frequent (``MIN_SHARE`` of the host's pages and at least ``MIN_PAGES``)
 holds a tag (passages that copies of an article share form classes of text alone
 and are content) and its tokens stand in one order on every page.  The valid classes
 are nested by their places into the template.  What the template doesn't hold are its
-slots; the text of the slots of the article is extracted, and template text inside
-it (share lines, standing notices) goes with the template.
+slots; the text of the slots of the article is extracted, and blocks inside it that
+are all template text (share lines, standing notices) go with the template.
 
 The article is the ``article`` or ``main`` element the template holds (or, on hosts
 with too few pages for a template, the page); pages without one use the whole
@@ -177,13 +177,13 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     stack: list[tuple[str, bool, bool]] = []          # name, left out, in the article
     path: list[str] = []
     blocks: list[str] = []
-    now: list[str] = []
+    now: list[tuple[str, bool]] = []                  # text, part of the template
 
     def close_block() -> None:
-        words = " ".join("".join(now).split())
-        now.clear()
-        if words:
+        words = " ".join("".join([t for t, _ in now]).split())
+        if words and not all(known for t, known in now if t.strip()):
             blocks.append(words)
+        now.clear()
 
     for kind, name, detail in toks:
         out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
@@ -191,11 +191,10 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
             text = html.unescape(detail)
             if not out and (inside or not has_main):
                 words = " ".join(text.split())
-                if not (words and template and _hash(f"t|{'/'.join(path)}|{words}") in template):
-                    now.append(text)
+                now.append((text, bool(words and template) and _hash(f"t|{'/'.join(path)}|{words}") in template))
             continue
         if name == "br":
-            now.append(" ")
+            now.append((" ", False))
         elif name not in INLINE:
             close_block()
         if kind == "open":
