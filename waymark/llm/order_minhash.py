@@ -14,10 +14,17 @@ probability 3e-6.  Texts of up to ``SHORT`` shingles also get ``SHORT_TABLES``
 keys of a single shingle.
 
 *Candidates.*  Texts with equal word sequences are one class, entered once.
-Every text is verified against the least id of each of its buckets; where that
-leaves the texts of a bucket in different components, pairs across the components
-are verified too.  Pairs inside a component cannot change the result and are not
-made, so a bucket of many copies costs one pair for each.
+Every text is verified against the most central text of each of its buckets, the one
+whose buckets hold most: of many edited copies that is the least edited, near to
+all.  Pairs inside a component cannot change the result and are not made, so a bucket
+of many copies costs one pair for each.  Where a bucket is left in several components,
+pairs across them are verified too: all of them in buckets of at most ``FEW`` texts;
+in larger ones, which a common passage or many much edited copies fill, the texts are
+regrouped by a finer sketch (``FINE``: more shingles to a key and more tables, missing
+a link with probability 2e-6).  Texts connected by its buckets are compared in squares of
+``SIDE`` by ``SIDE`` texts, each a task's matrix product of shingle incidence that
+bounds every pair's matches; only pairs that reach the bound are aligned and only links
+leave the task.
 
 *Verification.*  Bit-parallel alignment of the shingle sequences restricted to
 the band ``|i - j| <= a + b - 2 m0``, where ``m0`` is the least ``m`` that links
@@ -45,6 +52,11 @@ from waymark.llm.shingles import Words, mixed
 SHINGLE, SIMILARITY = 5, 0.8
 TABLES, TAKE = 24, 4
 SHORT, SHORT_TABLES = 44, 8
+#: Largest bucket whose cross pairs are all verified; tables and shingles of the finer
+#: sketch, for all texts and in addition for short ones.
+FEW = 32
+FINE, FINE_SHORT = (72, 8), (24, 3)
+SIDE, COLUMNS = 256, 1 << 14
 #: Matrix cells of one step of the sketch; longer texts take the tables in turns.
 CELLS = 1 << 21
 
@@ -66,7 +78,7 @@ def _labelled(g: np.ndarray) -> np.ndarray:
         return mixed(g + occ * np.uint64(0x9E3779B97F4A7C15)) if occ.any() else mixed(g)
 
 
-_SEEDS = mixed(np.arange(1, 2 * (TABLES + SHORT_TABLES) + 1, dtype=np.uint64))
+_SEEDS = mixed(np.arange(1, 2 * (TABLES + SHORT_TABLES + FINE[0] + FINE_SHORT[0]) + 1, dtype=np.uint64))
 _XOR, _ODD = _SEEDS[::2], _SEEDS[1::2] | np.uint64(1)
 
 
@@ -97,6 +109,19 @@ def sketch(g: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def fine_sketch(g: np.ndarray) -> np.ndarray:
+    label, at = _labelled(g), TABLES + SHORT_TABLES
+    keys = _keys(g, label, range(at, at + FINE[0]), FINE[1])
+    if len(g) <= SHORT:
+        keys = np.concatenate([keys, _keys(g, label, range(at + FINE[0], at + FINE[0] + FINE_SHORT[0]), FINE_SHORT[1])])
+    return keys.view(np.int64)
+
+
+def _fine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"id": b["id"], "key": [fine_sketch(shingles(t)) for t in b["text"]]})
+
+
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         n, digest, keys = np.empty(len(b), np.int64), [], []
@@ -165,6 +190,73 @@ def _verified(similarity: float):
     return run
 
 
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of labelled shingle sets, by incidence products
+    of ``COLUMNS`` labels at a time."""
+    names, col = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in [*a, *b]])
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, len(names), COLUMNS):
+        s, e = np.searchsorted(col, [lo, lo + COLUMNS])
+        m = np.zeros((len(a) + len(b), min(COLUMNS, len(names) - lo)), np.float32)
+        m[row[s:e], col[s:e] - lo] = 1
+        out += m[:len(a)] @ m[len(a):].T
+    return out
+
+
+def _square(part: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    side = part["side"].to_numpy()
+    x = part[side != 1]
+    y = part[side != 0] if (side == 2).any() else part[side == 1]
+    if not len(x) or not len(y):
+        return []
+    ids, ids_y = x["id"].to_numpy(), y["id"].to_numpy()
+    differ = x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :]
+    if (side == 2).any():
+        differ &= ids[:, None] < ids_y[None, :]
+    if not differ.any():
+        return []
+    gx, gy = [shingles(t) for t in x["text"]], [shingles(t) for t in y["text"]]
+    n, m = np.array([len(g) for g in gx])[:, None], np.array([len(g) for g in gy])[None, :]
+    need = np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9)
+    common = _common([_labelled(g) for g in gx], [_labelled(g) for g in gy])
+    return [(int(ids[i]), int(ids_y[j])) for i, j in zip(*np.nonzero(differ & (common >= need)))
+            if matched(gx[i].tolist(), gy[j].tolist(), int(need[i, j])) >= need[i, j]]
+
+
+def _squares(similarity: float):
+    """Rows come sorted by square (group, i, j); a square may run over several batches."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry, found = None, []
+        for b in batches:
+            b = b if carry is None else pd.concat([carry, b], ignore_index=True)
+            k = b[["grp", "i", "j"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist()]
+            for s, e in zip(cuts, cuts[1:]):
+                found += _square(b.iloc[s:e], similarity)
+            carry = b.iloc[cuts[-1]:]
+        if carry is not None and len(carry):
+            found += _square(carry, similarity)
+        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return run
+
+
+def across_groups(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between texts of one group and of different components; members
+    (id, grp, component).  A square holds at most about 2 SIDE texts."""
+    blocks = members.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("blocks"))
+    m = members.join(blocks, "grp").withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # Side 0 fills rows, 1 columns, 2 both (a square on the diagonal).
+    spots = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
+        F.least("at", o).alias("i"), F.greatest("at", o).alias("j"),
+        F.when(F.col("at") == o, 2).when(F.col("at") < o, 0).otherwise(1).alias("side")))
+    light = m.select("id", "grp", "component", F.explode(spots).alias("s")).select("id", "grp", "component", "s.*")
+    return light.join(texts.select("id", "text"), "id").repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j") \
+        .mapInPandas(_squares(similarity), "a long, b long")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose texts (id, text) are similar."""
     one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -172,6 +264,21 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     return both.select("a", "b", "ta", "tb").mapInPandas(_verified(similarity), "a long, b long")
 
 
+def _in_several(of: DataFrame) -> DataFrame:
+    """Rows (key, id, n, component) of the buckets that hold several components."""
+    split = of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return of.join(split, "key", "left_semi")
+
+
+def _across(of: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components and of fitting lengths."""
+    rest = _in_several(of)
+    x = rest.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
+    y = rest.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
+    fits = (F.col("an") >= F.col("bn") * similarity - 1e-9) & (F.col("bn") >= F.col("an") * similarity - 1e-9)
+    return x.join(y, "key").where(fits & (F.col("ac") != F.col("bc")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
                     similarity: float = SIMILARITY) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id (least id of its class), kept."""
@@ -183,9 +290,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
     entered = worded.join(members.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi") \
         .select(F.col("doc_id").alias("id"), "n", F.explode("keys").alias("key"))
     entered = stored(entered.distinct(), "buckets")
-    hubs = entered.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("most")).where("hub < most")
-    held = stored(entered.join(hubs.select("key", "hub"), "key"), "shared-buckets")
-    first = stored(held.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
+    sizes = entered.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    held = stored(entered.join(sizes, "key"), "shared-buckets")
+    central = held.groupBy("id").agg(F.sum("size").alias("rank"))
+    hubs = held.select("key", "id").join(central, "id").groupBy("key") \
+        .agg(F.max(F.struct("rank", (-F.col("id")).alias("id"))).alias("top")).select("key", (-F.col("top.id")).alias("hub"))
+    first = stored(held.select("key", "id").join(hubs, "key").where("id <> hub")
+                   .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
 
     shared = held.select("id").distinct()
     # One text for each id, also where rows share one.
@@ -193,21 +304,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
                    "pair-texts")
     links = stored(verify(first, texts, similarity), "hub-links")
     comp = stored(components(links), "hub-components")
-    of = held.join(comp, "id", "left").select("key", "id", "n", "hub", F.coalesce("component", "id").alias("component"))
-    of = stored(of, "bucket-components")
-    split = of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                  F.min(F.struct(F.col("id"), F.col("component"))).alias("first")) \
-        .where("lo <> hi").select("key", F.col("first.component").alias("main"))
-    rest = of.join(split, "key")
-    x = rest.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("an"),
-                                               F.col("component").alias("ac"))
-    y = rest.where("id <> hub").select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"),
-                                       (F.col("component") == F.col("main")).alias("in_main"))
-    fits = (F.col("an") >= F.col("bn") * similarity - 1e-9) & (F.col("bn") >= F.col("an") * similarity - 1e-9)
-    across = x.join(y, "key").where(fits & (F.col("ac") != F.col("bc")) & (F.col("in_main") | (F.col("a") < F.col("b")))) \
-        .select("a", "b").distinct()
-    more = stored(verify(across, texts, similarity), "cross-links")
-    final = components(links.unionByName(more))
+    of = stored(held.join(comp, "id", "left").select("key", "id", "n", "size", F.coalesce("component", "id").alias("component")),
+                "bucket-components")
+    few = _across(of.where(F.col("size") <= FEW), similarity)
+    many = _in_several(of.where(F.col("size") > FEW)).select("id", "n", "component").distinct()
+    again = stored(many.join(texts, "id").select("id", "text").mapInPandas(_fine, "id long, key array<long>"), "fine-sketches")
+    fine = stored(again.select("id", F.explode("key").alias("key")).distinct(), "fine-buckets")
+    least = fine.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    grp = components(fine.join(least, "key").where("id > least").select("id", "least").distinct(), "id", "least")
+    grouped = stored(many.join(grp.select("id", F.col("component").alias("grp")), "id"), "fine-groups")
+    wide = stored(across_groups(grouped.select("id", "grp", "component"), texts, similarity), "wide-links")
+    more = stored(verify(few, texts, similarity), "cross-links")
+    final = components(links.unionByName(more).unionByName(wide))
     lines = sk.select("doc_id").join(members.distinct(), "doc_id", "left")
     return lines.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left") \
         .select("doc_id", F.coalesce("component", "rep", "doc_id").alias("class_id")) \
