@@ -71,3 +71,14 @@ def test_dist_remaining_and_progress(spark):
     r = df.select(telemetry.dist_remaining_km().alias("rem"), telemetry.progress_pct().alias("p")).collect()
     assert [x.rem for x in r] == [5.0, 0.0, None, 0.0, None]
     assert [x.p for x in r] == [50.0, 120.0, None, 0.0, 0.0]
+
+
+def test_expected_position_on_a_repeated_last_waypoint(spark):
+    from waymark.operators import geometry
+    from waymark.sources import network
+    wp = spark.createDataFrame([(0, "R", 0, 1.0, 103.0), (0, "R", 1, 1.1, 103.0), (0, "R", 2, 1.1, 103.0)],
+                               "route_rank int, route_id string, seq int, lat double, lon double")
+    seg = network.segments(wp)
+    rows = spark.createDataFrame([("R", 0.0), ("R", 500.0), ("X", 1.0)], "route_id string, dist_km double")
+    got = {(r.route_id, r.dist_km): (r.exp_lat, r.exp_lon) for r in geometry.expected_position(rows, seg).collect()}
+    assert got == {("R", 0.0): (1.0, 103.0), ("R", 500.0): (1.1, 103.0), ("X", 1.0): (None, None)}

@@ -1,4 +1,6 @@
 """Sampling operators, single-shipment ETA and tolerant reads."""
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +41,11 @@ def test_tolerant_reads(spark, tmp_path):
     assert tables.read_table_or_empty(spark, missing, schema).count() == 0
     assert tables.read_table_or_none(spark, missing) is None
     assert fleet.exception_feed(None, None) is None
+    assert tables.read_predictions(spark, missing).count() == 0
+    # a table that exists without one of the columns is an error, not an empty table
+    spark.createDataFrame([("a",)], "shipment_id string").write.parquet(str(tmp_path / "part"))
+    with pytest.raises(AnalysisException):
+        tables.read_table_or_empty(spark, str(tmp_path / "part"), schema)
 
 
 def test_exception_feed_with_one_side_missing(lake001):

@@ -6,11 +6,16 @@
     python -m waymark query-bronze --bronze BRONZE
     python -m waymark query-gold --silver SILVER --status STATUS --exceptions EXC
     python -m waymark training   --silver SILVER --out TRAINING
-    python -m waymark train      --training TRAINING --registry REG
-    python -m waymark retrain    --training TRAINING --registry REG
-    python -m waymark score      --requests REQUESTS.json --registry REG --log LOG
+    python -m waymark train      --training TRAINING --registry REG [--max-iter N --max-depth N]
+    python -m waymark retrain    --training TRAINING --registry REG [--max-iter N --max-depth N]
+    python -m waymark score      --requests REQUESTS.json --registry REG --log LOG [--rejects PATH]
+    python -m waymark eta        --silver SILVER --shipment ID --log LOG [--registry REG]
     python -m waymark drift      --training TRAINING --log LOG
-    python -m waymark board      --silver SILVER [--status STATUS --exceptions EXC]
+    python -m waymark board      --silver SILVER [--registry REG --out PATH --status STATUS --exceptions EXC]
+
+Rejected requests and the board are written whole (``--rejects``, default LOG-rejects;
+``--out``); what is shown is only an extract.  Streams take at most ``--max-files`` files
+or ``--max-offsets`` Kafka offsets a batch, so the watermark moves while a backlog is read.
 
 Streaming jobs run continuously (processing-time trigger) unless ``--once``
 (availableNow).  ``--bootstrap/--topic`` make the Bronze source Kafka.
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 
 from waymark.config import DEFAULT
 from waymark.session import use_utc
+from waymark.sources.tables import read_table
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -61,8 +67,8 @@ def _run(df, path, ckpt, once, fmt, name):
 def cmd_bronze(spark, a):
     from waymark.sources import envelope
     from waymark.streaming import jobs
-    raw = envelope.read_envelopes(spark, a.source, streaming=True, bootstrap=a.bootstrap,
-                                  topic=a.topic)
+    raw = envelope.read_envelopes(spark, a.source, streaming=True, bootstrap=a.bootstrap, topic=a.topic,
+                                  max_files_per_trigger=a.max_files, max_offsets_per_trigger=a.max_offsets)
     q = _run(jobs.bronze_stream(raw), a.out, a.checkpoint, a.once, a.format, "bronze")
     if not a.once:
         q.awaitTermination()
@@ -70,8 +76,8 @@ def cmd_bronze(spark, a):
 
 def cmd_silver(spark, a):
     from waymark.streaming import jobs
-    schema = spark.read.format(a.format).load(a.bronze).schema
-    src = spark.readStream.format(a.format).schema(schema).load(a.bronze)
+    schema = read_table(spark, a.bronze, a.format).schema
+    src = jobs.file_stream(spark, a.bronze, schema, a.format, a.max_files)
     arrays, fac = _dims(spark)
     q = _run(jobs.silver_stream(src, arrays, fac), a.out, a.checkpoint, a.once, a.format, "silver")
     if not a.once:
@@ -80,8 +86,8 @@ def cmd_silver(spark, a):
 
 def cmd_gold(spark, a):
     from waymark.streaming import jobs
-    schema = spark.read.format(a.format).load(a.silver).schema
-    src = lambda: spark.readStream.format(a.format).schema(schema).load(a.silver)
+    schema = read_table(spark, a.silver, a.format).schema
+    src = lambda: jobs.file_stream(spark, a.silver, schema, a.format, a.max_files)
     _run(jobs.status_stream(src()), a.status, f"{a.checkpoint}/status", a.once, a.format, "gold_status")
     _run(jobs.exceptions_stream(src()), a.exceptions, f"{a.checkpoint}/exceptions", a.once,
          a.format, "gold_exceptions")
@@ -91,7 +97,7 @@ def cmd_gold(spark, a):
 
 def cmd_query_bronze(spark, a):
     from waymark.operators import reports
-    b = spark.read.format(a.format).load(a.bronze)
+    b = read_table(spark, a.bronze, a.format)
     reports.bronze_summary(b).show(truncate=False)
     reports.pings_per_route(b).show(truncate=False)
     reports.bronze_sample(b).show(truncate=False)
@@ -116,37 +122,54 @@ def cmd_query_gold(spark, a):
 
 def cmd_training(spark, a):
     from waymark.operators import eta
-    t = eta.training_set(spark.read.format(a.format).load(a.silver))
+    t = eta.training_set(read_table(spark, a.silver, a.format))
     t.write.mode("overwrite").parquet(a.out)
     eta.label_summary(spark.read.parquet(a.out)).show(truncate=False)
 
 
+def _params(a) -> dict:
+    given = {"maxIter": a.max_iter, "maxDepth": a.max_depth}
+    return {k: int(v) for k, v in given.items() if v}
+
+
 def cmd_train(spark, a):
     from waymark.operators import model
-    print(json.dumps(model.train_and_register(spark, spark.read.parquet(a.training), a.registry),
+    print(json.dumps(model.train_and_register(spark, spark.read.parquet(a.training), a.registry, params=_params(a)),
                      default=str))
 
 
 def cmd_retrain(spark, a):
     from waymark.operators import model
-    model.champion_challenger(spark, spark.read.parquet(a.training), a.registry).show(truncate=False)
+    model.champion_challenger(spark, spark.read.parquet(a.training), a.registry, params=_params(a)).show(truncate=False)
+
+
+def _model(spark, a):
+    from waymark.operators import model
+    return model.resolve_version(spark, a.registry) if a.registry else (None, None)
 
 
 def cmd_score(spark, a):
-    from waymark.operators import eta, model
+    from waymark.operators import eta
+    from waymark.sources import tables
+    req = spark.read.schema(eta.REQUEST_SCHEMA).json(a.requests)
+    req = req.withColumn("as_of", F.coalesce("as_of", F.current_timestamp()))
+    m, version = _model(spark, a)
+    eta.reject_requests(req).write.mode("append").json(a.rejects or f"{a.log.rstrip('/')}-rejects")
+    tables.append_predictions(eta.score(eta.request_features(req), m, model_version=version), a.log)
+    tables.read_predictions(spark, a.log).groupBy("method", "model_version").count().show()
+
+
+def cmd_eta(spark, a):
+    from waymark.operators import eta
     from waymark.sources import tables
-    req = spark.read.json(a.requests)
-    if "as_of" not in req.columns:
-        req = req.withColumn("as_of", F.current_timestamp())
-    for c in eta.REQUEST_COLUMNS:
-        if c not in req.columns:
-            req = req.withColumn(c, F.lit(None).cast("string" if c in ("request_id", "route_id") else "double"))
-    req = req.withColumn("hour", F.col("hour").cast("int")).withColumn("dow", F.col("dow").cast("int"))
-    m = model.resolve_alias(spark, a.registry, "eta-predictor") if a.registry else None
-    eta.reject_requests(req).show(truncate=False)
-    scored = eta.score(eta.request_features(req), m)
-    tables.append_predictions(scored, a.log)
-    scored.groupBy("method").count().show()
+    m, version = _model(spark, a)
+    one = eta.shipment_eta(read_table(spark, a.silver, a.format), a.shipment, m, model_version=version).cache()
+    if one.isEmpty():
+        print(f"shipment {a.shipment} not found")
+        return
+    if a.log:
+        tables.append_predictions(one, a.log)
+    one.show(truncate=False)
 
 
 def cmd_drift(spark, a):
@@ -155,20 +178,27 @@ def cmd_drift(spark, a):
     ref = spark.read.parquet(a.training)
     live = drift.recent(tables.read_predictions(spark, a.log), since=a.since,
                         last_n=int(a.last_n) if a.last_n else None)
-    h = drift.histogram(ref, live)
-    p = drift.psi(h)
+    p = drift.psi(drift.histogram(ref, live))
     p.withColumn("status", drift.classify(F.col("psi"))).show(truncate=False)
-    live.groupBy("method").count().show()
+    live.groupBy("method", "model_version").count().show()
     drift.report(p).show(truncate=False)
 
 
 def cmd_board(spark, a):
-    from waymark.operators import fleet
+    from waymark.operators import eta, fleet
     from waymark.sources.tables import read_table_or_none
-    silver = spark.read.format(a.format).load(a.silver)
-    board = fleet.board(fleet.with_status(fleet.latest_nonnull(silver), DEFAULT), DEFAULT)
+    silver = read_table(spark, a.silver, a.format)
+    m, version = _model(spark, a)
+    by_model = None
+    if m is not None:
+        feats = eta.shipment_features(silver, DEFAULT).drop("event_time")
+        by_model = eta.score(feats, m, DEFAULT, version).select("shipment_id", F.col("predicted_eta_min").alias("eta_min"))
+    board = fleet.board(fleet.with_status(fleet.latest_nonnull(silver), DEFAULT), DEFAULT, by_model)
+    if a.out:
+        board.write.mode("overwrite").parquet(a.out)
+        board = spark.read.parquet(a.out)
     fleet.kpis(board).show(truncate=False)
-    board.show(50, truncate=False)
+    board.orderBy(F.col("eta_min").asc_nulls_last(), "shipment_id").show(20, truncate=False)
     feed = fleet.exception_feed(read_table_or_none(spark, a.status, a.format) if a.status else None,
                                 read_table_or_none(spark, a.exceptions, a.format) if a.exceptions else None)
     if feed is not None:
@@ -185,7 +215,9 @@ def main(argv=None) -> None:
     def add(name, fn, *opts):
         p = sub.add_parser(name)
         for o in opts:
-            p.add_argument(f"--{o}", default=None)
+            p.add_argument(f"--{o.replace('_', '-')}", dest=o, default=None)
+        p.add_argument("--max-files", default="1000")
+        p.add_argument("--max-offsets", default="1000000")
         p.add_argument("--once", action="store_true")
         p.set_defaults(fn=fn)
     add("bronze", cmd_bronze, "source", "bootstrap", "topic", "out", "checkpoint")
@@ -194,11 +226,12 @@ def main(argv=None) -> None:
     add("query-bronze", cmd_query_bronze, "bronze")
     add("query-gold", cmd_query_gold, "silver", "status", "exceptions")
     add("training", cmd_training, "silver", "out")
-    add("train", cmd_train, "training", "registry")
-    add("retrain", cmd_retrain, "training", "registry")
-    add("score", cmd_score, "requests", "registry", "log")
+    add("train", cmd_train, "training", "registry", "max_iter", "max_depth")
+    add("retrain", cmd_retrain, "training", "registry", "max_iter", "max_depth")
+    add("score", cmd_score, "requests", "registry", "log", "rejects")
+    add("eta", cmd_eta, "silver", "shipment", "registry", "log")
     add("drift", cmd_drift, "training", "log", "since", "last_n")
-    add("board", cmd_board, "silver", "status", "exceptions")
+    add("board", cmd_board, "silver", "registry", "out", "status", "exceptions")
     a = ap.parse_args(argv)
     spark = _session(a)
     a.fn(spark, a)

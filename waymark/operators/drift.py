@@ -39,11 +39,12 @@ def recent(live: DataFrame, since=None, last_n: int | None = None,
            ts_col: str = "ts") -> DataFrame:
     """Restrict the live traffic to what was scored since ``since`` and/or to
     the latest ``last_n`` predictions (a top-k by time), so that old traffic
-    does not dilute a recent shift."""
+    does not dilute a recent shift.  Predictions of one batch share their time;
+    a hash of the whole row, then the row itself, decides among them."""
     if since is not None:
         live = live.where(F.col(ts_col) >= F.lit(since).cast("timestamp"))
     if last_n is not None:
-        live = live.orderBy(F.col(ts_col).desc()).limit(last_n)
+        live = live.orderBy(F.col(ts_col).desc(), F.xxhash64(*live.columns), *live.columns).limit(last_n)
     return live
 
 
@@ -61,14 +62,6 @@ def cut_points(reference: DataFrame, features=FEATURES, settings: Settings = DEF
                                             F.array(F.lit(float("inf")))).alias("cuts")))
 
 
-def bin_counts(long: DataFrame, cuts: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """feature, bin, count; bin = number of inner cuts <= value."""
-    bins = settings.psi_bins
-    j = long.join(F.broadcast(cuts), "feature")
-    b = F.size(F.filter(F.slice(F.col("cuts"), 2, bins - 1), lambda c: c <= F.col("value")))
-    return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def histograms(reference: DataFrame, lives: dict[str, DataFrame], features=FEATURES,
                settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
     """traffic, feature, bin, ref_count, live_count, ref_share, live_share.
@@ -94,15 +87,19 @@ def histograms(reference: DataFrame, lives: dict[str, DataFrame], features=FEATU
     h = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["__ref__", *lives])
     from pyspark.sql import Window
     tot = Window.partitionBy("feature")
+
+    def share(c: str) -> F.Column:
+        """NULL on a side without rows."""
+        return F.when(F.sum(f"`{c}`").over(tot) > 0, F.greatest(
+            F.try_divide(F.col(f"`{c}`"), F.sum(f"`{c}`").over(tot)), F.lit(floor)))
+
     out = []
     for name, live in lives.items():
         present = [f for f in features if f in live.columns]
         out.append(h.where(F.col("feature").isin(present)).select(
             F.lit(name).alias("traffic"), "feature", "bin",
             F.col("__ref__").alias("ref_count"), F.col(f"`{name}`").alias("live_count"),
-            F.greatest(F.col("__ref__") / F.sum("__ref__").over(tot), F.lit(floor)).alias("ref_share"),
-            F.greatest(F.col(f"`{name}`") / F.sum(f"`{name}`").over(tot), F.lit(floor))
-             .alias("live_share")))
+            share("__ref__").alias("ref_share"), share(name).alias("live_share")))
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
@@ -116,14 +113,16 @@ def histogram(reference: DataFrame, live: DataFrame, features=FEATURES,
 
 
 def psi(hist: DataFrame) -> DataFrame:
-    """Per feature (and traffic, when present): sum of the PSI terms."""
+    """Per feature (and traffic, when present): sum of the PSI terms; NULL when the
+    reference or the live side has no rows."""
     term = (F.col("live_share") - F.col("ref_share")) * F.log(F.col("live_share") / F.col("ref_share"))
     keys = [c for c in ("traffic", "feature") if c in hist.columns]
     return hist.groupBy(*keys).agg(F.sum(term).alias("psi"))
 
 
 def classify(psi_col, settings: Settings = DEFAULT):
-    return (F.when(psi_col > F.lit(settings.psi_alert), F.lit("SIGNIFICANT DRIFT"))
+    return (F.when(psi_col.isNull(), F.lit("no live traffic"))
+             .when(psi_col > F.lit(settings.psi_alert), F.lit("SIGNIFICANT DRIFT"))
              .when(psi_col > F.lit(settings.psi_warn), F.lit("moderate shift"))
              .otherwise(F.lit("stable")))
 
@@ -135,8 +134,10 @@ def report(psi_df: DataFrame, settings: Settings = DEFAULT, by=()) -> DataFrame:
     rows = psi_df.withColumn("status", classify(F.col("psi"), settings))
     verdict = rows.groupBy(*by).agg(
         F.max("psi").alias("max_psi"),
-        F.bool_or(F.col("psi") > F.lit(settings.psi_alert)).alias("alert"),
-        F.count(F.lit(1)).alias("features_checked"))
+        F.coalesce(F.bool_or(F.col("psi") > F.lit(settings.psi_alert)), F.lit(False)).alias("alert"),
+        F.count("psi").alias("features_checked"))
     return verdict.withColumn("recommendation", F.when(
+        F.col("features_checked") == 0, F.lit("no live traffic to compare"))
+        .when(
         F.col("alert"), F.lit("SIGNIFICANT DRIFT detected -> recommend retraining"))
         .otherwise(F.lit("inputs stable vs training distribution -> no retrain needed")))

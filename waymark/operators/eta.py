@@ -21,6 +21,7 @@ from waymark.config import DEFAULT, Settings
 from waymark.functions import telemetry
 from waymark.operators import fleet, rolling
 
+# Feature, target and column names of the training table.
 NUMERIC = ["hour", "dow", "dist_remaining_km", "progress_pct", "speed_kmh", "avg_speed_kmh",
            "dist_to_route_km", "is_stopped"]
 TARGET = "minutes_to_arrival"
@@ -106,6 +107,11 @@ REQUEST_COLUMNS = ["request_id", "route_id", "dist_remaining_km", "progress_pct"
                    "avg_speed_kmh", "dist_to_route_km", "hour", "dow", "as_of"]
 
 
+#: Schema of request files.
+REQUEST_SCHEMA = ("request_id string, route_id string, dist_remaining_km double, progress_pct double, speed_kmh double, "
+                  "avg_speed_kmh double, dist_to_route_km double, hour int, dow int, as_of timestamp")
+
+
 def requests_from_pings(silver: DataFrame, shifted: bool = False) -> DataFrame:
     """Prediction requests as a client sends them: every ping asks for an ETA.
 
@@ -133,14 +139,15 @@ def requests_from_pings(silver: DataFrame, shifted: bool = False) -> DataFrame:
 
 def _valid_request() -> Column:
     return (F.col("route_id").isNotNull() & F.col("dist_remaining_km").isNotNull()
-            & (F.col("dist_remaining_km") >= 0))
+            & ~F.isnan(F.col("dist_remaining_km").cast("double")) & (F.col("dist_remaining_km") >= 0))
 
 
 def reject_requests(requests: DataFrame) -> DataFrame:
     """Requests a client gets an error for: missing route or distance, or a
     negative remaining distance."""
     reason = (F.when(F.col("route_id").isNull(), F.lit("route_id missing"))
-               .when(F.col("dist_remaining_km").isNull(), F.lit("dist_remaining_km missing"))
+               .when(F.col("dist_remaining_km").isNull() | F.isnan(F.col("dist_remaining_km").cast("double")),
+                     F.lit("dist_remaining_km missing"))
                .otherwise(F.lit("dist_remaining_km must be >= 0")))
     return requests.where(~F.coalesce(_valid_request(), F.lit(False))) \
                    .select("request_id", "route_id", "dist_remaining_km", reason.alias("reason"))
@@ -150,52 +157,65 @@ def request_features(requests: DataFrame, settings: Settings = DEFAULT) -> DataF
     """Valid requests with defaults filled: hour / weekday from ``as_of``,
     trailing speed <- current speed, other numerics 0, stopped = speed < 3."""
     r = requests.where(F.coalesce(_valid_request(), F.lit(False)))
-    speed = F.coalesce(F.col("speed_kmh"), F.lit(0.0))
+
+    def number(c: str) -> Column:
+        """NaN counts as missing."""
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    speed = F.coalesce(number("speed_kmh"), F.lit(0.0))
     return r.select(
         "request_id", "route_id",
         F.coalesce(F.col("hour"), telemetry.hour_of("as_of")).alias("hour"),
         F.coalesce(F.col("dow"), telemetry.weekday_of("as_of")).alias("dow"),
         "dist_remaining_km",
-        F.coalesce(F.col("progress_pct"), F.lit(0.0)).alias("progress_pct"),
+        F.coalesce(number("progress_pct"), F.lit(0.0)).alias("progress_pct"),
         speed.alias("speed_kmh"),
-        F.coalesce(F.col("avg_speed_kmh"), speed).alias("avg_speed_kmh"),
-        F.coalesce(F.col("dist_to_route_km"), F.lit(0.0)).alias("dist_to_route_km"),
+        F.coalesce(number("avg_speed_kmh"), speed).alias("avg_speed_kmh"),
+        F.coalesce(number("dist_to_route_km"), F.lit(0.0)).alias("dist_to_route_km"),
         (speed < F.lit(settings.stopped_speed_kmh)).cast("int").alias("is_stopped"))
 
 
-def score(features: DataFrame, model=None, settings: Settings = DEFAULT) -> DataFrame:
-    """Adds predicted_eta_min (1 dp) and method.
+def score(features: DataFrame, model=None, settings: Settings = DEFAULT,
+          model_version: int | None = None) -> DataFrame:
+    """Adds predicted_eta_min (1 dp), method and model_version.
 
     With a fitted ``PipelineModel`` the model predicts every row in one
-    distributed ``transform``; rows it cannot score (NULL / NaN prediction)
-    and every row when no model is given use the distance / speed fallback.
+    distributed ``transform``.  Rows with a missing (NULL or NaN) feature, which the
+    trees would still put in some leaf, and every row when no model is given use the
+    distance / speed fallback; their model_version is NULL.
     """
     fallback = telemetry.fallback_eta_min("dist_remaining_km", "avg_speed_kmh", settings)
     if model is None:
         return features.withColumn("predicted_eta_min", fallback) \
-                       .withColumn("method", F.lit("fallback"))
+                       .withColumn("method", F.lit("fallback")) \
+                       .withColumn("model_version", F.lit(None).cast("bigint"))
     cols = features.columns
-    pred = model.transform(features).withColumn(
-        "_p", F.nanvl(F.col("prediction"), F.lit(None).cast("double")))
+    complete = F.lit(True)
+    for c in NUMERIC:
+        complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    pred = model.transform(features).withColumn("_p", F.when(complete, F.col("prediction")))
+    by_model = F.col("_p").isNotNull()
     return pred.select(
         *cols,
         F.coalesce(F.round("_p", 1), fallback).alias("predicted_eta_min"),
-        F.when(F.col("_p").isNotNull(), F.lit("model")).otherwise(F.lit("fallback"))
-         .alias("method"))
+        F.when(by_model, F.lit("model")).otherwise(F.lit("fallback")).alias("method"),
+        F.when(by_model, F.lit(model_version)).cast("bigint").alias("model_version"))
 
 
 # ------------------------------------------------------------------ evaluation
 
 def regression_metrics(df: DataFrame, pred: str, label: str = TARGET) -> DataFrame:
-    """MAE, RMSE and R2 (= 1 - SSE / SST) in one aggregation pass."""
+    """MAE, RMSE and R2 (= 1 - SSE / SST) in one aggregation pass.
+
+    SST comes from ``var_pop``, whose running form doesn't cancel on large labels; a
+    constant label has no R2 (NULL)."""
     err = F.col(pred) - F.col(label)
     n = F.count(F.lit(1))
-    sst = F.sum(F.col(label) * F.col(label)) - F.pow(F.sum(label), 2) / n
     return df.where(F.col(pred).isNotNull() & F.col(label).isNotNull()).agg(
         n.alias("n"),
         F.round(F.avg(F.abs(err)), 6).alias("mae"),
         F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"),
-        F.round(F.lit(1.0) - F.sum(err * err) / sst, 6).alias("r2"))
+        F.round(F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(label)), 6).alias("r2"))
 
 
 def promotion_gate(df: DataFrame, champion: str | None, challenger: str,
@@ -225,12 +245,13 @@ def thin(df: DataFrame, keep: float = 0.5, seed: int = 42, key=("shipment_id", "
 
 
 def bootstrap_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement (Poisson oversampling, then the
-    n rows with the smallest random key: a top-k, not a sort of the input)."""
+    """Exactly ``n`` rows drawn with replacement: Poisson oversampling at a rate just
+    above n / rows (six standard deviations), then the n rows with the smallest random
+    key.  Work after the scan grows with ``n``, not with the table."""
     total = df.count()
     if total == 0 or n <= 0:
         return df.limit(0)
-    frac = max(1.0, n / total) * 1.25 + 10.0 / total
+    frac = (n + 6.0 * n ** 0.5 + 10.0) / total
     for attempt in range(5):
         s = df.sample(withReplacement=True, fraction=frac, seed=seed + attempt)
         s = s.withColumn("_k", F.rand(seed + attempt))
@@ -241,10 +262,11 @@ def bootstrap_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
 
 
 def shipment_eta(silver: DataFrame, shipment_id: str, model=None,
-                 settings: Settings = DEFAULT) -> DataFrame:
+                 settings: Settings = DEFAULT, model_version: int | None = None) -> DataFrame:
     """ETA of one shipment; the id filter reaches the Silver scan.  An unknown
     id gives an empty DataFrame (the caller reports "not found")."""
     one = silver.where(F.col("shipment_id") == F.lit(shipment_id))
     feats = shipment_features(one, settings)
-    return score(feats.drop("event_time"), model, settings).select(
-        "shipment_id", "predicted_eta_min", "method", "progress_pct")
+    return score(feats.drop("event_time"), model, settings, model_version).select(
+        "shipment_id", "route_id", "dist_remaining_km", "speed_kmh", "predicted_eta_min", "method",
+        "model_version", "progress_pct")

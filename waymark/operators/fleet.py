@@ -1,8 +1,9 @@
 """Current fleet state from Silver: latest ping, status, KPIs, feed and board.
 
 All per-shipment reductions are ``max_by`` aggregates: Spark combines them
-map-side before the shuffle, so a shipment with a huge ping history costs
-one partial row per input partition, never a whole-history sort.
+map-side before the shuffle, so a shipment with a huge ping history sends
+one partial row per input partition.  Their buffers hold strings and structs, so
+Spark sorts each task's rows by shipment instead of hashing them.
 """
 
 from __future__ import annotations

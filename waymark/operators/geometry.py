@@ -31,14 +31,15 @@ def expected_position(df: DataFrame, segments: DataFrame, settings: Settings = D
 
     Finds the segment with cum <= d < cum + len (the last segment also takes
     d = route length), interpolates lat/lon, and reports the segment bearing.
-    d is clamped to [0, route length].  Unknown routes give NULLs.
+    d is clamped to [0, route length].  Unknown routes give NULLs; on a segment of
+    length zero (a repeated waypoint) the position is its start.
     """
     lines = network.maybe_broadcast(route_lines(segments), settings)
     j = df.join(lines, "route_id", "left")
     d = F.least(F.greatest(F.col(dist_col), F.lit(0.0)), F.col("_route_km"))
     seg = F.element_at(F.filter(F.col("_line"), lambda s: (d >= s["cum"]) & (
         (d < s["cum"] + s["len"]) | s["is_last"])), 1)
-    t = (d - seg["cum"]) / seg["len"]
+    t = F.coalesce(F.try_divide(d - seg["cum"], seg["len"]), F.when(seg.isNotNull(), F.lit(0.0)))
     return j.select(*df.columns,
                     F.round(seg["lat"] + (seg["lat2"] - seg["lat"]) * t, 6).alias("exp_lat"),
                     F.round(seg["lon"] + (seg["lon2"] - seg["lon"]) * t, 6).alias("exp_lon"),
@@ -95,5 +96,5 @@ def route_coverage(silver: DataFrame, waypoints: DataFrame,
     return j.select("route_id", F.coalesce("n_waypoints", F.lit(0)).cast("bigint").alias("n_waypoints"),
                     F.round("route_km", 4).alias("route_km"),
                     "pings", "max_dist_km",
-                    F.round(F.col("max_dist_km") / F.col("route_km") * F.lit(100.0), 1)
+                    F.round(F.try_divide("max_dist_km", "route_km") * F.lit(100.0), 1)
                     .alias("coverage_pct"))

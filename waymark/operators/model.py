@@ -20,19 +20,30 @@ from pyspark.sql import types as T
 
 from waymark.operators.eta import NUMERIC, TARGET, holdout_flag, regression_metrics
 
-DEFAULT_PARAMS = dict(maxIter=20, maxDepth=5, stepSize=0.08, seed=42)
-CHALLENGER_PARAMS = dict(maxIter=30, maxDepth=6, stepSize=0.06, seed=7)
+# Boosting rounds and depth of the champion and of the challenger.
+DEFAULT_PARAMS = dict(maxIter=400, maxDepth=8, stepSize=0.08, seed=42)
+CHALLENGER_PARAMS = dict(maxIter=600, maxDepth=10, stepSize=0.06, seed=7)
+#: A small fit for smoke runs and driver queries, always passed explicitly.
+SMALL_PARAMS = dict(maxIter=20, maxDepth=5)
 
 
-def eta_pipeline(params: dict | None = None) -> Pipeline:
-    p = dict(DEFAULT_PARAMS, **(params or {}))
+def feature_pipeline() -> Pipeline:
+    """route_id and the numeric columns -> ``features``."""
     return Pipeline(stages=[
         StringIndexer(inputCol="route_id", outputCol="route_idx", handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
+        # The indexer puts unseen routes last, and the last level is the zero vector.
         OneHotEncoder(inputCols=["route_idx"], outputCols=["route_vec"], dropLast=True,
-                      handleInvalid="keep"),
+                      handleInvalid="error"),
         VectorAssembler(inputCols=NUMERIC + ["route_vec"], outputCol="features",
                         handleInvalid="keep"),
+    ])
+
+
+def eta_pipeline(params: dict | None = None) -> Pipeline:
+    p = dict(DEFAULT_PARAMS, **(params or {}))
+    return Pipeline(stages=[
+        *feature_pipeline().getStages(),
         GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="prediction", **p),
     ])
 
@@ -75,43 +86,32 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
     """Mean drop in R2 when one feature's values are shuffled across rows.
 
     All (feature, repeat) variants are scored in ONE ``transform`` pass.  The
-    shuffle of a column is a random permutation inside random buckets of
-    ``rows_per_bucket`` rows (row_number over (feature, repeat, bucket)), then
-    an equi-join brings each row the value of its permutation partner, so no
+    shuffle is a random permutation inside random buckets of
+    ``rows_per_bucket`` rows (row_number over (repeat, bucket)), then
+    an equi-join brings each row its permutation partner, so no
     window or group ever holds the whole test set.
     """
     feats = NUMERIC + ["route_id"]
     n = test.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     rid = F.concat_ws("#", F.col("shipment_id"), F.col("seq").cast("string"))
-    base = test.withColumn("_rid", rid)
-    grid = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
-                               for f in feats for r in range(repeats)]))
-    rep = base.select("*", grid.alias("_fr")).select("*", "_fr.f", "_fr.r").drop("_fr")
-    rep = rep.withColumn("_b", F.pmod(F.xxhash64("_rid", "f", "r", F.lit(seed)), F.lit(buckets)))
-    part = Window.partitionBy("f", "r", "_b")
+    # One permutation per repeat serves all features: each row meets one donor that
+    # carries every value, and the variants are made after the join, without a shuffle.
+    rep = test.select(*feats, TARGET, rid.alias("_rid"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("r"))
+    rep = rep.withColumn("_b", F.pmod(F.xxhash64("_rid", "r", F.lit(seed)), F.lit(buckets)))
+    part = Window.partitionBy("r", "_b")
     rep = (rep.withColumn("_pos", F.row_number().over(part.orderBy("_rid")))
               .withColumn("_src", F.row_number().over(
-                  part.orderBy(F.xxhash64("_rid", "f", "r", F.lit(seed + 1)), "_rid"))))
-    num_val = F.lit(None).cast("double")
-    for c in NUMERIC:
-        num_val = F.when(F.col("f") == c, F.col(c).cast("double")).otherwise(num_val)
-    donors = rep.select("f", "r", "_b", F.col("_src").alias("_pos"),
-                        num_val.alias("_num"), F.col("route_id").alias("_str"))
-    j = rep.join(donors, ["f", "r", "_b", "_pos"])
-    out_cols = []
-    for c, typ in [(c, t) for c, t in test.dtypes if c in feats]:
-        if c == "route_id":
-            out_cols.append(F.when(F.col("f") == c, F.col("_str")).otherwise(F.col(c)).alias(c))
-        else:
-            out_cols.append(F.when(F.col("f") == c, F.col("_num").cast(typ))
-                            .otherwise(F.col(c)).alias(c))
-    permuted = j.select("f", "r", TARGET, *out_cols)
+                  part.orderBy(F.xxhash64("_rid", "r", F.lit(seed + 1)), "_rid"))))
+    donors = rep.select("r", "_b", F.col("_src").alias("_pos"), F.struct(*feats).alias("_donor"))
+    j = rep.select("r", "_b", "_pos", TARGET, *feats).join(donors, ["r", "_b", "_pos"])
+    variants = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), *[
+        (F.col(f"_donor.{c}") if c == f else F.col(c)).alias(c) for c in feats]) for f in feats]))
+    permuted = j.select("r", TARGET, variants.alias("_v")).select("r", TARGET, "_v.*")
     scored = model.transform(permuted)
     err = F.col("prediction") - F.col(TARGET)
-    cnt = F.count(F.lit(1))
-    sst = F.sum(F.col(TARGET) * F.col(TARGET)) - F.pow(F.sum(TARGET), 2) / cnt
-    r2_perm = scored.groupBy("f", "r").agg((F.lit(1.0) - F.sum(err * err) / sst).alias("r2"))
+    r2_perm = scored.groupBy("f", "r").agg(
+        (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(TARGET))).alias("r2"))
     base_r2 = evaluate(model, test).select("r2").scalar()
     return (r2_perm.groupBy(F.col("f").alias("feature"))
                    .agg(F.round(base_r2 - F.avg("r2"), 6).alias("importance"),
@@ -144,7 +144,7 @@ def register(spark: SparkSession, registry_dir: str, model: PipelineModel, name:
     latest = versions.where(F.col("model") == name).agg(F.max("version")).first()[0] or 0
     version = int(latest) + 1
     path = f"{registry_dir}/models/{name}/v{version}"
-    model.write().overwrite().save(path)
+    model.write().save(path)          # a version that exists is never overwritten
     row = spark.createDataFrame([(name, version, path, mae)],
                                 "model string, version bigint, path string, mae double")
     write_table(row.withColumn("created", F.current_timestamp()), f"{registry_dir}/versions")
@@ -159,18 +159,24 @@ def set_alias(spark: SparkSession, registry_dir: str, name: str, alias: str, ver
 
 def resolve_alias(spark: SparkSession, registry_dir: str, name: str,
                   alias: str = "production") -> PipelineModel | None:
-    """The model version the alias points to now (the latest assignment wins);
-    resolved per job, so a promotion takes effect without a restart."""
+    """The model that ``resolve_version`` finds."""
+    return resolve_version(spark, registry_dir, name, alias)[0]
+
+
+def resolve_version(spark: SparkSession, registry_dir: str, name: str = "eta-predictor",
+                    alias: str = "production") -> tuple[PipelineModel | None, int | None]:
+    """The model version the alias points to now (the latest assignment wins) and its
+    number; resolved per job, so a promotion takes effect without a restart."""
     from waymark.sources.tables import read_table_or_empty
     aliases = read_table_or_empty(spark, f"{registry_dir}/aliases", ALIAS_SCHEMA)
     cur = (aliases.where((F.col("model") == name) & (F.col("alias") == alias))
                   .agg(F.max_by("version", "set_at")).first()[0])
     if cur is None:
-        return None
+        return None, None
     versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA)
     path = versions.where((F.col("model") == name) & (F.col("version") == cur)) \
                    .select("path").first()
-    return PipelineModel.load(path[0]) if path else None
+    return (PipelineModel.load(path[0]), int(cur)) if path else (None, None)
 
 
 # ------------------------------------------------------------------ train / retrain flows
@@ -198,7 +204,8 @@ def champion_challenger(spark: SparkSession, training: DataFrame, registry_dir:
     """Fit a challenger, score it and the current champion on the SAME held-out
     trips in one pass, and promote the challenger when it wins by ``margin``.
 
-    Returns the gate row (n_holdout, champion_mae, challenger_mae, promote).
+    ``params`` overrides ``CHALLENGER_PARAMS``.  Returns the gate row (n_holdout,
+    champion_mae, challenger_mae, promote).
     """
     from waymark.config import Settings
     from waymark.operators.eta import promotion_gate

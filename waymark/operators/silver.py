@@ -50,18 +50,31 @@ def with_watermark(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return df.withWatermark("event_time", settings.watermark)
 
 
-def dedup(df: DataFrame, keys=DEDUP_KEYS) -> DataFrame:
-    """Drop re-delivered pings by ``(shipment_id, seq)``.
+def dedup(df: DataFrame, keys=DEDUP_KEYS, arrival=None) -> DataFrame:
+    """Keep the first arrival of each ``(shipment_id, seq)``.
 
     Streaming: ``dropDuplicatesWithinWatermark`` so the dedup state is evicted
     once the watermark passes (plain ``dropDuplicates`` keeps every key
     forever, and a producer restart re-using ids would then be dropped).
-    Batch: ``dropDuplicates`` (an aggregate with map-side combine).
+    Batch: the row of least ``arrival`` (default: ingest time, Kafka partition and
+    offset, as far as present; the whole row breaks ties), an aggregate with
+    map-side combine whose result doesn't depend on the partitioning.
+
+    A NULL key says nothing about identity, so rows with one are all kept.
     """
     keys = list(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
     if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark(keys)
-    return df.dropDuplicates(keys)
+        # Rows without a key are told apart by their content.
+        own = F.when(~known, F.xxhash64(*df.columns))
+        return df.withColumn("_own", own).dropDuplicatesWithinWatermark([*keys, "_own"]).drop("_own")
+    order = [c for c in (arrival or ("ingest_time", "kafka_partition", "kafka_offset")) if c in df.columns]
+    row = F.struct(*df.columns)
+    first = df.where(known).groupBy(*keys).agg(
+        F.min_by(row, F.struct(*order, *[c for c in df.columns if c not in order])).alias("_first"))
+    return first.select("_first.*").unionByName(df.where(~known))
 
 
 def _nan_to_null(c: str) -> Column:

@@ -261,7 +261,16 @@ def _score_requests(lk: Lake) -> DataFrame:
 
 @query("score_rejects")
 def _score_rejects(lk: Lake) -> DataFrame:
-    return eta.reject_requests(lk.requests())
+    """Requests with defects a client may send: some routes and distances missing,
+    some distances negative."""
+    return eta.reject_requests(_defective(lk.requests()))
+
+
+def _defective(r: DataFrame) -> DataFrame:
+    n = F.regexp_extract("request_id", "#([0-9]+)$", 1).cast("bigint") % 20
+    return (r.withColumn("route_id", F.when(n != 3, F.col("route_id")))
+             .withColumn("dist_remaining_km", F.when(n == 5, -1.0 - F.col("dist_remaining_km"))
+                         .when(n != 7, F.col("dist_remaining_km"))))
 
 
 @query("regression_metrics")
@@ -288,15 +297,47 @@ def _promotion_gate(lk: Lake) -> DataFrame:
 def _eta_model_metrics(lk: Lake) -> DataFrame:
     """Gradient-boosted trees fitted on 80 % of the trips, scored on the rest."""
     from waymark.operators import model as mdl
-    _, m = mdl.train_and_evaluate(lk.training)
+    _, m = mdl.train_and_evaluate(lk.training, mdl.SMALL_PARAMS)
     return m
 
 
+@query("eta_feature_vector")
+def _eta_feature_vector(lk: Lake) -> DataFrame:
+    """The assembled model input of every shipment, one column per slot; a route that
+    no training trip has is all zeros."""
+    from pyspark.ml.functions import vector_to_array
+    from waymark.operators import model as mdl
+    known = lk.training.select("route_id").distinct()
+    prep = mdl.feature_pipeline().fit(known.select("route_id", *[F.lit(0.0).alias(c) for c in eta.NUMERIC]))
+    levels = prep.stages[0].labels           # one per route of the network
+    x = vector_to_array(F.col("features"))
+    slots = [*eta.NUMERIC, *[f"route_{i + 1}" for i in range(len(levels))]]
+    return prep.transform(lk.features.drop("event_time")).select(
+        "shipment_id", *[F.get(x, F.lit(i)).alias(c) for i, c in enumerate(slots)])
+
+
+@query("psi_empty_live")
+def _psi_empty_live(lk: Lake) -> DataFrame:
+    """Drift against a live window that nothing was scored in."""
+    drift, ref, cuts = _traffic(lk)
+    none = lk.scored_requests().where(F.col("dist_remaining_km") < 0)
+    r = drift.report(drift.psi(drift.histogram(ref, none, settings=lk.settings, cuts=cuts)), lk.settings)
+    return r.select("max_psi", "alert", "features_checked", "recommendation")
+
+
+@query("regression_metrics_constant")
+def _regression_metrics_constant(lk: Lake) -> DataFrame:
+    """Metrics on a constant label: no R2, no abort."""
+    t = lk.training.withColumn(eta.TARGET, F.lit(100000000.0)) \
+        .withColumn("pred", F.lit(100000000.0) + F.col("is_stopped"))
+    return eta.regression_metrics(t, "pred")
+
+
 @query("feature_importance")
 def _feature_importance(lk: Lake) -> DataFrame:
     from waymark.operators import model as mdl
     train, test = mdl.split(lk.training)
-    return mdl.permutation_importance(mdl.fit(train), test)
+    return mdl.permutation_importance(mdl.fit(train, mdl.SMALL_PARAMS), test)
 
 
 # ------------------------------------------------------------------ drift

@@ -106,7 +106,7 @@ class Lake:
     # ------------------------------------------------------------ silver
     @cached_property
     def ping_rows(self) -> DataFrame:
-        return self.pings.select("event_id", *recipe.PING_COLUMNS)
+        return self.pings.select("event_id", "copy", *recipe.PING_COLUMNS)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -114,7 +114,7 @@ class Lake:
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return silver_ops.dedup(self.valid)
+        return silver_ops.dedup(self.valid, arrival=("event_id", "copy")).drop("copy")
 
     @cached_property
     def silver_plan(self) -> DataFrame:

@@ -236,8 +236,10 @@ def _requests(name: str, shifted: bool) -> str:
     rid = "concat_ws('#', shipment_id, CAST(seq AS VARCHAR))"
     dist, speed = _REMAIN, "speed_kmh"
     if shifted:
-        dist = f"({dist}) * (0.1e0 + 0.2e0 * {_md5_unit(f'concat_ws(chr(35), {rid}, chr(100)||chr(105)||chr(115)||chr(116))')})"
-        speed = f"speed_kmh * (0.3e0 + 0.2e0 * {_md5_unit(f'concat_ws(chr(35), {rid}, chr(115)||chr(112)||chr(101)||chr(101)||chr(100))')})"
+        u_dist = _md5_unit("concat_ws('#', " + rid + ", 'dist')")
+        u_speed = _md5_unit("concat_ws('#', " + rid + ", 'speed')")
+        dist = f"({dist}) * (0.1e0 + 0.2e0 * {u_dist})"
+        speed = f"speed_kmh * (0.3e0 + 0.2e0 * {u_speed})"
     rq = (f"{name}0 AS (SELECT {rid} AS request_id, route_id, {dround(dist, 2)} AS dist_remaining_km, "
           f"progress_pct, {dround(speed, 1)} AS speed_kmh, NULL::DOUBLE AS avg_speed_kmh, "
           f"0e0 AS dist_to_route_km, NULL::INTEGER AS hour, NULL::INTEGER AS dow, event_time AS as_of "
@@ -274,10 +276,13 @@ ORACLE["fallback_eta"] = eta_sql(
 ORACLE["score_requests"] = eta_sql(
     "SELECT request_id, route_id, hour, dow, dist_remaining_km, speed_kmh, avg_speed_kmh, "
     "is_stopped, predicted_eta_min, method FROM rq")
+_DEFECTIVE = ("(SELECT request_id, CASE WHEN n <> 3 THEN route_id END AS route_id, "
+              "CASE WHEN n = 5 THEN -1e0 - dist_remaining_km WHEN n <> 7 THEN dist_remaining_km END AS dist_remaining_km "
+              "FROM (SELECT *, CAST(regexp_extract(request_id, '#([0-9]+)$', 1) AS BIGINT) % 20 AS n FROM rq0) z) d")
 ORACLE["score_rejects"] = eta_sql(
     "SELECT request_id, route_id, dist_remaining_km, CASE WHEN route_id IS NULL THEN "
     "'route_id missing' WHEN dist_remaining_km IS NULL THEN 'dist_remaining_km missing' ELSE "
-    "'dist_remaining_km must be >= 0' END AS reason FROM rq0 WHERE NOT coalesce(route_id IS NOT NULL "
+    f"'dist_remaining_km must be >= 0' END AS reason FROM {_DEFECTIVE} WHERE NOT coalesce(route_id IS NOT NULL "
     "AND dist_remaining_km IS NOT NULL AND dist_remaining_km >= 0, false)")
 
 
@@ -285,13 +290,21 @@ def _metrics(pred: str, src: str) -> str:
     err = f"({pred} - minutes_to_arrival)"
     return ("SELECT count(*) AS n, " + dround(f"avg(abs({err}))", 6) + " AS mae, "
             + dround(f"sqrt(avg({err}*{err}))", 6) + " AS rmse, "
-            + dround(f"1.0e0 - sum({err}*{err}) / (sum(minutes_to_arrival*minutes_to_arrival) "
-                     f"- pow(sum(minutes_to_arrival), 2) / count(*))", 6)
+            + dround(f"1.0e0 - avg({err}*{err}) / nullif(var_pop(minutes_to_arrival), 0e0)", 6)
             + f" AS r2 FROM {src} WHERE {pred} IS NOT NULL AND minutes_to_arrival IS NOT NULL")
 
 
 ORACLE["regression_metrics"] = eta_sql(_metrics(
     "pred", "(SELECT *, " + _fallback("dist_remaining_km", "avg_speed_kmh") + " AS pred FROM training) z"))
+ORACLE["regression_metrics_constant"] = eta_sql(
+    "SELECT count(*) AS n, " + dround("avg(CAST(is_stopped AS DOUBLE))", 6) + " AS mae, "
+    + dround("sqrt(avg(CAST(is_stopped AS DOUBLE)))", 6) + " AS rmse, CAST(NULL AS DOUBLE) AS r2 FROM training")
+ORACLE["eta_feature_vector"] = eta_sql(
+    "SELECT shipment_id, CAST(hour AS DOUBLE) AS hour, CAST(dow AS DOUBLE) AS dow, dist_remaining_km, progress_pct, "
+    "speed_kmh, avg_speed_kmh, dist_to_route_km, CAST(is_stopped AS DOUBLE) AS is_stopped, " + ", ".join(
+        f"CASE WHEN route_id = (SELECT r FROM (SELECT r, row_number() OVER (ORDER BY r) AS n FROM "
+        f"(SELECT DISTINCT route_id AS r FROM training) q) z WHERE n = {i}) THEN 1e0 ELSE 0e0 END AS route_{i}"
+        for i in range(1, 6)) + " FROM feat")
 ORACLE["promotion_gate"] = eta_sql(
     "SELECT n_holdout, " + dround("champion_mae", 6) + " AS champion_mae, "
     + dround("challenger_mae", 6) + " AS challenger_mae, coalesce(champion_mae IS NULL OR "
@@ -358,6 +371,9 @@ ORACLE["drift_report"] = drift_sql(
     "'SIGNIFICANT DRIFT detected -> recommend retraining' ELSE "
     "'inputs stable vs training distribution -> no retrain needed' END AS recommendation "
     "FROM psis GROUP BY traffic")
+ORACLE["psi_empty_live"] = drift_sql(
+    "SELECT CAST(NULL AS DOUBLE) AS max_psi, false AS alert, CAST(0 AS BIGINT) AS features_checked, "
+    "'no live traffic to compare' AS recommendation FROM (SELECT count(*) FROM cuts) z")
 ORACLE["method_mix"] = eta_sql("SELECT method, count(*) AS predictions FROM rq GROUP BY method")
 
 # ------------------------------------------------------------------ streaming

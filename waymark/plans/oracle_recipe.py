@@ -44,10 +44,6 @@ def bearing(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"((degrees(atan2({x},{y}))+360e0)%360e0)"
 
 
-def walked(k: str) -> str:
-    return f"(CAST(floor(({k})/160e0) AS BIGINT)*125+greatest(0,({k})%160-35))"
-
-
 PX = "radians({p}.lon)*0.9997224302180006e0*6371.0088e0"
 PY = "radians({p}.lat)*6371.0088e0"
 
@@ -66,39 +62,40 @@ PINGS_CTES = ",\n".join([
     "radians(lon2)*0.9997224302180006e0*6371.0088e0 AS bx, radians(lat2)*6371.0088e0 AS yb "
     "FROM seg2)",
     "tot AS (SELECT DISTINCT rk, route_id, total FROM seg)",
-    "e0 AS (SELECT event_id, CAST(floor(event_id/10000e0) AS BIGINT) b, "
-    "CAST(floor(event_id/10000e0) AS BIGINT)*20+event_id%20 AS s, "
-    "CAST(floor((event_id%10000)/20e0) AS BIGINT) AS r FROM events)",
-    "e1 AS (SELECT e0.*, tot.route_id, tot.total, tot.rk, total*0.3e0*((s*13)%10)/10e0 AS st, "
-    "35e0+(s*7)%40 AS base, 37*s AS off FROM e0 JOIN tot ON tot.rk = s%4)",
-    f"e2 AS (SELECT *, st+base*6/3600e0*({walked('r+1+off')}-{walked('off')}) AS draw, "
-    f"st+base*6/3600e0*({walked('r+off')}-{walked('off')}) AS dprev, "
-    "(r+off)%160<35 AS stopped, (r+53*s)%200 BETWEEN 100 AND 108 AS detour FROM e1)",
-    "e3 AS (SELECT *, least(total,draw) AS dist FROM e2 WHERE dprev < total)",
+    "e0 AS (SELECT event_id, user_id, event_type, value, coalesce(user_id, 0) AS s, "
+    "coalesce(TRY_CAST(nullif(regexp_extract(props, '\"k\": *([0-9]+)', 1), '') AS INTEGER), 0) AS k, "
+    "date_trunc('second', ts) AS tsec FROM events)",
+    "e1 AS (SELECT e0.*, tot.route_id, tot.total, tot.rk, "
+    "(CAST(epoch(tsec) AS BIGINT) - 1704067200 + s % 7 * 86400) / 2073600e0 AS gone "
+    "FROM e0 LEFT JOIN tot ON tot.rk = s % 4)",
+    "e3 AS (SELECT *, total * least(1e0, gone) AS dist FROM e1)",
     "e4 AS (SELECT e3.*, g.brg, g.lat+(g.lat2-g.lat)*(dist-g.cum)/g.len AS plat, "
-    "g.lon+(g.lon2-g.lon)*(dist-g.cum)/g.len AS plon FROM e3 JOIN seg g ON g.rk=e3.rk "
+    "g.lon+(g.lon2-g.lon)*(dist-g.cum)/g.len AS plon, "
+    "CASE WHEN event_type='click' AND k>=90 THEN 3e-2 ELSE 0e0 END AS detour FROM e3 LEFT JOIN seg g ON g.rk=e3.rk "
     "AND dist>=g.cum AND (dist<g.cum+g.len OR g.rn=1))",
     """p0 AS (SELECT event_id,
-  CASE WHEN event_id%499=0 THEN NULL ELSE concat('SHP-',lpad(CAST(s+1 AS VARCHAR),5,'0')) END AS shipment_id,
+  CASE WHEN user_id IS NULL OR (event_type='error' AND k BETWEEN 20 AND 21) THEN NULL ELSE concat('SHP-',lpad(CAST(s+1 AS VARCHAR),5,'0')) END AS shipment_id,
   concat('VEH-',lpad(CAST((s+1)%12 AS VARCHAR),3,'0')) AS vehicle_id,
-  CASE WHEN event_id%211=0 THEN 'R-UNKNOWN' ELSE route_id END AS route_id,
-  CASE WHEN event_id%97=0 THEN NULL WHEN event_id%101=0 THEN 95e0 ELSE round(CAST(plat+CASE WHEN detour THEN 3e-2 ELSE 0e0 END+((event_id*31)%13-6)*1e-4 AS DOUBLE),6) END AS lat,
-  round(CAST(plon+CASE WHEN detour THEN 3e-2 ELSE 0e0 END AS DOUBLE),6) AS lon,
-  CAST(CASE WHEN stopped THEN 0 ELSE base+(event_id*13)%17-8 END AS DOUBLE) AS speed_kmh,
+  CASE WHEN event_type='error' AND k BETWEEN 15 AND 19 THEN 'R-UNKNOWN' ELSE route_id END AS route_id,
+  CASE WHEN event_type='error' AND k<10 THEN NULL WHEN event_type='error' AND k BETWEEN 10 AND 14 THEN 95e0 ELSE round(CAST(plat+detour+(k%13-6)*1e-4 AS DOUBLE),6) END AS lat,
+  round(CAST(plon+detour AS DOUBLE),6) AS lon,
+  CASE WHEN event_type='signup' THEN 0e0 ELSE round(CAST(value AS DOUBLE),1) END AS speed_kmh,
   round(brg,1) AS heading,
   round(CAST(dist AS DOUBLE),3) AS dist_km, round(CAST(total AS DOUBLE),3) AS total_km,
-  CAST(r+1 AS BIGINT) AS seq, make_timestamp((1704067200+b*3000+r*6)*1000000) AS event_time FROM e4)""",
-    "pings AS (SELECT *, 0 AS copy FROM p0 UNION ALL SELECT *, 1 AS copy FROM p0 WHERE event_id%50=7)",
+  CAST(event_id+1 AS BIGINT) AS seq, CAST(tsec AS TIMESTAMP) AS event_time, event_type='purchase' AND k%10=7 AS twice FROM e4)""",
+    "pings AS (SELECT * EXCLUDE (twice), 0 AS copy FROM p0 UNION ALL "
+    "SELECT * EXCLUDE (twice) REPLACE (round(CAST(speed_kmh+1e0 AS DOUBLE),1) AS speed_kmh), 1 AS copy FROM p0 WHERE twice)",
 ])
 
 PING_COLS = ("shipment_id, vehicle_id, route_id, lat, lon, speed_kmh, heading, dist_km, "
              "total_km, seq, event_time")
 
-# validate + dedup (duplicates are exact copies of the ping columns)
-VALID_CTE = ("vv AS (SELECT event_id, " + PING_COLS + " FROM pings WHERE shipment_id IS NOT NULL "
+# validate + dedup (of deliveries that share shipment and seq, the first stays)
+VALID_CTE = ("vv AS (SELECT event_id, copy, " + PING_COLS + " FROM pings WHERE shipment_id IS NOT NULL "
              "AND lat IS NOT NULL AND lon IS NOT NULL AND lat BETWEEN -90 AND 90 "
              "AND lon BETWEEN -180 AND 180)")
-DEDUP_CTE = "dd AS (SELECT DISTINCT * FROM vv)"
+DEDUP_CTE = ("dd AS (SELECT event_id, " + PING_COLS + " FROM (SELECT *, row_number() OVER (PARTITION BY "
+             "shipment_id, seq ORDER BY event_id, copy) AS nth FROM vv) z WHERE nth = 1 OR seq IS NULL)")
 
 SILVER_CTES = ",\n".join([
     VALID_CTE, DEDUP_CTE,

@@ -5,14 +5,13 @@ Bronze, the Silver job writes Silver, and every downstream job scans them
 (parquet, with predicate pushdown and column pruning) instead of re-running
 their lineage.  ``materialize`` writes a table once per session and input
 version under ``spark.checkpoint.dir`` and returns a scan of it; the key
-includes the input file's size and modification time, so changed inputs
+includes the input files' names, sizes and modification times, so changed inputs
 are rebuilt.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from collections.abc import Callable
 
@@ -24,17 +23,21 @@ _LOCK = threading.RLock()
 _TABLES: dict[tuple, str] = {}
 
 
-def _input_version(path: str) -> str:
-    try:
-        st = os.stat(path)
-        return f"{st.st_size}-{int(st.st_mtime)}"
-    except OSError:
-        return "remote"
+def _input_version(spark: SparkSession, path: str) -> str:
+    """Hash of the input's files (name, length, time), listed by Spark's own filesystem."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 def table_key(spark: SparkSession, name: str, source: str, salt: str = "") -> tuple:
     app = spark.sparkContext.applicationId
-    ver = _input_version(source)
+    ver = _input_version(spark, source)
     h = hashlib.sha1(f"{source}|{ver}|{salt}".encode()).hexdigest()[:12]
     return (app, name, h)
 
@@ -53,7 +56,8 @@ def materialize(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
             path = scratch_path(spark, f"{key[1]}-{key[2]}")
             df = build()
             if partitions:
-                df = df.repartition(partitions)
+                # By event, so the deliveries of one event keep their order in one file.
+                df = df.repartition(partitions, "event_id") if "event_id" in df.columns else df.repartition(partitions)
             df.write.mode("overwrite").parquet(path)
             _TABLES[key] = path
     return spark.read.parquet(path)

@@ -7,7 +7,6 @@ session runs in local mode and no checkpoint folder is configured.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,9 +57,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh, never reused name below the checkpoint root; Spark's writers create it."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

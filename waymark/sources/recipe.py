@@ -1,11 +1,15 @@
-"""Deterministic vehicle pings derived from the driver's ``events`` table.
-
-Every block of 10,000 events is 20 shipments x 500 rounds of 6 s.  Shipments
-move along their route at a per-shipment base speed, stop periodically, take
-short detours, and stop reporting after arrival.  Defects are injected by
-event id: duplicates, NULL latitude, latitude out of range, unknown route and
-NULL shipment id.  The same recipe is written in SQL for the oracle
-(``waymark.plans.oracle``); every fractional literal is a double so both
+"""One vehicle ping per event of the driver's ``events`` table.
+
+Every column of a ping is a function of the event's own columns: the shipment is the
+``user_id``, the time is ``ts`` (whole seconds), the speed is ``value``, and the
+number in ``props`` moves the position a little and picks defects among ``error``
+events (no position, latitude out of range, unknown route, no shipment id).  ``signup``
+events are stops; some ``click`` events are detours.  A shipment runs along its route
+over ``TRIP_SECONDS`` from a start that depends on the shipment, and stays at the
+end.  ``purchase`` events whose number ends in 7 are delivered twice, the second time
+with another speed.  Every event gives its rows; order, skew and repetition of
+``events`` stay as they are.  The same recipe is written in SQL for the oracle
+(``waymark.plans.oracle_recipe``); every fractional literal is a double so both
 engines compute the same bits.
 
 The job is a projection of ``events`` plus two broadcast joins against the
@@ -23,10 +27,9 @@ from pyspark.sql import functions as F
 from waymark.config import DEFAULT, Settings
 from waymark.sources import network
 
-EPOCH0 = 1704067200          # 2024-01-01 00:00:00 UTC
-BLOCK = 10_000               # events per block
-SHIPMENTS_PER_BLOCK = 20
-ROUND_SECONDS = 6
+EPOCH0 = 1704067200          # 2024-01-01 00:00:00 UTC, the first day of events
+TRIP_SECONDS = 24 * 86400    # time of a whole route
+HEAD_START = 86400           # shipments start up to six of these ahead
 
 
 def recipe_segments(spark: SparkSession, settings: Settings = DEFAULT,
@@ -37,13 +40,6 @@ def recipe_segments(spark: SparkSession, settings: Settings = DEFAULT,
                       "lat2", "lon2", "len_km", "cum_km", "total_km", "is_last", "bearing")
 
 
-def _walked(r: F.Column, off: F.Column) -> F.Column:
-    """Moving rounds among the first r + off rounds of a 160-round cycle with a
-    35-round stop at the start of each cycle."""
-    k = r + off
-    return F.floor(k / F.lit(160.0)) * 125 + F.greatest(F.lit(0), k % 160 - 35)
-
-
 def pings_from_events(events: DataFrame, settings: Settings = DEFAULT,
                       segments: DataFrame | None = None) -> DataFrame:
     """``segments``: the route segment dimension (fixed, 15 rows, broadcast)."""
@@ -54,25 +50,14 @@ def pings_from_events(events: DataFrame, settings: Settings = DEFAULT,
     seg = F.broadcast(seg)
     tot = seg.select("route_rank", "route_id", "total_km").distinct()
 
-    eid = F.col("event_id")
-    e0 = events.select(
-        eid,
-        F.floor(eid / F.lit(float(BLOCK))).cast("bigint").alias("b"),
-    ).withColumn("s", F.col("b") * SHIPMENTS_PER_BLOCK + eid % SHIPMENTS_PER_BLOCK) \
-     .withColumn("r", F.floor((eid % BLOCK) / F.lit(float(SHIPMENTS_PER_BLOCK))).cast("bigint"))
-
-    e1 = (e0.join(F.broadcast(tot), F.col("route_rank") == F.col("s") % len(network.ROUTES))
-            .withColumn("st", F.col("total_km") * F.lit(0.3) * ((F.col("s") * 13) % 10) / F.lit(10.0))
-            .withColumn("base", F.lit(35.0) + (F.col("s") * 7) % 40)
-            .withColumn("off", F.col("s") * 37))
-    r, off, base, st = F.col("r"), F.col("off"), F.col("base"), F.col("st")
-    rate = base * 6 / F.lit(3600.0)
-    e2 = (e1.withColumn("draw", st + rate * (_walked(r + 1, off) - _walked(F.lit(0), off)))
-            .withColumn("dprev", st + rate * (_walked(r, off) - _walked(F.lit(0), off)))
-            .withColumn("stopped", (r + off) % 160 < 35)
-            .withColumn("detour", ((r + F.col("s") * 53) % 200).between(100, 108)))
-    e3 = e2.where(F.col("dprev") < F.col("total_km")) \
-           .withColumn("dist", F.least(F.col("total_km"), F.col("draw")))
+    eid, kind, uid = F.col("event_id"), F.col("event_type"), F.coalesce("user_id", F.lit(0))
+    number = F.nullif(F.regexp_extract("props", '"k": *([0-9]+)', 1), F.lit("")).try_cast("int")
+    at = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    e0 = events.select(eid, "user_id", "event_type", F.col("value").alias("raw_speed"),
+                       F.coalesce(number, F.lit(0)).alias("k"), at.alias("at"), uid.alias("s"))
+    e1 = e0.join(F.broadcast(tot), F.col("route_rank") == F.col("s") % len(network.ROUTES), "left")
+    gone = (F.unix_seconds("at") - EPOCH0 + F.col("s") % 7 * HEAD_START) / F.lit(float(TRIP_SECONDS))
+    e2 = e1.withColumn("dist", F.col("total_km") * F.least(F.lit(1.0), gone))
 
     # Range lookup of the segment under `dist`: broadcast hash join on the
     # route with a range condition (at most 4 candidate segments per row).
@@ -82,43 +67,45 @@ def pings_from_events(events: DataFrame, settings: Settings = DEFAULT,
                    F.col("len_km").alias("g_len"), F.col("is_last").alias("g_last"),
                    F.col("bearing").alias("g_bearing"))
     dist = F.col("dist")
-    e4 = e3.join(g, (F.col("g_rank") == F.col("route_rank")) & (dist >= F.col("g_cum"))
-                 & ((dist < F.col("g_cum") + F.col("g_len")) | F.col("g_last")))
+    e3 = e2.join(g, (F.col("g_rank") == F.col("route_rank")) & (dist >= F.col("g_cum"))
+                 & ((dist < F.col("g_cum") + F.col("g_len")) | F.col("g_last")), "left")
     plat = F.col("g_lat") + (F.col("g_lat2") - F.col("g_lat")) * (dist - F.col("g_cum")) / F.col("g_len")
     plon = F.col("g_lon") + (F.col("g_lon2") - F.col("g_lon")) * (dist - F.col("g_cum")) / F.col("g_len")
-    detour_off = F.when(F.col("detour"), F.lit(3e-2)).otherwise(F.lit(0.0))
-    noise = ((eid * 31) % 13 - 6) * F.lit(1e-4)
-
-    return e4.select(
-        eid,
-        F.when(eid % 499 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("SHP-"), F.lpad((F.col("s") + 1).cast("string"), 5, "0")))
+    k, error = F.col("k"), kind == "error"
+    detour_off = F.when((kind == "click") & (k >= 90), F.lit(3e-2)).otherwise(F.lit(0.0))
+    noise = (k % 13 - 6) * F.lit(1e-4)
+
+    return e3.select(
+        eid, kind, "k",
+        F.when(F.col("user_id").isNotNull() & ~(error & k.between(20, 21)),
+               F.concat(F.lit("SHP-"), F.lpad((F.col("s") + 1).cast("string"), 5, "0")))
          .alias("shipment_id"),
         F.concat(F.lit("VEH-"), F.lpad(((F.col("s") + 1) % 12).cast("string"), 3, "0")).alias("vehicle_id"),
-        F.when(eid % 211 == 0, F.lit("R-UNKNOWN")).otherwise(F.col("route_id")).alias("route_id"),
-        F.when(eid % 97 == 0, F.lit(None).cast("double"))
-         .when(eid % 101 == 0, F.lit(95.0))
+        F.when(error & k.between(15, 19), F.lit("R-UNKNOWN")).otherwise(F.col("route_id")).alias("route_id"),
+        F.when(error & (k < 10), F.lit(None).cast("double"))
+         .when(error & k.between(10, 14), F.lit(95.0))
          .otherwise(F.round(plat + detour_off + noise, 6)).alias("lat"),
         F.round(plon + detour_off, 6).alias("lon"),
-        F.when(F.col("stopped"), F.lit(0)).otherwise(base + (eid * 13) % 17 - 8)
-         .cast("double").alias("speed_kmh"),
+        F.when(kind == "signup", F.lit(0.0)).otherwise(F.round("raw_speed", 1)).alias("speed_kmh"),
         F.round(F.col("g_bearing"), 1).alias("heading"),
         F.round(dist, 3).alias("dist_km"),
         F.round(F.col("total_km"), 3).alias("total_km"),
-        (r + 1).cast("bigint").alias("seq"),
-        F.timestamp_seconds(F.lit(EPOCH0) + F.col("b") * 3000 + r * ROUND_SECONDS).alias("event_time"),
+        (eid + 1).cast("bigint").alias("seq"),
+        F.col("at").alias("event_time"),
     )
 
 
 def pings(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT,
           segments: DataFrame | None = None) -> DataFrame:
-    """The ping stream with injected re-deliveries (every event with id % 50 == 7
-    arrives twice)."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    """The ping stream: every event once (``copy`` 0), some delivered again (``copy`` 1)."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet") \
+        .select("event_id", "ts", "user_id", "event_type", "value", "props")
     p0 = pings_from_events(events, settings, segments)
-    copies = F.explode(F.when(F.col("event_id") % 50 == 7, F.array(F.lit(0), F.lit(1)))
-                       .otherwise(F.array(F.lit(0))))
-    return p0.select("*", copies.alias("copy"))
+    twice = (F.col("event_type") == "purchase") & (F.col("k") % 10 == 7)
+    copies = F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    out = p0.select("*", copies.alias("copy"))
+    speed = F.when(F.col("copy") == 1, F.round(F.col("speed_kmh") + 1.0, 1)).otherwise(F.col("speed_kmh"))
+    return out.withColumn("speed_kmh", speed).drop("event_type", "k")
 
 
 PING_COLUMNS = ["shipment_id", "vehicle_id", "route_id", "lat", "lon", "speed_kmh",
