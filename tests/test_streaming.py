@@ -149,6 +149,7 @@ def test_producer_restart_reusing_ids_survives(spark):
 def test_two_jobs_in_one_session(spark, lake001):
     """Status and exceptions run side by side; await_any returns when one of them stops."""
     path = lake001.table_path("silver")
+    spark.streams.resetTerminated()                    # earlier queries of the session don't count
     qs = []
     for name, f in (("status", jobs.status_stream), ("exceptions", jobs.exceptions_stream)):
         st = jobs.file_stream(spark, path, lake001.silver.schema)
