@@ -70,3 +70,14 @@ def test_trailing_mean_shuffles_the_input_once(lake01):
     plan = _plan(out)
     assert "isFinalPlan=true" in plan
     assert plan.count("ReusedExchange") >= 1
+
+
+def test_psi_scans(lake01):
+    """Live and shifted traffic come from one Silver scan; the training table is
+    read for the cuts and for the bins, each time as one aggregate of value counts."""
+    from waymark.plans import catalog
+    p = catalog._psi_all(lake01)
+    p.collect()
+    final = _plan(p).split("== Initial Plan ==")[0]
+    scans = [l for l in final.splitlines() if "FileScan parquet" in l]
+    assert len(scans) == 3

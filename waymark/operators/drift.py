@@ -27,11 +27,16 @@ from waymark.config import DEFAULT, Settings
 FEATURES = ("dist_remaining_km", "speed_kmh")
 
 
-def stacked(df: DataFrame, features=FEATURES) -> DataFrame:
-    """(feature, value) rows for the features present, NULL / NaN dropped."""
+#: Names of the samples that one tagged stream of traffic may hold.
+TRAFFIC = ("live", "shifted")
+
+
+def stacked(df: DataFrame, features=FEATURES, keep: str | None = None) -> DataFrame:
+    """(feature, value) rows for the features present, NULL / NaN dropped, next to
+    the column ``keep``."""
     present = [f for f in features if f in df.columns]
     pairs = ", ".join(f"'{f}', CAST({f} AS DOUBLE)" for f in present)
-    s = df.selectExpr(f"stack({len(present)}, {pairs}) AS (feature, value)")
+    s = df.selectExpr(*([keep] if keep else []), f"stack({len(present)}, {pairs}) AS (feature, value)")
     return s.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
@@ -48,43 +53,57 @@ def recent(live: DataFrame, since=None, last_n: int | None = None,
     return live
 
 
+def value_counts(df: DataFrame, features=FEATURES) -> DataFrame:
+    """feature, value, n: one aggregate that serves both the cut points and the bins."""
+    return stacked(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def cut_points(reference: DataFrame, features=FEATURES, settings: Settings = DEFAULT,
                exact: bool = True) -> DataFrame:
     """feature -> cuts array<double> of bins+1 edges; the outer edges are +-inf."""
     bins = settings.psi_bins
     probs = [i / bins for i in range(bins + 1)]
-    long = stacked(reference, features)
-    q = (F.percentile("value", F.array(*[F.lit(p) for p in probs])) if exact
-         else F.percentile_approx("value", probs, 1_000_000))
+    if exact:
+        counts = value_counts(reference, features)
+        q = F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("n"))
+    else:
+        counts = stacked(reference, features)
+        q = F.percentile_approx("value", probs, 1_000_000)
     inner = F.slice(F.col("_q"), 2, bins - 1)
-    return (long.groupBy("feature").agg(q.alias("_q"))
-                .select("feature", F.concat(F.array(F.lit(float("-inf"))), inner,
-                                            F.array(F.lit(float("inf")))).alias("cuts")))
+    return (counts.groupBy("feature").agg(q.alias("_q"))
+                  .select("feature", F.concat(F.array(F.lit(float("-inf"))), inner,
+                                              F.array(F.lit(float("inf")))).alias("cuts")))
 
 
-def histograms(reference: DataFrame, lives: dict[str, DataFrame], features=FEATURES,
+def histograms(reference: DataFrame, lives: dict[str, DataFrame] | DataFrame, features=FEATURES,
                settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
     """traffic, feature, bin, ref_count, live_count, ref_share, live_share.
 
-    The reference and every live sample are stacked into one
-    (source, feature, value) stream, binned against the broadcast cut table
-    and counted in ONE aggregation (one shuffle of at most
-    sources x features x bins partial rows per task).
+    ``lives``: samples by name, or one DataFrame whose ``traffic`` column names the
+    sample ("live" or "shifted"), read in one scan.  The reference's value counts
+    and the live values are stacked into one (source, feature, value, n) stream, binned
+    against the broadcast cut table and counted in ONE aggregation (one shuffle of at
+    most sources x features x bins partial rows per task).
     """
     bins, floor = settings.psi_bins, settings.psi_floor
     cuts = cuts if cuts is not None else cut_points(reference, features, settings)
-    parts = [stacked(reference, features).withColumn("src", F.lit("__ref__"))]
-    for name, live in lives.items():
-        live_feats = [f for f in features if f in live.columns]
-        parts.append(stacked(live, live_feats).withColumn("src", F.lit(name)))
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
-    j = allv.join(F.broadcast(cuts), "feature")
+    if isinstance(lives, dict):
+        tagged = [live.select(F.lit(name).alias("traffic"), *[f for f in features if f in live.columns])
+                  for name, live in lives.items()]
+        names = {name: live.columns for name, live in lives.items()}
+    else:
+        tagged, names = [lives], {name: lives.columns for name in TRAFFIC}
+    allv = value_counts(reference, features).withColumn("src", F.lit("__ref__"))
+    for t in tagged:
+        allv = allv.unionByName(stacked(t, [f for f in features if f in t.columns], keep="traffic")
+                                .select("feature", "value", F.lit(1).cast("bigint").alias("n"), F.col("traffic").alias("src")))
+    j = allv.join(F.broadcast(cuts), "feature")          # one row per feature
     b = F.size(F.filter(F.slice(F.col("cuts"), 2, bins - 1), lambda c: c <= F.col("value")))
-    counts = j.groupBy("feature", b.alias("bin")).pivot("src", ["__ref__", *lives]).count()
-    grid = cuts.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    h = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["__ref__", *lives])
+    counts = j.groupBy("feature", b.alias("bin")).pivot("src", ["__ref__", *names]).agg(F.sum("n"))
+    known = [f for f in features if f in reference.columns]
+    grid = reference.sparkSession.range(bins).select(
+        F.explode(F.array(*[F.lit(f) for f in known])).alias("feature"), F.col("id").cast("int").alias("bin"))
+    h = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["__ref__", *names])
     from pyspark.sql import Window
     tot = Window.partitionBy("feature")
 
@@ -94,8 +113,8 @@ def histograms(reference: DataFrame, lives: dict[str, DataFrame], features=FEATU
             F.try_divide(F.col(f"`{c}`"), F.sum(f"`{c}`").over(tot)), F.lit(floor)))
 
     out = []
-    for name, live in lives.items():
-        present = [f for f in features if f in live.columns]
+    for name, columns in names.items():
+        present = [f for f in features if f in columns]
         out.append(h.where(F.col("feature").isin(present)).select(
             F.lit(name).alias("traffic"), "feature", "bin",
             F.col("__ref__").alias("ref_count"), F.col(f"`{name}`").alias("live_count"),

@@ -119,22 +119,31 @@ def requests_from_pings(silver: DataFrame, shifted: bool = False) -> DataFrame:
     x U(0.1, 0.3), speed x U(0.3, 0.5)) with per-row factors from a hash, so
     the drifted traffic is deterministic.
     """
+    return _requests(silver, [shifted]).drop("traffic")
+
+
+def traffic_from_pings(silver: DataFrame) -> DataFrame:
+    """Plain and shifted requests of every ping from one scan; ``traffic`` is "live" or "shifted"."""
+    return _requests(silver, [False, True])
+
+
+def _requests(silver: DataFrame, kinds: list[bool]) -> DataFrame:
     rid = F.concat_ws("#", F.col("shipment_id"), F.col("seq").cast("string"))
-    dist = telemetry.dist_remaining_km()
-    speed = F.col("speed_kmh")
-    if shifted:
-        dist = dist * (F.lit(0.1) + F.lit(0.2) * hash_unit(rid, F.lit("dist")))
-        speed = speed * (F.lit(0.3) + F.lit(0.2) * hash_unit(rid, F.lit("speed")))
-    return silver.select(
-        rid.alias("request_id"), "route_id",
-        F.round(dist, 2).alias("dist_remaining_km"),
-        F.col("progress_pct"),
-        F.round(speed, 1).alias("speed_kmh"),
-        F.lit(None).cast("double").alias("avg_speed_kmh"),
-        F.lit(0.0).alias("dist_to_route_km"),
-        F.lit(None).cast("int").alias("hour"),
-        F.lit(None).cast("int").alias("dow"),
-        F.col("event_time").alias("as_of"))
+
+    def asked(shifted: bool) -> Column:
+        dist, speed = telemetry.dist_remaining_km(), F.col("speed_kmh")
+        if shifted:
+            dist = dist * (F.lit(0.1) + F.lit(0.2) * hash_unit(rid, F.lit("dist")))
+            speed = speed * (F.lit(0.3) + F.lit(0.2) * hash_unit(rid, F.lit("speed")))
+        return F.struct(F.lit("shifted" if shifted else "live").alias("traffic"),
+                        F.round(dist, 2).alias("dist_remaining_km"), F.round(speed, 1).alias("speed_kmh"))
+
+    r = silver.select(rid.alias("request_id"), "route_id", "progress_pct", F.col("event_time").alias("as_of"),
+                      F.inline(F.array(*[asked(k) for k in kinds])))
+    return r.select(
+        "traffic", "request_id", "route_id", "dist_remaining_km", "progress_pct", "speed_kmh",
+        F.lit(None).cast("double").alias("avg_speed_kmh"), F.lit(0.0).alias("dist_to_route_km"),
+        F.lit(None).cast("int").alias("hour"), F.lit(None).cast("int").alias("dow"), "as_of")
 
 
 def _valid_request() -> Column:
@@ -164,7 +173,7 @@ def request_features(requests: DataFrame, settings: Settings = DEFAULT) -> DataF
 
     speed = F.coalesce(number("speed_kmh"), F.lit(0.0))
     return r.select(
-        "request_id", "route_id",
+        *(["traffic"] if "traffic" in r.columns else []), "request_id", "route_id",
         F.coalesce(F.col("hour"), telemetry.hour_of("as_of")).alias("hour"),
         F.coalesce(F.col("dow"), telemetry.weekday_of("as_of")).alias("dow"),
         "dist_remaining_km",

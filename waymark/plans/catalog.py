@@ -369,8 +369,8 @@ def _psi_all(lk: Lake) -> DataFrame:
     """PSI of the live traffic and of the shifted traffic against one
     reference, counted in a single pass."""
     drift, ref, cuts = _traffic(lk)
-    lives = {"live": lk.scored_requests(False), "shifted": lk.scored_requests(True)}
-    return drift.psi(drift.histograms(ref, lives, settings=lk.settings, cuts=cuts))
+    both = eta.request_features(eta.traffic_from_pings(lk.silver), lk.settings)
+    return drift.psi(drift.histograms(ref, both, settings=lk.settings, cuts=cuts))
 
 
 @query("psi")
