@@ -13,7 +13,10 @@ from waymark.llm.components import components
 
 # ------------------------------------------------------------------ components
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 200_000])
+def test_components(spark, local, monkeypatch):
+    from waymark.llm import components as module
+    monkeypatch.setattr(module, "LOCAL_LINKS", local)
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1040)] \
         + [(5, 5), (None, 3), (4, None)]

@@ -21,7 +21,7 @@ of many copies costs one pair for each.  Where a bucket is left in several compo
 pairs across them are verified too: all of them in buckets of at most ``FEW`` texts;
 in larger ones, which a common passage or many much edited copies fill, the texts are
 regrouped by a finer sketch (``FINE``: more shingles to a key and more tables, missing
-a link with probability 2e-6).  Texts connected by its buckets are compared in squares of
+a link with probability 6e-7).  Texts connected by its buckets are compared in squares of
 ``SIDE`` by ``SIDE`` texts, each a task's matrix product of shingle incidence that
 bounds every pair's matches; only pairs that reach the bound are aligned and only links
 leave the task.
@@ -55,7 +55,7 @@ SHORT, SHORT_TABLES = 44, 8
 #: Largest bucket whose cross pairs are all verified; tables and shingles of the finer
 #: sketch, for all texts and in addition for short ones.
 FEW = 32
-FINE, FINE_SHORT = (72, 8), (24, 3)
+FINE, FINE_SHORT = (36, 5), (16, 2)
 SIDE, COLUMNS = 256, 1 << 14
 #: Matrix cells of one step of the sketch; longer texts take the tables in turns.
 CELLS = 1 << 21
