@@ -61,6 +61,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, rows: int, n: int, *key: str) -> DataFrame:
+    """About ``rows`` (never more) of ``n`` rows, chosen by the hash of ``key``.  Tasks send
+    on only what is chosen, however many tasks there are."""
+    if n > rows:
+        df = df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < F.lit(int((1 << 40) * rows / n)))
+    return df.limit(rows)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -4,7 +4,7 @@ An archive starts with a skippable frame (magic 0x184D2A5D) that holds the
 dictionary, itself compressed; every record follows as a frame of its own, so a record
 can be read from its offset alone with the dictionary at hand.  The dictionary is
 trained on the records of at most ``SAMPLE_ROWS`` pages of at most ``SAMPLE_BYTES``
-each (those of least id hash; parameters bound what the driver sees); inputs too small
+each (chosen by a hash; parameters bound what the driver sees); inputs too small
 to train on use the sample itself as a dictionary, an empty input writes nothing.
 
 Each task writes its partition to archives of at most ``ROLL_BYTES`` below
@@ -33,7 +33,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import scratch, stored
+from waymark.llm.common import sampled, scratch, stored
 
 # Fixed values of the formats.
 SKIPPABLE_MAGIC = 0x184D2A5D
@@ -132,7 +132,8 @@ def write(pages: DataFrame, folder: str, min_payload: int = 0, date: str = DATE,
     p = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                      F.col(f"`{html}`").cast("string").alias("html"))
     sizes = F.octet_length(F.coalesce("html", F.lit("")))
-    sample = p.where(sizes <= SAMPLE_BYTES).orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_ROWS).collect()
+    small = p.where(sizes <= SAMPLE_BYTES)
+    sample = sampled(small, SAMPLE_ROWS, small.count(), "page_id", "url").collect()
     dictionary = train([record(r["page_id"], r["url"], _utf8(r["html"]), None, date) for r in sample])
     named = p.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("size", sizes)
     repeated = stored(named.where(F.col("size") >= min_payload).groupBy("sha", "size")
