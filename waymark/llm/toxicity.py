@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import sampled, stored
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 4_000
@@ -88,7 +88,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
              for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}   # two rows
     taken = None
     for y in sizes:
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+        part = sampled(known.where(F.col("y") == y), max_rows, sizes[y][0], "id")
         taken = part if taken is None else taken.unionByName(part)
     if taken is None:
         taken = known.limit(0)
