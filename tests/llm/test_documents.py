@@ -200,6 +200,26 @@ def test_pseudonyms_keep_format_and_links(spark, rows):
     assert pii.pseudonymise(rows([], "doc_id long, text string"), "key").count() == 0
 
 
+def test_cards_beside_other_numbers(spark, rows):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    texts = [card, f"card {card} 12/27", f"{spaced} 123", f"no 12 {card}", "call 123 555-123-4567", f"1234 {spaced} 12/27 7",
+             f"{card} 2024-02-29 {spaced}", f"{card} 555.123.4567", f"{card} 10.1.2.3", "378282246310005", "3782-822463-10005 1234",
+             "1 2 3 4 5 6 7 8 9 10 11 12 13 14", f"{card} 12bob@mail.example.com", "555-123-4567", "2024-02-29", "10.1.2.3",
+             "12bob@mail.example.com", "555.123.4567", "41111 11111 11111 1", "1 " * 20000]
+    out = pii.pseudonymise(rows([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "key").orderBy("doc_id").collect()
+    got, n = [r.text for r in out], [r.n_pii for r in out]
+    new = got[0]
+    four = " ".join(new[i:i + 4] for i in range(0, 16, 4))
+    assert new != card and luhn_ok(new)
+    assert got[1:4] == [f"card {new} 12/27", f"{four} 123", f"no 12 {new}"]
+    assert got[4] == "call 123 " + got[13] != texts[4] and got[5] == f"1234 {four} 12/27 7"
+    assert got[6] == f"{new} {got[14]} {four}" and got[7] == f"{new} {got[17]}" and got[8] == f"{new} {got[15]}"
+    amex = got[9]
+    assert amex != texts[9] and got[10] == f"{amex[:4]}-{amex[4:10]}-{amex[10:]} 1234"
+    assert got[11] == texts[11] and got[12] == f"{new} {got[16]}" and got[18].replace(" ", "") == new and got[19] == texts[19]
+    assert n == [1, 1, 1, 1, 1, 1, 3, 2, 2, 1, 1, 0, 2, 1, 1, 1, 1, 1, 1, 0]
+
+
 def test_feistel_is_a_bijection(spark):
     from pyspark.sql import functions as F
     two = spark.range(100).select(pii.permuted_string(F.format_string("%02d", "id"), "k", "t").alias("p"))

@@ -1,8 +1,9 @@
 """Format-preserving Feistel pseudonyms for personal values in text.
 
 Candidates are found with one regular expression and validated: card numbers
-by their check digit, dates by the calendar, addresses by octet range, social
-security numbers by their reserved areas.  A valid value is replaced by the
+by their check digit (also beside other numbers, see ``run_replaced``), dates by
+the calendar, addresses by octet range, social security numbers by their
+reserved areas.  A valid value is replaced by the
 image of its canonical form under a keyed Feistel permutation of the set of
 values of the same format, so the result is again a valid value of that format,
 equal values (also when they are punctuated differently) get equal pseudonyms
@@ -32,6 +33,8 @@ is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +55,15 @@ DMY_DATE = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)")
 PHONE_PLAIN = r"(?<![\w+])\+\d{10,14}(?!\d)"
-CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)"
-CANDIDATE = "|".join([EMAIL, IPV4, ISO_DATE, DMY_DATE, SSN, PHONE, PHONE_PLAIN, CARD])
+# A run of digit groups; it ends before a value that has other punctuation as well.
+_DOTTED = r"\d{3}(?:\.\d{3}[ .-]|[ -]\d{3}\.)\d{4}(?!\d)"
+RUN = rf"(?<![\d+])\d(?:(?:[ -](?!{EMAIL}|{IPV4}|{DMY_DATE}|{_DOTTED}))?\d){{12,}}+"
+# The groupings cards are printed in, with one kind of separator.
+CARD = (r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5}|\d{4}([ -])\d{5}\3\d{6}"
+        r"|\d{4}([ -])\d{3}\4\d{3}\4\d{3}|\d{4}([ -])\d{4}\5\d{5}|\d{6}([ -])\d{13}")
+CARD_GROUPS = 5
+IN_RUN = "|".join([ISO_DATE, SSN, PHONE])
+CANDIDATE = "|".join([EMAIL, IPV4, ISO_DATE, DMY_DATE, SSN, PHONE, PHONE_PLAIN, RUN])
 
 
 def _hash(key: str, kind: str, rnd: Column, half: Column) -> Column:
@@ -124,7 +134,7 @@ def _luhn_sum(digits: Column, doubled: int) -> Column:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """The replacement of one candidate, or the candidate itself if it isn't valid."""
+    """The replacement of one candidate other than a run, or the candidate itself if it isn't valid."""
     tld = F.regexp_extract(m, r"(\.[A-Za-z]+)$", 1)
     head = F.substr(m, F.lit(1), F.length(m) - F.length(tld))
     email = F.concat(permuted_string(F.lower(head), key, "email"), tld)
@@ -150,10 +160,6 @@ def pseudonym(m: Column, key: str) -> Column:
     cc = F.when(m.startswith("+"), F.greatest(F.length(d) - 10, F.lit(0))).otherwise(0)
     phone = _refilled(m, F.concat(F.substr(d, F.lit(1), cc),
                                   permuted_string(F.substr(d, cc + 1, F.length(d)), key, "phone")))
-    body = permuted_string(F.substr(d, F.lit(1), F.length(d) - 1), key, "card")
-    check = ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string")
-    card = _refilled(m, F.concat(body, check))
-    card_ok = (_luhn_sum(d, 1) % 10 == 0) & (F.length(d) >= 13)
 
     def whole(p: str) -> Column:
         return m.rlike(f"^(?:{p})$")
@@ -164,7 +170,88 @@ def pseudonym(m: Column, key: str) -> Column:
              .when(whole(DMY_DATE), F.when(dmy_ok, dmy).otherwise(m))
              .when(whole(SSN), F.when(ssn_ok, ssn).otherwise(m))
              .when(whole(PHONE) | whole(PHONE_PLAIN), phone)
-             .otherwise(F.when(card_ok, card).otherwise(m)))
+             .otherwise(m))
+
+
+def _card_ok(m: Column) -> Column:
+    d = _digits(m)
+    return F.when(F.length(d).between(13, 19), _luhn_sum(d, 1) % 10 == 0).otherwise(False)
+
+
+def _card(m: Column, key: str) -> Column:
+    d = _digits(m)
+    body = permuted_string(F.substr(d, F.lit(1), F.length(d) - 1), key, "card")
+    check = ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string")
+    return _refilled(m, F.concat(body, check))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _counted(m: Column, new: Column) -> Column:
+    """struct(t, n): a replacement and the number of values it replaces."""
+    return _let(new, lambda x: F.struct(x.alias("t"), F.when(x == m, 0).otherwise(1).alias("n")))
+
+
+def _joined(gaps: Column, values: Column) -> Column:
+    """struct(t, n) of a text from the gaps between its candidates and their struct(t, n)."""
+    t = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(values, i)["t"], F.lit("")))), "")
+    return F.struct(t.alias("t"), F.aggregate(values, F.lit(0), lambda s, v: s + v["n"]).alias("n"))
+
+
+def _cut(groups: Column) -> Column:
+    """Array of struct(t, card): a run's groups with the cards among them joined, from left to
+    right, at each group the longest valid one in a card's grouping."""
+    def piece(t: Column, card: bool) -> Column:
+        return F.struct(t.alias("t"), F.lit(card).alias("card"))
+
+    def window(i: Column, k: Column) -> Column:
+        return F.regexp_replace(F.array_join(F.slice(groups, i, k), ""), "[ -]$", "")
+
+    def longest(i: Column) -> Column:
+        ks = F.sequence(F.lit(1), F.least(F.lit(CARD_GROUPS), F.size(groups) - i + 1))
+        return F.array_max(F.filter(ks, lambda k: _let(window(i, k), lambda w: w.rlike(f"^(?:{CARD})$") & _card_ok(w))))
+
+    # For each group a card could start at: how many groups the card has.
+    cards = F.filter(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.struct(i.alias("i"), longest(i).alias("k"))),
+                     lambda c: c["k"].isNotNull())
+    # Those that overlap one further left are left out.
+    taken = F.aggregate(cards, F.array().cast("array<struct<i:int,k:int>>"),
+                        lambda s, c: F.when(c["i"] >= F.coalesce(F.get(s, F.size(s) - 1)["i"] + F.get(s, F.size(s) - 1)["k"], F.lit(1)),
+                                            F.concat(s, F.array(c))).otherwise(s))
+
+    def pieces(cs: Column) -> Column:
+        def before(c: Column, j: Column) -> Column:
+            p = F.get(cs, j - 1)
+            return F.when(j == 0, F.array_join(F.slice(groups, F.lit(1), c["i"] - 1), "")).otherwise(
+                F.concat(F.regexp_extract(F.get(groups, p["i"] + p["k"] - 2), "[ -]?$", 0),
+                         F.array_join(F.slice(groups, p["i"] + p["k"], c["i"] - p["i"] - p["k"]), "")))
+
+        end = F.struct((F.size(groups) + 1).alias("i"), F.lit(0).alias("k"))
+        two = F.transform(cs, lambda c, j: F.array(piece(before(c, j), False), piece(window(c["i"], c["k"]), True)))
+        return F.concat(F.flatten(two), F.array(piece(before(end, F.size(cs)), False)))
+
+    return _let(taken, pieces)
+
+
+def run_replaced(m: Column, key: str) -> Column:
+    """struct(t, n) of a run of digit groups: its cards, then the other kinds in what is
+    between; a run without any is a card if all of its digits are one."""
+    def between(t: Column) -> Column:
+        values = F.transform(F.regexp_extract_all(t, F.lit(IN_RUN), F.lit(0)), lambda v: _counted(v, pseudonym(v, key)))
+        return _let(values, lambda vs: _joined(F.split(t, IN_RUN, -1), vs))
+
+    def whole(parts: Column) -> Column:
+        return F.struct(F.array_join(F.transform(parts, lambda p: p["t"]), "").alias("t"),
+                        F.aggregate(parts, F.lit(0), lambda s, p: s + p["n"]).alias("n"))
+
+    parts = F.transform(_let(F.regexp_extract_all(m, F.lit(r"\d+[ -]?"), F.lit(0)), _cut),
+                        lambda p: F.when(p["card"], _counted(p["t"], _card(p["t"], key))).otherwise(between(p["t"])))
+    none = F.struct(m.alias("t"), F.lit(0).alias("n"))
+    found = F.when(m.rlike("[ -]"), _let(parts, whole)).otherwise(none)
+    return _let(found, lambda w: F.when((w["n"] == 0) & _card_ok(m), _counted(m, _card(m, key))).otherwise(w))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -174,13 +261,11 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     t = F.col(f"`{text}`")
     # Texts without a digit or an @ hold no candidate; the search skips them.
     found = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)))
-    pieces = F.split(t, CANDIDATE, -1)
-    done = docs.withColumn("_wm_found", found)
-    done = done.withColumn("_wm_new", F.when(F.size("_wm_found") > 0,
-                                             F.transform("_wm_found", lambda m: pseudonym(m, key))))
-    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("_wm_new"), i), F.lit("")))), "")
-    n = F.size(F.filter(F.arrays_zip("_wm_found", "_wm_new"), lambda z: z["_wm_found"] != z["_wm_new"]))
+    values = F.transform("_wm_found", lambda m: F.when(m.rlike(r"^\d(?:[ -]?\d){12,}+$") & ~m.rlike(f"^(?:{IN_RUN})$"),
+                                                       run_replaced(m, key)).otherwise(_counted(m, pseudonym(m, key))))
+    done = docs.withColumn("_wm_found", found).withColumn("_wm_new", F.when(F.size("_wm_found") > 0, values))
     new = F.col("_wm_new").isNotNull()
-    return (done.withColumn("n_pii", F.when(new, n).otherwise(0).cast("int"))
-                .withColumn(text, F.when(new, joined).otherwise(t))
+    joined = _joined(F.split(t, CANDIDATE, -1), F.col("_wm_new"))
+    return (done.withColumn("n_pii", F.when(new, joined["n"]).otherwise(0).cast("int"))
+                .withColumn(text, F.when(new, joined["t"]).otherwise(t))
                 .drop("_wm_found", "_wm_new"))
