@@ -145,6 +145,22 @@ def test_copied_articles_are_content(spark, rows):
     assert got[0] == "same one\nsame two\nsame three" and got[19] == "own 19"
 
 
+def test_copies_make_no_template(spark, rows):
+    body = "<article><h2>The head</h2><p>same one</p><ul class=own><li>same two</li></ul><p>the longest of the same passages, {}</p></article>"
+    shell = "<html><body><nav>n</nav>{}<footer>f</footer></body></html>"
+    # A mirror host, a host with copies that hold tags of their own, and one with copies that differ in a line.
+    data = [(i, "http://mirror/", shell.format(body.format("all"))) for i in range(6)]
+    data += [(100 + i, "http://some/", shell.format(body.format("some") if i < 8 else f"<article><p>own {i}</p><dl><dd>Share it</dd></dl></article>"))
+             for i in range(20)]
+    near = body.format("all " * 20)
+    data += [(200 + i, "http://near/", shell.format(near.replace("</article>", f"<p>line {i}</p></article>"))) for i in range(8)]
+    got = {r.page_id: r.text for r in pages.extract(rows(data, "page_id long, url string, html string")).collect()}
+    want = "The head\nsame one\nsame two\nthe longest of the same passages, "
+    assert {got[i] for i in range(6)} == {want + "all"} and {got[100 + i] for i in range(8)} == {want + "some"}
+    assert [got[100 + i] for i in range(8, 20)] == [f"own {i}" for i in range(8, 20)]
+    assert [got[200 + i] for i in range(8)] == [f"{want}{('all ' * 20).strip()}\nline {i}" for i in range(8)]
+
+
 # ------------------------------------------------------------------ chat
 
 def cheapest(roles):

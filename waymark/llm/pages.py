@@ -22,8 +22,11 @@ map-side-combined aggregate and no page list; a host with a third of all pages i
 hot group.  Templates are small next to pages: Spark broadcasts their table when its
 size allows, and splits the skewed join otherwise.
 
+Support is counted over distinct articles: of the pages of a host with equal or
+near-equal articles (``_copies``) one counts, so copies never make an article a template.
+
 Null or empty html gives an empty text.  A null url is a host of its own.  Pages
-that repeat are pages of their own.  Long pages are read whole.  Other columns are
+that repeat each get their text.  Long pages are read whole.  Other columns are
 not used.
 """
 
@@ -41,6 +44,8 @@ from pyspark.sql import functions as F
 from waymark.llm.common import stored
 
 MIN_SIZE, MIN_SHARE, MIN_PAGES = 3, 0.3, 5
+#: Share of an article's text that stands on other pages as well, from which it is a copy.
+NEAR = 0.8
 
 # Fixed values of HTML: elements by what they do to text.
 RAW = frozenset("script style title textarea noscript iframe template svg math select object canvas audio video".split())
@@ -85,40 +90,51 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
             at = end.start() if end else len(page)
 
 
-def _named(page: str | None) -> Iterator[tuple[int, bool]]:
-    """(token hash, is text) in page order."""
-    path: list[str] = []
-    for kind, name, detail in tokens(page):
-        if kind == "text":
-            words = " ".join(html.unescape(detail).split())
-            if words:
-                yield _hash(f"t|{'/'.join(path)}|{words}"), True
-            continue
-        yield _hash(f"{kind}|{'/'.join(path)}|{name}|{detail}"), False
-        if name in STRUCTURE:
-            if kind == "open":
-                path.append(name)
-            elif name in path:
-                del path[len(path) - 1 - path[::-1].index(name):]
-
-
 def _hash(x: str) -> int:
     return xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page: each distinct token, its count and first place."""
+    """Per page: each distinct token, its count and first place, its text's length within
+    the article, and the hash of the whole article."""
     for b in batches:
         rows = []
         for host, page, page_html in zip(b["host"], b["page"], b["html"]):
             seen: dict[int, list[int]] = {}
             text: set[int] = set()
-            for at, (h, is_text) in enumerate(_named(page_html)):
-                seen.setdefault(h, [0, at])[0] += 1
-                if is_text:
+            article: list[str] = []
+            at = 0
+            for kind, name, detail, path, within in _scoped(page_html):
+                words = " ".join(html.unescape(detail).split()) if kind == "text" else ""
+                if kind == "text" and not words:
+                    continue
+                h = _hash(f"t|{path}|{words}") if words else _hash(f"{kind}|{path}|{name}|{detail}")
+                one = seen.setdefault(h, [0, at, 0])
+                one[0] += 1
+                at += 1
+                if words:
                     text.add(h)
-            rows += [(host, page, h, h in text, n, at) for h, (n, at) in seen.items()]
-        yield pd.DataFrame(rows, columns=["host", "page", "token", "is_text", "n", "place"])
+                    if within:
+                        one[2] += len(words)
+                        article.append(words)
+            body = _hash("\n".join(article))
+            rows += [(host, page, h, h in text, n, at, chars, body) for h, (n, at, chars) in seen.items()]
+        yield pd.DataFrame(rows, columns=["host", "page", "token", "is_text", "n", "place", "chars", "body"])
+
+
+def _copies(seen: DataFrame) -> DataFrame:
+    """(host, page) of all but one of the pages with an equal or near-equal article.  Articles
+    of which ``NEAR`` stands on other pages too are near-equal if their longest such run is."""
+    inside = seen.where("chars > 0")
+    again = stored(inside.groupBy("host", "token").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
+                   .select("host", "token", F.lit(True).alias("again")), "repeated-runs")
+    per_page = inside.join(again, ["host", "token"], "left").groupBy("host", "page").agg(
+        F.sum("chars").alias("all"), F.sum(F.when(F.col("again"), F.col("chars"))).alias("known"),
+        F.max(F.when(F.col("again"), F.struct("chars", "token")))["token"].alias("longest"), F.max("body").alias("body"))
+    bodies = stored(per_page.select("host", "page", F.when(F.col("known") >= NEAR * F.col("all"), F.col("longest"))
+                                    .otherwise(F.col("body")).alias("body")), "page-bodies")
+    first = bodies.groupBy("host", "body").agg(F.min("page").alias("first"))
+    return stored(bodies.join(first, ["host", "body"]).where("page <> first").select("host", "page"), "page-copies")
 
 
 def _nested(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
@@ -139,9 +155,13 @@ def _nested(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, template): the template's token hashes, from (host, page, html)."""
-    seen = stored(pages.mapInPandas(_counted, "host string, page long, token long, is_text boolean, n long, place long"),
-                  "page-tokens")
-    size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    every = stored(pages.mapInPandas(_counted, "host string, page long, token long, is_text boolean, n long, place long, "
+                                               "chars long, body long"), "page-tokens")
+    copies = _copies(every)
+    seen = every.join(copies, ["host", "page"], "left_anti")
+    size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("rows")) \
+        .join(copies.groupBy("host").agg(F.count(F.lit(1)).alias("gone")), "host", "left") \
+        .select("host", (F.col("rows") - F.coalesce("gone", F.lit(0))).alias("pages"))
     vectors = seen.groupBy("host", "token", "is_text").agg(
         F.count(F.lit(1)).alias("support"), F.bit_xor(F.xxhash64("page", "n")).alias("sig"), F.avg("place").alias("place"))
     often = stored(vectors.join(size, "host").where((F.col("support") >= MIN_PAGES)
@@ -170,33 +190,19 @@ def _left_out(name: str, detail: str, in_main: bool) -> bool:
     return bool(words & OUT_WORDS) or "hidden" in words or (not in_main and "header" in words)
 
 
-def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
-    """The text of the article's slots of one page."""
+def _scoped(page: str | None) -> Iterator[tuple[str, str, str, str, bool]]:
+    """(kind, name, detail, path, within) of a page's tokens: the structural path they stand
+    under and, for text, whether it belongs to the article."""
     toks = list(tokens(page))
     has_main = any(k == "open" and n in MAIN for k, n, _ in toks)
     stack: list[tuple[str, bool, bool]] = []          # name, left out, in the article
     path: list[str] = []
-    blocks: list[str] = []
-    now: list[tuple[str, bool]] = []                  # text, part of the template
-
-    def close_block() -> None:
-        words = " ".join("".join([t for t, _ in now]).split())
-        if words and not all(known for t, known in now if t.strip()):
-            blocks.append(words)
-        now.clear()
-
+    under = ""
     for kind, name, detail in toks:
         out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        yield kind, name, detail, under, kind == "text" and not out and (inside or not has_main)
         if kind == "text":
-            text = html.unescape(detail)
-            if not out and (inside or not has_main):
-                words = " ".join(text.split())
-                now.append((text, bool(words and template) and _hash(f"t|{'/'.join(path)}|{words}") in template))
             continue
-        if name == "br":
-            now.append((" ", False))
-        elif name not in INLINE:
-            close_block()
         if kind == "open":
             if name not in VOID and name not in INLINE and name not in RAW:
                 if name in MAIN and not inside:        # an element that was never closed doesn't hold the article
@@ -204,6 +210,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
                 stack.append((name, out or _left_out(name, detail, inside), inside))
             if name in STRUCTURE:
                 path.append(name)
+                under = "/".join(path)
         else:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -211,6 +218,30 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
                     break
             if name in path:
                 del path[len(path) - 1 - path[::-1].index(name):]
+                under = "/".join(path)
+
+
+def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
+    """The text of the article's slots of one page."""
+    blocks: list[str] = []
+    now: list[tuple[str, bool]] = []                  # text, part of the template
+
+    def close_block() -> None:
+        words = " ".join("".join([t for t, _ in now]).split())
+        if words and not all(known for t, known in now if t.strip()):
+            blocks.append(words)
+        now.clear()
+
+    for kind, name, detail, path, within in _scoped(page):
+        if kind == "text":
+            if within:
+                text = html.unescape(detail)
+                words = " ".join(text.split())
+                now.append((text, bool(words and template) and _hash(f"t|{path}|{words}") in template))
+        elif name == "br":
+            now.append((" ", False))
+        elif name not in INLINE:
+            close_block()
     close_block()
     return "\n".join(blocks)
 
