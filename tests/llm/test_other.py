@@ -161,6 +161,20 @@ def test_copies_make_no_template(spark, rows):
     assert [got[200 + i] for i in range(8)] == [f"{want}{('all ' * 20).strip()}\nline {i}" for i in range(8)]
 
 
+def test_class_words_keep_the_article():
+    want = "Head\nthe text of the page"
+    text = "<h1>Head</h1><p>the text of the page</p>"
+    for page in ("<article class='post comments-open'>{}</article>", "<main class='has-sidebar'>{}</main>", "<main class=widget>{}</main>",
+                 "<div class='layout no-sidebar'>{}</div>", "<div class='sidebar-left'>{}</div>", "<div id=app hidden>{}</div>",
+                 "<article><div class='social-history'>{}</div></article>", "<div aria-hidden=false>{}</div><p>x</p>"):
+        assert pages.main_text(page.format(text)).startswith(want), page
+    assert pages.main_text(f"<article>{text}<p class='notice'>of note</p></article>") == want + "\nof note"
+    comments = "<section id=reader-comments>" + "<p>nice</p>" * 50 + "</section>"
+    for page in (text + comments, f"<main>{text}{comments}</main>", f"{text}<div class='site-footer'>imprint</div>",
+                 f"<main>{text}<div class='share-buttons'>mail</div></main>", f"<div class=sidebar>s</div>{text}"):
+        assert pages.main_text(page) == want, page
+
+
 # ------------------------------------------------------------------ chat
 
 def cheapest(roles):

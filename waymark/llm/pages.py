@@ -14,7 +14,8 @@ are all template text (share lines, standing notices) go with the template.
 The article is the ``article`` or ``main`` element the template holds (or, on hosts
 with too few pages for a template, the page); pages without one use the whole
 body.  Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments are left out by element and by class or id word.  A block ends
+and reader comments are left out by element and by whole class names or ids; where a
+name can also be an article's own, if the template holds the tag.  A block ends
 where a block-level element starts or ends; ``br`` is white space.
 
 Occurrence vectors are compared by an XOR of hashes of (page, count), so they need one
@@ -59,6 +60,12 @@ OUT_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored pro
                       "footer breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices banner alert "
                       "newsletter subscribe subscription signup login share sharing social related comment comments "
                       "commentlist disqus respond popup modal widget toolbar".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond".split())
+# Words that only say where or how, and words that also name parts of an article.
+QUALIFIERS = frozenset("site page main post article reader user top bottom left right primary secondary list area section "
+                       "wrapper wrap container box block buttons button links link bar posts articles form item items".split())
+WEAK = frozenset("notice notices alert banner promo share sharing social related menu modal popup widget toolbar".split())
+TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)?",
                    re.S)
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -181,44 +188,98 @@ def templates(pages: DataFrame) -> DataFrame:
         .applyInPandas(_nested, "host string, template array<long>")
 
 
-def _left_out(name: str, detail: str, in_main: bool) -> bool:
-    if name in OUT or (name == "header" and not in_main):
-        return True
+def _words_out(name: str, detail: str, in_main: bool) -> str:
+    """What an element's class, id and role say: "" (nothing), "comments", "out" or, where
+    the template has to confirm it, "weak".  A name counts as a whole: all of its words."""
     if not detail or name in ("html", "body"):
-        return False
-    words = set(re.split(r"[^a-z0-9]+", detail))
-    return bool(words & OUT_WORDS) or "hidden" in words or (not in_main and "header" in words)
-
-
-def _scoped(page: str | None) -> Iterator[tuple[str, str, str, str, bool]]:
-    """(kind, name, detail, path, within) of a page's tokens: the structural path they stand
-    under and, for text, whether it belongs to the article."""
-    toks = list(tokens(page))
+        return ""
+    names: set[str] = set()
+    key = ""
+    for part in detail.split():
+        m = re.match(r"(class|id|role|hidden|aria-hidden)=", part)
+        key, part = (m[1], part[m.end():]) if m else (key, part)
+        if key == "hidden" or (key == "aria-hidden" and part == "true"):
+            return "out"
+        names.add(part)
+    words = OUT_WORDS | {"hidden"} if in_main else OUT_WORDS | {"hidden", "header"}
+    said = ""
+    for n in names:
+        parts = set(re.split(r"[^a-z0-9]+", n)) - {""}
+        if not parts & words or not parts <= words | QUALIFIERS:
+            continue
+        if parts & COMMENTS:
+            return "comments"
+        if name not in TEXT_ELEMENTS and (len(parts) > 1 or not parts & WEAK):
+            said = "out"
+        said = said or "weak"
+    return said
+
+
+def _walked(toks: list[tuple[str, str, str]], template: frozenset[int], kept: frozenset[int] | None
+            ) -> tuple[list[tuple[str, str, str, str, bool]], dict[int, tuple[str, int]], int]:
+    """The tokens as ``_scoped`` gives them; what the elements say that are left out by their
+    words, by place, and how much text each holds; the length of the text within.  With
+    ``kept`` null, words leave nothing out; else they do but at the places in it."""
     has_main = any(k == "open" and n in MAIN for k, n, _ in toks)
-    stack: list[tuple[str, bool, bool]] = []          # name, left out, in the article
+    stack: list[tuple[str, bool, bool, int]] = []     # name, left out, in the article, place
     path: list[str] = []
     under = ""
-    for kind, name, detail in toks:
+    out_tokens = []
+    said: dict[int, tuple[str, int]] = {}
+    length = 0
+
+    def closed(elements: list[tuple[str, bool, bool, int]]) -> None:
+        for _, _, _, place in elements:
+            if place in said:
+                said[place] = said[place][0], length - said[place][1]
+
+    for place, (kind, name, detail) in enumerate(toks):
         out, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        yield kind, name, detail, under, kind == "text" and not out and (inside or not has_main)
+        within = kind == "text" and not out and (inside or not has_main)
+        out_tokens.append((kind, name, detail, under, within))
         if kind == "text":
+            length += len(" ".join(detail.split())) if within else 0
             continue
         if kind == "open":
             if name not in VOID and name not in INLINE and name not in RAW:
+                in_main = inside
                 if name in MAIN and not inside:        # an element that was never closed doesn't hold the article
                     out, inside = False, True
-                stack.append((name, out or _left_out(name, detail, inside), inside))
+                words = _words_out(name, detail, in_main or name in MAIN)
+                if words == "weak" and (template or name in TEXT_ELEMENTS) \
+                        and _hash(f"{kind}|{under}|{name}|{detail}") not in template:
+                    words = ""
+                if words:
+                    said[place] = words, length
+                    out = out or (kept is not None and place not in kept)
+                stack.append((name, out or name in OUT or (name == "header" and not in_main), inside, place))
             if name in STRUCTURE:
                 path.append(name)
                 under = "/".join(path)
         else:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
+                    closed(stack[i:])
                     del stack[i:]
                     break
             if name in path:
                 del path[len(path) - 1 - path[::-1].index(name):]
                 under = "/".join(path)
+    closed(stack)
+    return out_tokens, said, length
+
+
+def _scoped(page: str | None, template: frozenset[int] = frozenset()) -> list[tuple[str, str, str, str, bool]]:
+    """(kind, name, detail, path, within) of a page's tokens: the structural path they stand
+    under and, for text, whether it belongs to the article.  An element that holds most of
+    the text (readers' comments: all of it) is never left out by its words."""
+    toks = list(tokens(page))
+    every, said, length = _walked(toks, template, None)
+    if not said:
+        return every
+    kept = frozenset(place for place, (words, held) in said.items() if 2 * held > length and words != "comments")
+    some, _, left = _walked(toks, template, kept)
+    return some if left else every
 
 
 def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
@@ -232,7 +293,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
             blocks.append(words)
         now.clear()
 
-    for kind, name, detail, path, within in _scoped(page):
+    for kind, name, detail, path, within in _scoped(page, template):
         if kind == "text":
             if within:
                 text = html.unescape(detail)
