@@ -142,3 +142,19 @@ def test_gbt_early_stopping_on_validation_trips(lake01):
     gbt = m.stages[-1]
     assert gbt.getNumTrees < 200                     # stopped early
     assert mdl.evaluate(m, test).first().r2 > 0.5
+
+
+def test_registered_keys_fit_the_operators_own_size(spark, monkeypatch):
+    from conftest import SF001
+    from waymark.plans import catalog
+    sizes, real = [], mdl.eta_pipeline
+
+    def small(params=None):
+        gbt = real(params).getStages()[-1]
+        sizes.append((gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()))
+        return real(dict(maxIter=2, maxDepth=2))
+
+    monkeypatch.setattr(mdl, "eta_pipeline", small)
+    assert catalog.QUERIES["eta_model_metrics"](spark, SF001).count() == 1
+    assert catalog.QUERIES["feature_importance"](spark, SF001).count() > 0
+    assert sizes == [(400, 8, 0.08)] * 2

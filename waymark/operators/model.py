@@ -23,8 +23,6 @@ from waymark.operators.eta import NUMERIC, TARGET, holdout_flag, regression_metr
 # Boosting rounds and depth of the champion and of the challenger.
 DEFAULT_PARAMS = dict(maxIter=400, maxDepth=8, stepSize=0.08, seed=42)
 CHALLENGER_PARAMS = dict(maxIter=600, maxDepth=10, stepSize=0.06, seed=7)
-#: A small fit for smoke runs and driver queries, always passed explicitly.
-SMALL_PARAMS = dict(maxIter=20, maxDepth=5)
 
 
 def feature_pipeline() -> Pipeline:
