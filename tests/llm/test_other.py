@@ -161,6 +161,17 @@ def test_copies_make_no_template(spark, rows):
     assert [got[200 + i] for i in range(8)] == [f"{want}{('all ' * 20).strip()}\nline {i}" for i in range(8)]
 
 
+def test_rows_that_repeat_keep_the_template(spark, rows):
+    def page(i):
+        alpha, share = "<p>Alpha</p>" * (1 + i % 2), "<dl><dd>Share it</dd></dl>"
+        return f"<html><body><article><h2>Text of page number {i}</h2>{alpha + share if i % 2 else share + alpha}</article></body></html>"
+    data = [(i, "http://h/", page(i)) for i in range(12)]
+    texts = lambda d: sorted((r.page_id, r.text) for r in pages.extract(rows(d, "page_id long, url string, html string")).collect())
+    once = texts(data)
+    assert once[0][1] == "Text of page number 0\nAlpha"
+    assert texts(data * 2) == sorted(once * 2)
+
+
 def test_class_words_keep_the_article():
     want = "Head\nthe text of the page"
     text = "<h1>Head</h1><p>the text of the page</p>"

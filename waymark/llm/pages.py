@@ -327,7 +327,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page_html:
                      F.col(f"`{page_html}`").cast("string").alias("html")) \
         .withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/?#:]*)", 1)),
                                        F.lit("")))
-    numbered = p.withColumn("page", F.xxhash64("page_id", "url", "html"))
+    # Rows that repeat get numbers of their own; the numbers are read back from a stored table.
+    numbered = p.withColumn("page", F.monotonically_increasing_id())
     t = stored(templates(numbered.select("host", "page", "html")), "templates")
     return p.join(t, "host", "left").select("page_id", "url", "html", "host", "template") \
         .mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
