@@ -154,9 +154,17 @@ def collect_bounded(df: DataFrame, max_rows: int, order_by=None) -> list | None:
     return rows if len(rows) <= max_rows else None
 
 
+def row_bytes(df: DataFrame):
+    """About the bytes of a row: those of its JSON text, which holds arrays whole."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def maybe_broadcast(dim: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Broadcast hint only behind a checked size bound; otherwise leave the
-    join to Catalyst/AQE (sort-merge with skew splitting)."""
-    if bounded_rows(dim, settings.broadcast_max_rows) is not None:
+    """Broadcast hint only behind a checked size bound, in rows and in bytes (a row can hold a
+    polyline or a dense cell); otherwise leave the join to Catalyst/AQE (sort-merge with
+    skew splitting).  The check reads at most one row more than the bound."""
+    n, size = dim.limit(settings.broadcast_max_rows + 1).select(row_bytes(dim).alias("b")) \
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    if n <= settings.broadcast_max_rows and size <= settings.broadcast_max_bytes:
         return F.broadcast(dim)
     return dim

@@ -110,3 +110,17 @@ def pings(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT,
 
 PING_COLUMNS = ["shipment_id", "vehicle_id", "route_id", "lat", "lon", "speed_kmh",
                 "heading", "dist_km", "total_km", "seq", "event_time"]
+
+
+#: Batches of the late-arrival replay, days of event time in each, and its watermark.
+ARRIVALS, ARRIVAL_DAYS, LATE_WATERMARK = 4, 8, "1 day"
+
+
+def arrival_batch():
+    """The batch that a delivery arrives in: its own days', one later for a tenth of the events,
+    two later for a hundredth, and one more for half of the re-deliveries."""
+    eid = F.col("event_id")
+    own = F.floor((F.unix_seconds("event_time") - EPOCH0) / F.lit(ARRIVAL_DAYS * 86400)).cast("int")
+    late = F.when(eid % 100 == 7, 2).when(eid % 10 == 3, 1).otherwise(0)
+    again = F.when((F.col("copy") == 1) & (eid % 2 == 0), 1).otherwise(0)
+    return F.least(F.lit(ARRIVALS - 1), F.greatest(F.lit(0), F.coalesce(own, F.lit(0))) + late + again)

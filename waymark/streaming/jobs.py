@@ -76,13 +76,32 @@ def run(df: DataFrame, target: StreamTarget, *, available_now: bool = True,
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     q = w.start()
-    if wait and available_now:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    return finished(q) if wait and available_now else q
+
+
+def finished(q: StreamingQuery) -> StreamingQuery:
+    """Wait for a query that stops by itself; raise what it failed with."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
     return q
 
 
+def replay(batches, source: str, bronze: StreamTarget, silver: StreamTarget, route_segments: DataFrame,
+           facilities: DataFrame, settings: Settings = DEFAULT) -> None:
+    """Play envelope batches (DataFrames, in order of arrival) through the chained streams:
+    each is published to ``source``, then the Bronze stream reads what is new and the Silver
+    stream reads what Bronze wrote.  Every step restarts both from their checkpoints.  A
+    run ends with the watermark at the latest valid event time so far less the delay, so a
+    later batch's rows at or before that are dropped."""
+    for b in batches:
+        spark = b.sparkSession
+        envelope.publish(b, path=source)
+        run(bronze_stream(file_stream(spark, source, envelope.ENVELOPE_SCHEMA)), bronze)
+        decoded = spark.read.parquet(bronze.path).schema
+        run(silver_stream(file_stream(spark, bronze.path, decoded), route_segments, facilities, settings), silver)
+
+
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
     """Block until any running query of the session stops (several jobs per
     session, one process)."""
