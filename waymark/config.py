@@ -39,13 +39,15 @@ class Settings:
 
     # Scale guards (not reference values).
     broadcast_max_rows: int = 50_000   # dimension tables above this are shuffle-joined
+    broadcast_max_bytes: int = 64 << 20  # and by size
     facility_array_max: int = 256      # facility sets above this use the grid join
     unroll_max_segments: int = 64      # route networks up to this many segments are
                                        # compiled into one CASE/least expression
     unroll_max_facilities: int = 64    # same for the facility lookup
     segment_index_min: int = 2_000     # networks with more segments use the cell index
-    segment_cell_km: float = 2.0       # cell size (= exact search radius) of that index
+    segment_cell_km: float = 2.0       # cell size of that index's finest grid
     rolling_bucket_seconds: int = 3600 # time bucket of the skew-safe trailing window
+    rolling_bucket_rows: int = 200_000 # a bucket with more rows is split by range
 
     @property
     def cos_lat0(self) -> float:

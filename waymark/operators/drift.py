@@ -8,13 +8,12 @@ PSI = sum((live - ref) * ln(live / ref)).  NULL / NaN values are dropped on
 both sides before counting.
 
 Scale notes: features are stacked into (feature, value) rows so one
-aggregation serves all features.  Cut points come from ``percentile``
-(exact, numpy's linear interpolation); its partial aggregate is a
-value -> count map, so its memory is bounded by the number of DISTINCT values,
-not rows: the monitored features are rounded (km to 0.01-0.001, speed to
-0.1), so a feature spanning 0-1000 has at most ~10^6 distinct values at any
-row count.  ``exact=False`` switches to ``percentile_approx`` for unrounded
-features.  The only join is against the cut table, one row per feature.
+aggregation serves all features.  The reference is read once, into a written table of
+value counts (``reference_counts``) that serves both the cut points and the bins.  Cut points
+are exact (numpy's linear interpolation) by range partitions of that table
+(``waymark.operators.quantiles``), so no task holds a feature's values, rounded or not.
+``exact=False`` switches to ``percentile_approx``.  The only other join is against the
+cut table, one row per feature.
 """
 
 from __future__ import annotations
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.config import DEFAULT, Settings
+from waymark.operators.quantiles import exact_quantiles
+from waymark.session import scratch_path
 
 FEATURES = ("dist_remaining_km", "speed_kmh")
 
@@ -58,25 +59,34 @@ def value_counts(df: DataFrame, features=FEATURES) -> DataFrame:
     return stacked(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def reference_counts(reference: DataFrame, features=FEATURES) -> DataFrame:
+    """``value_counts`` as a written table, for ``cut_points`` and ``histograms``."""
+    spark = reference.sparkSession
+    path = scratch_path(spark, "reference-counts")
+    counts = value_counts(reference, features)
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
 def cut_points(reference: DataFrame, features=FEATURES, settings: Settings = DEFAULT,
-               exact: bool = True) -> DataFrame:
-    """feature -> cuts array<double> of bins+1 edges; the outer edges are +-inf."""
+               exact: bool = True, counts: DataFrame | None = None) -> DataFrame:
+    """feature -> cuts array<double> of bins+1 edges; the outer edges are +-inf.
+    ``counts``: the reference's ``reference_counts``, where they are there already."""
     bins = settings.psi_bins
     probs = [i / bins for i in range(bins + 1)]
+    inner = F.slice(F.col("_q"), 2, bins - 1)
     if exact:
-        counts = value_counts(reference, features)
-        q = F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("n"))
+        q = exact_quantiles(counts if counts is not None else value_counts(reference, features), probs) \
+            .withColumnRenamed("q", "_q")
     else:
-        counts = stacked(reference, features)
-        q = F.percentile_approx("value", probs, 1_000_000)
-    inner = F.slice(F.col("_q"), 2, bins - 1)
-    return (counts.groupBy("feature").agg(q.alias("_q"))
-                  .select("feature", F.concat(F.array(F.lit(float("-inf"))), inner,
+        q = stacked(reference, features).groupBy("feature").agg(F.percentile_approx("value", probs, 1_000_000).alias("_q"))
+    return (q.select("feature", F.concat(F.array(F.lit(float("-inf"))), inner,
                                               F.array(F.lit(float("inf")))).alias("cuts")))
 
 
 def histograms(reference: DataFrame, lives: dict[str, DataFrame] | DataFrame, features=FEATURES,
-               settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
+               settings: Settings = DEFAULT, cuts: DataFrame | None = None,
+               counts: DataFrame | None = None) -> DataFrame:
     """traffic, feature, bin, ref_count, live_count, ref_share, live_share.
 
     ``lives``: samples by name, or one DataFrame whose ``traffic`` column names the
@@ -86,24 +96,25 @@ def histograms(reference: DataFrame, lives: dict[str, DataFrame] | DataFrame, fe
     most sources x features x bins partial rows per task).
     """
     bins, floor = settings.psi_bins, settings.psi_floor
-    cuts = cuts if cuts is not None else cut_points(reference, features, settings)
+    ref = counts if counts is not None else value_counts(reference, features)
+    cuts = cuts if cuts is not None else cut_points(reference, features, settings, counts=ref)
     if isinstance(lives, dict):
         tagged = [live.select(F.lit(name).alias("traffic"), *[f for f in features if f in live.columns])
                   for name, live in lives.items()]
         names = {name: live.columns for name, live in lives.items()}
     else:
         tagged, names = [lives], {name: lives.columns for name in TRAFFIC}
-    allv = value_counts(reference, features).withColumn("src", F.lit("__ref__"))
+    allv = ref.withColumn("src", F.lit("__ref__"))
     for t in tagged:
         allv = allv.unionByName(stacked(t, [f for f in features if f in t.columns], keep="traffic")
                                 .select("feature", "value", F.lit(1).cast("bigint").alias("n"), F.col("traffic").alias("src")))
     j = allv.join(F.broadcast(cuts), "feature")          # one row per feature
     b = F.size(F.filter(F.slice(F.col("cuts"), 2, bins - 1), lambda c: c <= F.col("value")))
-    counts = j.groupBy("feature", b.alias("bin")).pivot("src", ["__ref__", *names]).agg(F.sum("n"))
+    binned = j.groupBy("feature", b.alias("bin")).pivot("src", ["__ref__", *names]).agg(F.sum("n"))
     known = [f for f in features if f in reference.columns]
     grid = reference.sparkSession.range(bins).select(
         F.explode(F.array(*[F.lit(f) for f in known])).alias("feature"), F.col("id").cast("int").alias("bin"))
-    h = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["__ref__", *names])
+    h = grid.join(binned, ["feature", "bin"], "left").fillna(0, ["__ref__", *names])
     from pyspark.sql import Window
     tot = Window.partitionBy("feature")
 
@@ -126,9 +137,9 @@ def histograms(reference: DataFrame, lives: dict[str, DataFrame] | DataFrame, fe
 
 
 def histogram(reference: DataFrame, live: DataFrame, features=FEATURES,
-              settings: Settings = DEFAULT, cuts: DataFrame | None = None) -> DataFrame:
+              settings: Settings = DEFAULT, cuts: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """feature, bin, ref_count, live_count, ref_share, live_share (floored)."""
-    return histograms(reference, {"live": live}, features, settings, cuts).drop("traffic")
+    return histograms(reference, {"live": live}, features, settings, cuts, counts).drop("traffic")
 
 
 def psi(hist: DataFrame) -> DataFrame:

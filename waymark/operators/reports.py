@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 
 
 def bronze_summary(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(F.count(F.lit(1)).alias("total_pings"),
-                      F.countDistinct("shipment_id").alias("shipments"),
-                      F.countDistinct("route_id").alias("routes"),
-                      F.min("event_time").alias("earliest_event"),
-                      F.max("event_time").alias("latest_event"))
+    """Counts, distinct ids and times.  Rows are combined by (shipment, route) first, so the two
+    distinct counts work on that many rows, each by its own key, and no row is expanded."""
+    seen = bronze.groupBy("shipment_id", "route_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+    ships = seen.groupBy("shipment_id").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    routes = seen.where("route_id IS NOT NULL").groupBy("route_id").count().agg(F.count(F.lit(1)).alias("routes"))
+    return ships.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_pings"), F.count("shipment_id").alias("shipments"),
+                     F.min("lo").alias("earliest_event"), F.max("hi").alias("latest_event")).select(
+        "total_pings", "shipments", routes.scalar().alias("routes"), "earliest_event", "latest_event")
 
 
 def pings_per_route(bronze: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from waymark.config import DEFAULT, Settings
 from waymark.functions import geo, telemetry
+from waymark.session import scratch_path
 from waymark.sources import network
 
 DEDUP_KEYS = ("shipment_id", "seq")
@@ -101,11 +102,11 @@ def dist_to_route(df: DataFrame, route_segments: DataFrame,
     whole-stage codegen covers it (array lambdas are interpreted).  Medium
     networks use a broadcast join and ``array_min(transform(...))``; networks
     of long polylines use the exact cell index (:func:`dist_to_route_indexed`).
+    The number of segments is counted before anything is collected.
     """
-    rows = network.collect_bounded(route_segments, settings.unroll_max_segments)
-    n_segs = (sum(len(r["segs"]) for r in rows) if rows is not None
-              else route_segments.select(F.sum(F.size("segs"))).first()[0] or 0)
-    if rows is not None and n_segs <= settings.unroll_max_segments:
+    n_segs = route_segments.select(F.sum(F.size("segs"))).first()[0] or 0
+    rows = route_segments.collect() if n_segs <= settings.unroll_max_segments else None
+    if rows is not None:
         # Project the ping once; the per-segment terms are then plain
         # arithmetic on two columns and folded literals.
         return (df.withColumn("_px", geo.project_x("lon", settings))
@@ -124,6 +125,7 @@ def _sql_str(v: str) -> str:
 def _unrolled_route_distance(rows, settings: Settings) -> Column:
     """CASE route_id WHEN r THEN least(segment distances) END, as one parsed
     SQL expression (same arithmetic as :func:`geo.point_segment_km`)."""
+    rows = [r for r in rows if r["segs"] and r["route_id"] is not None]
     if not rows:
         return F.lit(None).cast("double")
     branches = []
@@ -147,44 +149,90 @@ def _dist_to_route_join(df: DataFrame, route_segments: DataFrame, settings: Sett
     return joined.select(*cols, F.round(dist, 3).alias(out))
 
 
+def _crossed(segs: DataFrame, size: float) -> DataFrame:
+    """``segs`` with the grid cells (cx, cy) that each segment runs through, column by column of
+    the grid: their number grows with the segment's length, not with its bounding box."""
+    e = 1e-6                                            # km; a cell too many does no harm
+    lo_x, hi_x = F.least("ax", "bx"), F.greatest("ax", "bx")
+    cols = segs.withColumn("cx", F.explode(F.sequence(F.floor((lo_x - e) / size), F.floor((hi_x + e) / size))))
+
+    def y_at(x: Column) -> Column:
+        x = F.least(F.greatest(x, lo_x), hi_x)
+        slope = F.try_divide(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))
+        return F.col("ay") + (x - F.col("ax")) * slope
+    steep = F.abs(F.col("bx") - F.col("ax")) <= e       # within one column, or on a border of two
+    y1 = F.when(steep, F.col("ay")).otherwise(y_at(F.col("cx") * size - e))
+    y2 = F.when(steep, F.col("by")).otherwise(y_at((F.col("cx") + 1) * size + e))
+    return cols.withColumn("cy", F.explode(F.sequence(F.floor((F.least(y1, y2) - e) / size),
+                                                      F.floor((F.greatest(y1, y2) + e) / size))))
+
+
+def _around(df: DataFrame, r: int) -> DataFrame:
+    """Rows copied to all cells at most ``r`` from theirs in both directions."""
+    step = F.sequence(F.lit(-r), F.lit(r))
+    return df.withColumn("cx", F.explode(F.transform(step, lambda d: F.col("cx") + d))) \
+             .withColumn("cy", F.explode(F.transform(step, lambda d: F.col("cy") + d)))
+
+
+def segment_index(route_segments: DataFrame, size: float) -> DataFrame:
+    """(route_id, cx, cy, cand) for the cells of ``size`` km that the route runs through and
+    those beside them; ``cand`` holds every segment that is nearest to some point of the cell.
+
+    From a cell beside the route no point is farther than sqrt(8) cells from it, so its
+    candidates run through cells at most 3 away.  A point is at most half a diagonal from the
+    cell's centre, so a segment that is a whole diagonal farther from the centre than the nearest
+    one is nobody's nearest.
+    """
+    segs = route_segments.select("route_id", F.explode("segs").alias("s")).select("route_id", "s.*")
+    runs = _crossed(segs, size)
+    beside = _around(runs.select("route_id", "cx", "cy").distinct(), 1).distinct()
+    near = _around(runs, 3).join(beside, ["route_id", "cx", "cy"], "left_semi").distinct()
+    mx, my = (F.col("cx") + F.lit(0.5)) * size, (F.col("cy") + F.lit(0.5)) * size
+    d = geo.point_segment_km(mx, my, F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    near = near.withColumn("d", d)
+    least = near.groupBy("route_id", "cx", "cy").agg(F.min("d").alias("least"))
+    reach = F.lit(size * math.sqrt(2.0) * (1 + 1e-9) + 1e-9)
+    return near.join(least, ["route_id", "cx", "cy"]).where(F.col("d") <= F.col("least") + reach) \
+        .groupBy("route_id", "cx", "cy").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("cand"))
+
+
+#: Cell sizes of the index grow by this factor up to ``_WORLD_KM``, more than the projection's width.
+_COARSER, _WORLD_KM = 4, 25_000.0
+
+
 def dist_to_route_indexed(df: DataFrame, route_segments: DataFrame,
                           settings: Settings = DEFAULT,
                           out: str = "dist_to_route_km") -> DataFrame:
     """Route distance for networks with long polylines, exact.
 
-    Every segment is registered in each grid cell (``C`` km) that its
-    bounding box, widened by ``C``, touches; a ping looks up its own cell only.
-    Any segment within ``C`` of the ping is registered there, so when the
-    nearest candidate is within ``C`` it is the true minimum.  Pings with no
-    candidate that close (far off route) take the full per-route scan, which
-    the CASE evaluates for those rows only.  Both lookups are equi-joins
-    (broadcast behind a size check).
+    Grids of growing cells, each only on the route and beside it (``segment_index``).  A
+    ping takes its candidates from the finest grid whose cell it is in: on its route that is a
+    few segments, and the farther off it is, the coarser the cell; no ping meets its whole route
+    unless it is about as far from it as the route is long.  Every grid is one equi-join on
+    (route, cell), whose key is null once a finer one has answered; each is a written table,
+    broadcast behind a size check, so the plan also serves a stream.
     """
-    c = settings.segment_cell_km
-    segs = route_segments.select("route_id", F.explode("segs").alias("s")).select(
-        "route_id", "s.*")
-    lo_x, hi_x = F.least("ax", "bx") - F.lit(c), F.greatest("ax", "bx") + F.lit(c)
-    lo_y, hi_y = F.least("ay", "by") - F.lit(c), F.greatest("ay", "by") + F.lit(c)
-    cells = (segs.withColumn("cx", F.explode(F.sequence(F.floor(lo_x / c), F.floor(hi_x / c))))
-                 .withColumn("cy", F.explode(F.sequence(F.floor(lo_y / c), F.floor(hi_y / c))))
-                 .groupBy("route_id", "cx", "cy")
-                 .agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("_cand")))
-    cells = network.maybe_broadcast(cells, settings)
-    full = network.maybe_broadcast(
-        route_segments.select(F.col("route_id").alias("_rid"), F.col("segs").alias("_segs")),
-        settings)
+    spark = route_segments.sparkSession
+    keyed = df.withColumn("_px", geo.project_x("lon", settings)).withColumn("_py", geo.project_y("lat", settings)) \
+              .withColumn("_cand", F.lit(None).cast("array<struct<ax:double,ay:double,bx:double,by:double>>"))
+    size = settings.segment_cell_km
+    while True:
+        path = scratch_path(spark, "segment-index")
+        segment_index(route_segments, size).write.parquet(path)
+        grid = spark.read.parquet(path).select(F.col("route_id").alias("_r"), F.col("cx").alias("_x"), F.col("cy").alias("_y"),
+                                               F.col("cand").alias("_found"))
+        open_ = F.col("_cand").isNull()
+        keyed = keyed.withColumn("_kx", F.when(open_, F.floor(F.col("_px") / size))) \
+            .withColumn("_ky", F.when(open_, F.floor(F.col("_py") / size)))
+        keyed = keyed.join(network.maybe_broadcast(grid, settings), (F.col("route_id") == F.col("_r")) & (F.col("_kx") == F.col("_x"))
+                           & (F.col("_ky") == F.col("_y")), "left") \
+            .withColumn("_cand", F.coalesce("_cand", "_found")).drop("_r", "_x", "_y", "_found", "_kx", "_ky")
+        if size >= _WORLD_KM:
+            break
+        size *= _COARSER
     px, py = F.col("_px"), F.col("_py")
-    keyed = (df.withColumn("_px", geo.project_x("lon", settings))
-               .withColumn("_py", geo.project_y("lat", settings))
-               .withColumn("_cx", F.floor(F.col("_px") / c))
-               .withColumn("_cy", F.floor(F.col("_py") / c)))
-    j = (keyed.join(cells, (keyed["route_id"] == cells["route_id"]) & (F.col("_cx") == F.col("cx"))
-                    & (F.col("_cy") == F.col("cy")), "left").drop(cells["route_id"])
-              .join(full, F.col("route_id") == F.col("_rid"), "left"))
-    seg_d = lambda s: geo.point_segment_km(px, py, s["ax"], s["ay"], s["bx"], s["by"])
-    near = F.array_min(F.transform(F.col("_cand"), seg_d))
-    d = F.when(near <= F.lit(c), near).otherwise(F.array_min(F.transform(F.col("_segs"), seg_d)))
-    return j.select(*df.columns, F.round(d, 3).alias(out))
+    d = F.array_min(F.transform("_cand", lambda s: geo.point_segment_km(px, py, s["ax"], s["ay"], s["bx"], s["by"])))
+    return keyed.select(*df.columns, F.round(d, 3).alias(out))
 
 
 # ---------------------------------------------------------------- facility lookup
