@@ -127,6 +127,21 @@ def test_registry_alias_resolution(spark, lake01, tmp_path):
         m.write().save(f"{reg}/models/eta/v1")
 
 
+def test_racing_registrations_get_different_versions(spark, lake01, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    m = mdl.fit(mdl.split(lake01.training)[0].limit(300), dict(maxIter=2, maxDepth=2))
+    reg = str(tmp_path / "registry")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: mdl.register(spark, reg, m, "eta", float(i)), range(4)))
+    assert sorted(got) == [1, 2, 3, 4]
+    rows = spark.read.parquet(f"{reg}/versions").collect()
+    assert {(r.version, r.mae) for r in rows} == {(v, float(i)) for i, v in enumerate(got)}
+    # a writer that claimed a number and failed: the number is not given again
+    assert mdl.claim_version(spark, reg, "eta") == 5
+    assert mdl.register(spark, reg, m, "eta", 9.0) == 6
+    assert mdl.claim_version(spark, reg, "other") == 1
+
+
 def test_permutation_importance_shape(spark, lake01):
     train, test = mdl.split(lake01.training)
     m = mdl.fit(train, dict(maxIter=5, maxDepth=4))
@@ -144,9 +159,9 @@ def test_gbt_early_stopping_on_validation_trips(lake01):
     assert mdl.evaluate(m, test).first().r2 > 0.5
 
 
-def test_registered_keys_fit_the_operators_own_size(spark, monkeypatch):
-    from conftest import SF001
-    from waymark.plans import catalog
+def test_registered_keys_fit_the_operators_own_size(spark, lake001, monkeypatch, tmp_path):
+    from waymark.plans import catalog, tables
+    SF001 = lake001.sf_dir
     sizes, real = [], mdl.eta_pipeline
 
     def small(params=None):
@@ -155,6 +170,34 @@ def test_registered_keys_fit_the_operators_own_size(spark, monkeypatch):
         return real(dict(maxIter=2, maxDepth=2))
 
     monkeypatch.setattr(mdl, "eta_pipeline", small)
-    assert catalog.QUERIES["eta_model_metrics"](spark, SF001).count() == 1
-    assert catalog.QUERIES["feature_importance"](spark, SF001).count() > 0
-    assert sizes == [(400, 8, 0.08)] * 2
+    monkeypatch.setattr(tables, "_TABLES", {})          # models of this test stay in it
+    monkeypatch.setattr(tables, "oracle_copy", lambda: str(tmp_path))
+    for key in ("eta_model_metrics", "feature_importance", "score_requests_model", "shipment_board_model",
+                "eta_for_shipment_model", "method_mix"):
+        assert catalog.QUERIES[key](spark, SF001).count() > 0
+    assert sizes == [(400, 8, 0.08)]                    # one fit for all of them
+    assert catalog.QUERIES["promotion_gate"](spark, SF001).count() == 1
+    assert sizes == [(400, 8, 0.08), (600, 10, 0.06)]
+
+
+def test_ensemble_table_is_the_model(spark, lake01, tmp_path):
+    """The node table, walked row by row, gives the model's own predictions."""
+    train, test = mdl.split(lake01.training)
+    m = mdl.fit(train, dict(maxIter=6, maxDepth=5))
+    m.write().save(str(tmp_path / "m"))
+    nodes = {}
+    weight = {}
+    for r in mdl.ensemble(m, str(tmp_path / "m")).collect():
+        nodes[r.tree, r.node] = r
+        weight[r.tree] = r.weight
+    assert len(weight) == 6 and weight[0] == 1.0
+    assert any(r.feature == "route_id" for r in nodes.values())
+    for row in m.transform(test.limit(300)).collect():
+        total = 0.0
+        for t in sorted(weight):
+            r = nodes[t, 0]
+            while r.feature is not None:
+                x = float(row.route_id == r.level) if r.feature == "route_id" else float(row[r.feature])
+                r = nodes[t, r.left if x <= r.threshold else r.right]
+            total += weight[t] * r.value
+        assert abs(total - row.prediction) < 1e-9

@@ -14,12 +14,14 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.config import DEFAULT, Settings
 from waymark.functions import telemetry
 from waymark.operators import fleet, rolling
+from waymark.session import scratch_path
 
 # Feature, target and column names of the training table.
 NUMERIC = ["hour", "dow", "dist_remaining_km", "progress_pct", "speed_kmh", "avg_speed_kmh",
@@ -122,6 +124,16 @@ def requests_from_pings(silver: DataFrame, shifted: bool = False) -> DataFrame:
     return _requests(silver, [shifted]).drop("traffic")
 
 
+def requests_from_board(status: DataFrame) -> DataFrame:
+    """One request for each shipment of the board (``fleet.with_status``), as the board asks
+    for its ETAs: the current speed stands for the trailing mean, and the time is that of
+    the shipment's last ping."""
+    return status.select(
+        F.col("shipment_id").alias("request_id"), "route_id", "dist_remaining_km", "progress_pct", "speed_kmh",
+        F.col("speed_kmh").alias("avg_speed_kmh"), "dist_to_route_km", F.lit(None).cast("int").alias("hour"),
+        F.lit(None).cast("int").alias("dow"), F.col("event_time").alias("as_of"))
+
+
 def traffic_from_pings(silver: DataFrame) -> DataFrame:
     """Plain and shifted requests of every ping from one scan; ``traffic`` is "live" or "shifted"."""
     return _requests(silver, [False, True])
@@ -253,21 +265,79 @@ def thin(df: DataFrame, keep: float = 0.5, seed: int = 42, key=("shipment_id", "
     return df.where(u < F.lit(keep))
 
 
+#: Rows that share a cell of the bootstrap, ranges whose counts the driver splits, draws of a chunk.
+CELL_ROWS, RANGES, CHUNK = 20_000, 4096, 10_000
+
+
+def _split(n: int, counts: list[int], seed: int) -> list[int]:
+    """n draws among ``counts`` rows each, multinomial: a binomial of what is left at a time."""
+    rng, left, out = np.random.default_rng(seed), sum(counts), []
+    for c in counts:
+        k = int(rng.binomial(n, c / left)) if n and left else 0
+        out.append(k)
+        n, left = n - k, left - c
+    return out
+
+
+def _under(starts: DataFrame, draws: DataFrame, by: list[str], what: list[str], pos: str) -> DataFrame:
+    """``draws`` with the columns ``what`` of the last start at or before their ``pos``, within ``by``."""
+    names = [c for c in draws.columns if c not in by and c != pos]
+    none = F.lit(None)
+    a = starts.select(*by, F.col("start").alias(pos), F.struct("start", *what).alias("_at"),
+                      *[none.cast(draws.schema[c].dataType).alias(c) for c in names], F.lit(0).alias("_kind"))
+    b = draws.select(*by, pos, none.cast(a.schema["_at"].dataType).alias("_at"), *names, F.lit(1).alias("_kind"))
+    last = Window.partitionBy(*by).orderBy(pos, "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return a.unionByName(b).withColumn("_at", F.last("_at", ignorenulls=True).over(last)) \
+        .where("_kind = 1").select(*by, pos, *names, "_at.*")
+
+
 def bootstrap_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement: Poisson oversampling at a rate just
-    above n / rows (six standard deviations), then the n rows with the smallest random
-    key.  Work after the scan grows with ``n``, not with the table."""
+    """Exactly ``n`` rows drawn with replacement; the same rows from any partitioning of ``df``.
+
+    Rows are dealt by their hash into ranges, at most ``RANGES``, and those into cells of about
+    ``CELL_ROWS``; both are counted with map-side combining.  The n draws are split over the
+    ranges by an exact multinomial.  Each draw is a hashed position within its range; running
+    counts tell the cell under it, and in the drawn cells only, the row.  Equal rows are one
+    row with a count, so a row that makes up a third of the table is no hot group; draws are
+    worked off in chunks, so neither is a cell that many of them fall into.
+    """
     total = df.count()
     if total == 0 or n <= 0:
         return df.limit(0)
-    frac = (n + 6.0 * n ** 0.5 + 10.0) / total
-    for attempt in range(5):
-        s = df.sample(withReplacement=True, fraction=frac, seed=seed + attempt)
-        s = s.withColumn("_k", F.rand(seed + attempt))
-        if s.count() >= n:
-            return s.orderBy("_k").limit(n).drop("_k")
-        frac *= 2
-    raise RuntimeError("bootstrap oversampling did not reach n rows")
+    spark, own = df.sparkSession, df.columns
+    cells = -(-total // CELL_ROWS)
+    ranges = min(RANGES, cells)
+    cols = [F.col(f"`{c}`") for c in own]
+    row = F.struct(*cols)
+    keyed = df.select(row.alias("_row"), F.pmod(F.xxhash64(*cols), F.lit(ranges)).cast("int").alias("_a"),
+                      F.pmod(F.xxhash64(F.lit("cell"), *cols), F.lit(-(-cells // ranges))).cast("int").alias("_b"))
+    path = scratch_path(spark, "bootstrap-cells")
+    keyed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("w")).write.parquet(path)
+    sizes = spark.read.parquet(path)
+    per = sorted((r["_a"], r["w"]) for r in sizes.groupBy("_a").agg(F.sum("w").alias("w")).collect())   # at most RANGES
+    plan = [(a, w, m) for (a, w), m in zip(per, _split(n, [w for _, w in per], seed)) if m]
+    plan = spark.createDataFrame(plan, "_a int, w long, m long")
+    chunks = F.ceil(F.col("m") / CHUNK).cast("int")
+    size = F.least(F.lit(CHUNK), F.col("m") - F.col("_c") * F.lit(CHUNK)).cast("int")
+    draws = plan.select("_a", "w", "m", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_c")) \
+        .repartition("_a", "_c").select("_a", "_c", "w", F.explode(F.sequence(F.lit(0), size - 1)).alias("_j")) \
+        .select("_a", "_c", "_j", F.pmod(F.xxhash64(F.lit(seed), "_a", "_c", "_j"), F.col("w")).alias("pos"))
+    before = Window.partitionBy("_a").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    starts = sizes.withColumn("start", F.sum("w").over(before) - F.col("w")) \
+        .join(plan.select("_a", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_c")), "_a")
+    path = scratch_path(spark, "bootstrap-draws")
+    _under(starts, draws, ["_a", "_c"], ["_b"], "pos").select(
+        "_a", "_b", "_c", "_j", (F.col("pos") - F.col("start")).alias("at")).write.parquet(path)
+    drawn = spark.read.parquet(path)
+
+    busy = drawn.groupBy("_a", "_b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"))
+    held = keyed.join(busy, ["_a", "_b"], "left_semi").groupBy("_a", "_b", "_row").agg(F.count(F.lit(1)).alias("w"))
+    upto = Window.partitionBy("_a", "_b").orderBy(F.xxhash64("_row"), "_row").rowsBetween(Window.unboundedPreceding, 0)
+    held = held.withColumn("start", F.sum("w").over(upto) - F.col("w"))
+    held = held.join(busy, ["_a", "_b"]).withColumn("_d", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    asked = drawn.join(busy, ["_a", "_b"]).withColumn("_d", F.pmod(F.xxhash64("_c", "_j"), F.col("k")).cast("int"))
+    found = _under(held, asked.select("_a", "_b", "_d", "_c", "_j", "at"), ["_a", "_b", "_d"], ["_row"], "at")
+    return found.select("_row.*")
 
 
 def shipment_eta(silver: DataFrame, shipment_id: str, model=None,

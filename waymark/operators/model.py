@@ -23,6 +23,10 @@ from waymark.operators.eta import NUMERIC, TARGET, holdout_flag, regression_metr
 # Boosting rounds and depth of the champion and of the challenger.
 DEFAULT_PARAMS = dict(maxIter=400, maxDepth=8, stepSize=0.08, seed=42)
 CHALLENGER_PARAMS = dict(maxIter=600, maxDepth=10, stepSize=0.06, seed=7)
+PARAMS = {"champion": DEFAULT_PARAMS, "challenger": CHALLENGER_PARAMS}
+#: Rows of one training partition: every round is several small jobs, so few rows in many
+#: tasks cost more than they save.
+FIT_ROWS = 25_000
 
 
 def feature_pipeline() -> Pipeline:
@@ -42,7 +46,9 @@ def eta_pipeline(params: dict | None = None) -> Pipeline:
     p = dict(DEFAULT_PARAMS, **(params or {}))
     return Pipeline(stages=[
         *feature_pipeline().getStages(),
-        GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="prediction", **p),
+        # Node ids are kept with the rows instead of walking the tree again at each level.
+        GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="prediction",
+                     cacheNodeIds=True, checkpointInterval=10, **p),
     ])
 
 
@@ -64,19 +70,73 @@ def fit(train: DataFrame, params: dict | None = None,
                                     1, 8), 16, 10).cast("bigint") % 100
         train = train.withColumn("_is_val", bucket < validation_pct)
         p["validationIndicatorCol"] = "_is_val"
+    few = math.ceil(train.count() / FIT_ROWS)
+    if few < train.rdd.getNumPartitions():
+        train = train.coalesce(max(1, few))
     return eta_pipeline(p).fit(train)
 
 
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def ensemble(model: PipelineModel, path: str) -> DataFrame:
+    """The trees of a saved model as a table, one row a node: tree, node, feature, level,
+    threshold, left, right, value, weight.
+
+    A row goes to ``left`` where its feature is at most ``threshold``; a route is 1 where
+    it is ``level``, else 0.  Leaves have no feature.  The prediction is the sum over trees of
+    weight times the value of the leaf reached.  Read from the node table that Spark saves
+    with the model (``path``), so no tree passes through the driver.
+    """
+    spark = SparkSession.getActiveSession()
+    at = f"{path}/stages/{len(model.stages) - 1}_{model.stages[-1].uid}"
+    names = [(i, c, None) for i, c in enumerate(NUMERIC)]
+    names += [(len(NUMERIC) + i, "route_id", r) for i, r in enumerate(model.stages[0].labels)]
+    named = spark.createDataFrame(names, "index int, feature string, level string")
+    weights = spark.read.parquet(f"{at}/treesMetadata").toDF("tree", "meta", "weight").select("tree", "weight")
+    node = spark.read.parquet(f"{at}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    split, first = F.col("split"), F.get(F.col("split.leftCategoriesOrThreshold"), F.lit(0))
+    # A one-hot slot has the categories 0 and 1: its split is a threshold between them, with
+    # the children exchanged where 1 goes left.
+    yes_no = split.numCategories == 2
+    bad = F.raise_error(F.lit("a split of more than two categories has no threshold"))
+    swap = yes_no & ~F.array_contains("split.leftCategoriesOrThreshold", F.lit(0.0))
+    inner = F.col("leftChild") >= 0
+    rows = node.select(
+        "tree", F.col("id").alias("node"), F.when(inner, split.featureIndex).alias("index"),
+        F.when(inner, F.when(split.numCategories == -1, first).when(yes_no, F.lit(0.5)).otherwise(bad)).alias("threshold"),
+        F.when(inner, F.when(swap, F.col("rightChild")).otherwise(F.col("leftChild"))).alias("left"),
+        F.when(inner, F.when(swap, F.col("leftChild")).otherwise(F.col("rightChild"))).alias("right"),
+        F.col("prediction").alias("value"))
+    return rows.join(named, "index", "left").join(weights, "tree").select(
+        "tree", "node", "feature", "level", "threshold", "left", "right", "value", "weight")
+
+
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     return regression_metrics(model.transform(test), "prediction", TARGET)
 
 
+def metrics_of(model: PipelineModel, training: DataFrame) -> DataFrame:
+    """Held-out metrics of a model that was fitted on the other trips, and their rows."""
+    train, test = split(training)
+    return evaluate(model, test).withColumn("n_train", F.lit(train.count()).cast("bigint"))
+
+
 def train_and_evaluate(training: DataFrame, params: dict | None = None
                        ) -> tuple[PipelineModel, DataFrame]:
-    train, test = split(training)
-    model = fit(train, params)
-    m = evaluate(model, test).withColumn("n_train", F.lit(train.count()).cast("bigint"))
-    return model, m
+    model = fit(split(training)[0], params)
+    return model, metrics_of(model, training)
+
+
+def both_predictions(champion: PipelineModel | None, challenger: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with the columns challenger and (if there is one) champion, in one pass."""
+    out = challenger.transform(rows).withColumnRenamed("prediction", "challenger") \
+                    .drop("route_idx", "route_vec", "features")
+    if champion is not None:
+        out = champion.transform(out).withColumnRenamed("prediction", "champion") \
+                      .drop("route_idx", "route_vec", "features")
+    return out
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5,
@@ -134,13 +194,27 @@ ALIAS_SCHEMA = T.StructType([
 ])
 
 
-def register(spark: SparkSession, registry_dir: str, model: PipelineModel, name: str,
-             mae: float | None) -> int:
-    """Save the model under the registry folder and append a version row."""
-    from waymark.sources.tables import read_table_or_empty, write_table
+def claim_version(spark: SparkSession, registry_dir: str, name: str) -> int:
+    """The next version number of ``name``, owned by this caller alone: the first number after
+    all rows and claims whose claim file this caller is the one to create."""
+    from waymark.sources import commits
+    from waymark.sources.tables import read_table_or_empty
     versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA)
     latest = versions.where(F.col("model") == name).agg(F.max("version")).first()[0] or 0
-    version = int(latest) + 1
+    claims = f"{registry_dir}/claims/{name}"
+    version = max([int(latest), *[int(n[1:]) for n in commits.names(spark, claims)]]) + 1
+    while not commits.create_once(spark, f"{claims}/v{version}"):
+        version += 1
+    return version
+
+
+def register(spark: SparkSession, registry_dir: str, model: PipelineModel, name: str,
+             mae: float | None) -> int:
+    """Save the model under the registry folder and append a version row.  Its number is
+    claimed first (``claim_version``), so writers that race get different ones; a number whose
+    writer failed before its row stays unused."""
+    from waymark.sources.tables import write_table
+    version = claim_version(spark, registry_dir, name)
     path = f"{registry_dir}/models/{name}/v{version}"
     model.write().save(path)          # a version that exists is never overwritten
     row = spark.createDataFrame([(name, version, path, mae)],
@@ -210,13 +284,8 @@ def champion_challenger(spark: SparkSession, training: DataFrame, registry_dir:
     train, test = split(training)
     challenger = fit(train, dict(CHALLENGER_PARAMS, **(params or {})))
     champion = resolve_alias(spark, registry_dir, name)
-    scored = challenger.transform(test).withColumnRenamed("prediction", "challenger") \
-                       .drop("route_idx", "route_vec", "features")
-    champ_col = None
-    if champion is not None:
-        scored = champion.transform(scored).withColumnRenamed("prediction", "champion")
-        champ_col = "champion"
-    gate = promotion_gate(scored, champ_col, "challenger",
+    scored = both_predictions(champion, challenger, test)
+    gate = promotion_gate(scored, "champion" if champion is not None else None, "challenger",
                           settings=Settings(champion_margin=margin)).cache()
     row = gate.first()
     version = register(spark, registry_dir, challenger, name, row.challenger_mae)

@@ -281,8 +281,36 @@ def _regression_metrics(lk: Lake) -> DataFrame:
     return eta.regression_metrics(t, "pred")
 
 
+@query("score_requests_model")
+def _score_requests_model(lk: Lake) -> DataFrame:
+    """The requests scored by the fitted champion."""
+    return lk.scored_requests(model=lk.model()).select(
+        "request_id", "route_id", "dist_remaining_km", "speed_kmh", "predicted_eta_min", "method")
+
+
+@query("eta_for_shipment_model")
+def _eta_for_shipment_model(lk: Lake) -> DataFrame:
+    """ETA of every shipment from its latest ping by the fitted champion."""
+    s = eta.score(lk.features.drop("event_time"), lk.model(), lk.settings)
+    return s.select("shipment_id", "predicted_eta_min", "method", "progress_pct")
+
+
+@query("shipment_board_model")
+def _shipment_board_model(lk: Lake) -> DataFrame:
+    """The shipment board with the fitted champion's ETAs."""
+    return lk.board_by(lk.model())
+
+
 @query("promotion_gate")
 def _promotion_gate(lk: Lake) -> DataFrame:
+    """Two fitted models, champion and challenger, on the held-out trips."""
+    from waymark.operators import model as mdl
+    scored = mdl.both_predictions(lk.model("champion"), lk.model("challenger"), mdl.split(lk.training)[1])
+    return eta.promotion_gate(scored, "champion", "challenger", settings=lk.settings)
+
+
+@query("promotion_gate_fallback")
+def _promotion_gate_fallback(lk: Lake) -> DataFrame:
     """Champion = fallback on the trailing mean speed, challenger = fallback on
     the current speed; both on the held-out trips."""
     t = lk.training.where(eta.holdout_flag("shipment_id"))
@@ -297,8 +325,7 @@ def _promotion_gate(lk: Lake) -> DataFrame:
 def _eta_model_metrics(lk: Lake) -> DataFrame:
     """Gradient-boosted trees fitted on 80 % of the trips, scored on the rest."""
     from waymark.operators import model as mdl
-    _, m = mdl.train_and_evaluate(lk.training)
-    return m
+    return mdl.metrics_of(lk.model(), lk.training)
 
 
 @query("eta_feature_vector")
@@ -319,9 +346,9 @@ def _eta_feature_vector(lk: Lake) -> DataFrame:
 @query("psi_empty_live")
 def _psi_empty_live(lk: Lake) -> DataFrame:
     """Drift against a live window that nothing was scored in."""
-    drift, ref, cuts = _traffic(lk)
+    drift, ref, cuts, counts = _traffic(lk)
     none = lk.scored_requests().where(F.col("dist_remaining_km") < 0)
-    r = drift.report(drift.psi(drift.histogram(ref, none, settings=lk.settings, cuts=cuts)), lk.settings)
+    r = drift.report(drift.psi(drift.histogram(ref, none, settings=lk.settings, cuts=cuts, counts=counts)), lk.settings)
     return r.select("max_psi", "alert", "features_checked", "recommendation")
 
 
@@ -336,8 +363,7 @@ def _regression_metrics_constant(lk: Lake) -> DataFrame:
 @query("feature_importance")
 def _feature_importance(lk: Lake) -> DataFrame:
     from waymark.operators import model as mdl
-    train, test = mdl.split(lk.training)
-    return mdl.permutation_importance(mdl.fit(train), test)
+    return mdl.permutation_importance(lk.model(), mdl.split(lk.training)[1])
 
 
 # ------------------------------------------------------------------ drift
@@ -345,13 +371,13 @@ def _feature_importance(lk: Lake) -> DataFrame:
 def _traffic(lk: Lake):
     from waymark.operators import drift
     ref = lk.training
-    cuts = drift.cut_points(ref, settings=lk.settings)
-    return drift, ref, cuts
+    counts = drift.reference_counts(ref)
+    return drift, ref, drift.cut_points(ref, settings=lk.settings, counts=counts), counts
 
 
 @query("psi_cuts")
 def _psi_cuts(lk: Lake) -> DataFrame:
-    drift, ref, cuts = _traffic(lk)
+    drift, ref, cuts, counts = _traffic(lk)
     pe = F.posexplode("cuts").alias("cut", "value")
     out = cuts.select("feature", pe)
     return out.select("feature", F.col("cut").cast("int").alias("cut"),
@@ -361,16 +387,16 @@ def _psi_cuts(lk: Lake) -> DataFrame:
 
 @query("psi_histogram")
 def _psi_histogram(lk: Lake) -> DataFrame:
-    drift, ref, cuts = _traffic(lk)
-    return drift.histogram(ref, lk.scored_requests(), settings=lk.settings, cuts=cuts)
+    drift, ref, cuts, counts = _traffic(lk)
+    return drift.histogram(ref, lk.scored_requests(), settings=lk.settings, cuts=cuts, counts=counts)
 
 
 def _psi_all(lk: Lake) -> DataFrame:
     """PSI of the live traffic and of the shifted traffic against one
     reference, counted in a single pass."""
-    drift, ref, cuts = _traffic(lk)
+    drift, ref, cuts, counts = _traffic(lk)
     both = eta.request_features(eta.traffic_from_pings(lk.silver), lk.settings)
-    return drift.psi(drift.histograms(ref, both, settings=lk.settings, cuts=cuts))
+    return drift.psi(drift.histograms(ref, both, settings=lk.settings, cuts=cuts, counts=counts))
 
 
 @query("psi")
@@ -391,12 +417,14 @@ def _drift_report(lk: Lake) -> DataFrame:
 
 @query("method_mix")
 def _method_mix(lk: Lake) -> DataFrame:
-    """Scores the requests, appends them to the JSON-lines prediction log in
-    the shared checkpoint folder, reads the log back and counts by method."""
+    """Scores the requests without a model, as before the first training, and then those
+    of moving shipments with it, appends both to the JSON-lines prediction log in the
+    shared checkpoint folder, reads the log back and counts by method."""
     from waymark.session import scratch_path
     from waymark.sources import tables
     path = scratch_path(lk.spark, "prediction-log")
     tables.append_predictions(lk.scored_requests(), path)
+    tables.append_predictions(lk.scored_requests(model=lk.model()).where("is_stopped = 0"), path)
     log = tables.read_predictions(lk.spark, path)
     return log.groupBy("method").agg(F.count(F.lit(1)).alias("predictions"))
 
@@ -421,7 +449,7 @@ def _stream_bronze(lk: Lake) -> DataFrame:
     from waymark.streaming import jobs
     src = scratch_path(lk.spark, "envelopes")
     envelope.publish(lk.envelopes, path=src, mode="overwrite")
-    raw = jobs.file_stream(lk.spark, src, envelope.ENVELOPE_SCHEMA)
+    raw = jobs.file_stream(lk.spark, src, envelope.ENVELOPE_SCHEMA, max_files_per_trigger=16)
     out = _stream_run(lk, "bronze", jobs.bronze_stream(raw))
     return out.drop("ingest_time")
 
@@ -438,10 +466,41 @@ def _stream_silver(lk: Lake) -> DataFrame:
     return _stream_run(lk, "silver", s)
 
 
+@query("stream_silver_late")
+def _stream_silver_late(lk: Lake) -> DataFrame:
+    """Bronze and Silver as chained streams over four batches of arrivals (``recipe.arrival_batch``),
+    some of them late by one batch or two.  Events come minutes apart, so this replay's
+    watermark is a day: rows that are later are dropped, others and their re-deliveries absorbed."""
+    from dataclasses import replace
+    from waymark.session import scratch_path
+    from waymark.sources import recipe
+    from waymark.streaming import jobs
+    pings = lk.pings.withColumn("arrival", recipe.arrival_batch())
+    batches = (envelope.keyed_envelope(pings.where(F.col("arrival") == b)) for b in range(recipe.ARRIVALS))
+    bronze, silver = (jobs.StreamTarget(scratch_path(lk.spark, f"late-{n}-out"), scratch_path(lk.spark, f"late-{n}-ckpt"))
+                      for n in ("bronze", "silver"))
+    jobs.replay(batches, scratch_path(lk.spark, "late-envelopes"), bronze, silver, lk.route_arrays, lk.facilities,
+                replace(lk.settings, watermark=recipe.LATE_WATERMARK))
+    return lk.spark.read.parquet(silver.path).select(
+        *recipe.PING_COLUMNS, "progress_pct", "is_moving", "dist_to_route_km", "at_facility")
+
+
+@query("stream_current_state")
+def _stream_current_state(lk: Lake) -> DataFrame:
+    """Silver as a file stream merged batch by batch into the current-state table; its
+    latest row of each shipment."""
+    from waymark.session import scratch_path
+    from waymark.streaming import jobs, state
+    path = scratch_path(lk.spark, "state")
+    src = jobs.file_stream(lk.spark, lk.table_path("silver"), lk.silver.schema, max_files_per_trigger=4)
+    state.run(src, path, scratch_path(lk.spark, "state-ckpt"), settings=lk.settings)
+    return fleet.latest_state(state.read(lk.spark, path))
+
+
 @query("stream_status")
 def _stream_status(lk: Lake) -> DataFrame:
     from waymark.streaming import jobs
-    src = jobs.file_stream(lk.spark, lk.table_path("silver"), lk.silver.schema)
+    src = jobs.file_stream(lk.spark, lk.table_path("silver"), lk.silver.schema, max_files_per_trigger=4)
     return _stream_run(lk, "status", jobs.status_stream(src, lk.settings))
 
 

@@ -163,6 +163,34 @@ class Lake:
         """The training table (written once, like the training parquet file)."""
         return self._table("training", lambda: self.training_plan)
 
+    def model(self, kind: str = "champion"):
+        """A model fitted on the training trips, once for each version of the training
+        table and set of parameters; every consumer reads that one.  Its node table is
+        written next to it (``ensemble``)."""
+        from waymark.operators import model as mdl
+        params = mdl.PARAMS[kind]
+        src = f"{self.sf_dir}/events.parquet"
+        salt = repr(self.settings) + repr(sorted(params.items()))
+        key = tables.table_key(self.spark, f"eta_{kind}", src, salt)
+        path = tables.saved_model(self.spark, key, lambda: mdl.fit(mdl.split(self.training)[0], params))
+        fitted = mdl.load(path)
+        nodes = (key[0], f"eta_{kind}_nodes", key[2])
+        if tables.path_of(nodes) is None:
+            table = tables.materialize(self.spark, nodes, lambda: mdl.ensemble(fitted, path))
+            if self.spark.sparkContext.master.startswith("local"):
+                version = tables.data_version(self.spark.read.parquet(src))
+                table.coalesce(1).write.mode("overwrite").parquet(
+                    f"file://{tables.oracle_copy()}/kind={kind}/version={version}")
+        return fitted
+
+    def ensemble(self, kind: str = "champion") -> DataFrame:
+        """The node table of ``model(kind)``."""
+        from waymark.operators import model as mdl
+        self.model(kind)
+        salt = repr(self.settings) + repr(sorted(mdl.PARAMS[kind].items()))
+        key = tables.table_key(self.spark, f"eta_{kind}_nodes", f"{self.sf_dir}/events.parquet", salt)
+        return self.spark.read.parquet(tables.path_of(key))
+
     @cached_property
     def features(self) -> DataFrame:
         from waymark.operators import eta
@@ -176,3 +204,11 @@ class Lake:
         from waymark.operators import eta
         return eta.score(eta.request_features(self.requests(shifted), self.settings), model,
                          self.settings)
+
+    def board_by(self, model) -> DataFrame:
+        """The shipment board with the model's ETAs."""
+        from waymark.operators import eta
+        asked = eta.requests_from_board(self.status)
+        by_model = eta.score(eta.request_features(asked, self.settings), model, self.settings)
+        return fleet.board(self.status, self.settings, by_model.select(
+            F.col("request_id").alias("shipment_id"), F.col("predicted_eta_min").alias("eta_min")))

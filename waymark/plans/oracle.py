@@ -11,6 +11,7 @@ from __future__ import annotations
 from waymark.plans.oracle_recipe import (PING_COLS, bearing, gold_sql, hav, pings_sql,
                                          silver_sql, with_ctes, PINGS_CTES, SILVER_CTES,
                                          GOLD_CTES, VALID_CTE, DEDUP_CTE)
+from waymark.plans.tables import oracle_copy
 
 ORACLE: dict[str, str] = {}
 
@@ -305,7 +306,7 @@ ORACLE["eta_feature_vector"] = eta_sql(
         f"CASE WHEN route_id = (SELECT r FROM (SELECT r, row_number() OVER (ORDER BY r) AS n FROM "
         f"(SELECT DISTINCT route_id AS r FROM training) q) z WHERE n = {i}) THEN 1e0 ELSE 0e0 END AS route_{i}"
         for i in range(1, 6)) + " FROM feat")
-ORACLE["promotion_gate"] = eta_sql(
+ORACLE["promotion_gate_fallback"] = eta_sql(
     "SELECT n_holdout, " + dround("champion_mae", 6) + " AS champion_mae, "
     + dround("challenger_mae", 6) + " AS challenger_mae, coalesce(champion_mae IS NULL OR "
     "challenger_mae < champion_mae * 0.99e0, false) AS promote FROM (SELECT count(*) AS n_holdout, "
@@ -315,6 +316,63 @@ ORACLE["promotion_gate"] = eta_sql(
     + _fallback("dist_remaining_km", "speed_kmh") + " AS challenger FROM training "
     "WHERE (('0x'||substr(md5(shipment_id),1,8))::BIGINT % 100) < 20) h) g")
 
+# ------------------------------------------------------------------ fitted models
+# The node tables that the queries leave for this purpose, walked level by level.
+_VERSION = ("(SELECT count(*) || '-' || coalesce(sum(event_id), 0) || '-' || coalesce(sum(user_id), 0) FROM events)")
+_DEPTH = {"champion": 8, "challenger": 10}
+
+
+def _walk(kind: str, rows: str) -> str:
+    """CTE ``<kind>(rid, prediction)`` for the feature rows of ``rows``."""
+    x = ("CASE e.feature " + " ".join(f"WHEN '{c}' THEN CAST(f.{c} AS DOUBLE)" for c in (
+        "hour", "dow", "dist_remaining_km", "progress_pct", "speed_kmh", "avg_speed_kmh", "dist_to_route_km", "is_stopped"))
+        + " ELSE CAST(f.route_id IS NOT DISTINCT FROM e.level AS INTEGER) END")
+    ctes = [f"{kind}_n AS MATERIALIZED (SELECT tree, node, feature, level, threshold, \"left\" AS l, \"right\" AS r, value, weight "
+            f"FROM read_parquet('{oracle_copy()}/*/*/*.parquet', hive_partitioning=true, hive_types_autocast=false) "
+            f"WHERE kind = '{kind}' AND version = {_VERSION})",
+            f"{kind}_0 AS (SELECT rid, tree, 0 AS node FROM {rows}, (SELECT DISTINCT tree FROM {kind}_n) t)"]
+    for i in range(_DEPTH[kind]):
+        ctes.append(f"{kind}_{i + 1} AS (SELECT w.rid, w.tree, CASE WHEN e.feature IS NULL THEN w.node WHEN {x} <= e.threshold "
+                    f"THEN e.l ELSE e.r END AS node FROM {kind}_{i} w JOIN {kind}_n e ON e.tree = w.tree AND e.node = w.node "
+                    f"JOIN {rows} f ON f.rid = w.rid)")
+    ctes.append(f"{kind} AS MATERIALIZED (SELECT w.rid, fsum(e.weight * e.value) AS prediction FROM {kind}_{_DEPTH[kind]} w "
+                f"JOIN {kind}_n e ON e.tree = w.tree AND e.node = w.node GROUP BY w.rid)")
+    return ",\n".join(ctes)
+
+
+def model_sql(rows: str, body: str, kinds=("champion",), more: tuple = ()) -> str:
+    """``rows``: a query that gives the features and a distinct ``rid``."""
+    return with_ctes(PINGS_CTES, SILVER_CTES, _TRAIN, _requests("rq", False), *more,
+                     f"mrows AS MATERIALIZED ({rows})", *[_walk(k, "mrows") for k in kinds], body=body)
+
+
+_HELD = "(('0x'||substr(md5(shipment_id),1,8))::BIGINT % 100) < 20"
+_HELD_ROWS = f"SELECT *, shipment_id || '#' || seq AS rid FROM training WHERE {_HELD}"
+ORACLE["score_requests_model"] = model_sql("SELECT *, request_id AS rid FROM rq", (
+    "SELECT request_id, route_id, dist_remaining_km, speed_kmh, " + dround("prediction", 1)
+    + " AS predicted_eta_min, 'model' AS method FROM mrows JOIN champion USING (rid)"))
+ORACLE["eta_for_shipment_model"] = model_sql("SELECT *, shipment_id AS rid FROM feat", (
+    "SELECT shipment_id, " + dround("prediction", 1) + " AS predicted_eta_min, 'model' AS method, progress_pct "
+    "FROM mrows JOIN champion USING (rid)"))
+ORACLE["shipment_board_model"] = model_sql(
+    "SELECT shipment_id AS rid, route_id, " + _HOUR.format(t="event_time") + " AS hour, " + _DOW.format(t="event_time")
+    + " AS dow, dist_remaining_km, coalesce(progress_pct, 0e0) AS progress_pct, coalesce(speed_kmh, 0e0) AS speed_kmh, "
+    "coalesce(speed_kmh, 0e0) AS avg_speed_kmh, coalesce(dist_to_route_km, 0e0) AS dist_to_route_km, "
+    "CAST(coalesce(speed_kmh, 0e0) < 3.0e0 AS INTEGER) AS is_stopped FROM st WHERE route_id IS NOT NULL "
+    "AND dist_remaining_km >= 0", (
+        "SELECT st.shipment_id, st.route_id, status, st.progress_pct, st.dist_remaining_km, st.speed_kmh, "
+        + dround("prediction", 1) + " AS eta_min FROM st LEFT JOIN champion ON rid = shipment_id "
+        "ORDER BY eta_min ASC NULLS LAST, shipment_id"), more=(_NONNULL, _status_cte("st", "nonnull")))
+ORACLE["promotion_gate"] = model_sql(_HELD_ROWS, (
+    "SELECT n_holdout, " + dround("champion_mae", 6) + " AS champion_mae, " + dround("challenger_mae", 6)
+    + " AS challenger_mae, coalesce(challenger_mae < champion_mae * 0.99e0, false) AS promote FROM "
+    "(SELECT count(*) AS n_holdout, avg(abs(a.prediction - minutes_to_arrival)) AS champion_mae, "
+    "avg(abs(b.prediction - minutes_to_arrival)) AS challenger_mae FROM mrows JOIN champion a USING (rid) "
+    "JOIN challenger b USING (rid)) g"), kinds=("champion", "challenger"))
+ORACLE["eta_model_metrics"] = model_sql(_HELD_ROWS, (
+    "SELECT m.*, (SELECT count(*) FROM training WHERE NOT " + _HELD + ") AS n_train FROM ("
+    + _metrics("prediction", "(SELECT * FROM mrows JOIN champion USING (rid)) z") + ") m"))
+
 # ------------------------------------------------------------------ drift
 _PROBS = "[" + ", ".join(repr(i / 10) for i in range(11)) + "]"
 
@@ -374,11 +432,27 @@ ORACLE["drift_report"] = drift_sql(
 ORACLE["psi_empty_live"] = drift_sql(
     "SELECT CAST(NULL AS DOUBLE) AS max_psi, false AS alert, CAST(0 AS BIGINT) AS features_checked, "
     "'no live traffic to compare' AS recommendation FROM (SELECT count(*) FROM cuts) z")
-ORACLE["method_mix"] = eta_sql("SELECT method, count(*) AS predictions FROM rq GROUP BY method")
+ORACLE["method_mix"] = eta_sql(
+    "SELECT method, count(*) AS predictions FROM (SELECT method FROM rq UNION ALL "
+    "SELECT 'model' FROM rq WHERE is_stopped = 0) z GROUP BY method")
 
 # ------------------------------------------------------------------ streaming
 ORACLE["stream_bronze"] = ORACLE["bronze_parse"]
 ORACLE["stream_silver"] = ORACLE["silver_enrich"]
+# Each batch's watermark is the running maximum of the valid event times before it, less a day.
+_LATE_VALID = (
+    "arrived AS (SELECT *, least(3, greatest(0, coalesce(CAST(floor((epoch(event_time) - 1704067200) / 691200e0) AS INTEGER), 0)) "
+    "+ CASE WHEN event_id % 100 = 7 THEN 2 WHEN event_id % 10 = 3 THEN 1 ELSE 0 END "
+    "+ CASE WHEN copy = 1 AND event_id % 2 = 0 THEN 1 ELSE 0 END) AS batch FROM pings), "
+    "ok AS (SELECT * FROM arrived WHERE shipment_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL "
+    "AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180), "
+    "tops AS (SELECT batch, max(event_time) AS top FROM ok GROUP BY batch), "
+    "marks AS (SELECT a.batch, max(b.top) - INTERVAL '1 day' AS mark FROM tops a LEFT JOIN tops b ON b.batch < a.batch "
+    "GROUP BY a.batch), "
+    "vv AS (SELECT event_id, copy, " + PING_COLS + " FROM ok JOIN marks USING (batch) WHERE mark IS NULL OR event_time > mark)")
+ORACLE["stream_silver_late"] = with_ctes(PINGS_CTES, SILVER_CTES.replace(VALID_CTE, _LATE_VALID), body=(
+    "SELECT " + PING_COLS + ", progress_pct, is_moving, dist_to_route_km, at_facility FROM silver"))
+ORACLE["stream_current_state"] = ORACLE["latest_state"]
 ORACLE["stream_status"] = ORACLE["gold_status"]
 ORACLE["stream_exceptions"] = gold_sql(
     "SELECT * FROM gexc WHERE window_end <= (SELECT max(event_time) FROM silver) "

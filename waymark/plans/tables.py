@@ -12,10 +12,13 @@ are rebuilt.
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.session import scratch_path
 
@@ -63,6 +66,30 @@ def materialize(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
     return spark.read.parquet(path)
 
 
+def saved_model(spark: SparkSession, key: tuple, build: Callable[[], object]) -> str:
+    """Save ``build()`` (a fitted pipeline) once per key; return its folder."""
+    with _LOCK:
+        path = _TABLES.get(key)
+        if path is None:
+            path = scratch_path(spark, f"{key[1]}-{key[2]}")
+            build().write().save(path)
+            _TABLES[key] = path
+    return path
+
+
+def data_version(events: DataFrame) -> str:
+    """The input's version in terms that SQL can compute from its rows."""
+    n, ids, users = events.agg(F.count(F.lit(1)), F.coalesce(F.sum("event_id"), F.lit(0)),
+                               F.coalesce(F.sum("user_id"), F.lit(0))).first()
+    return f"{n}-{ids}-{users}"
+
+
+def oracle_copy() -> str:
+    """Where a local session leaves a model's node table for the SQL oracle, which only
+    reads files by path.  A cluster session writes nothing there."""
+    return f"{tempfile.gettempdir()}/waymark-ensembles-{os.getuid()}"
+
+
 def path_of(key: tuple) -> str | None:
     with _LOCK:
         return _TABLES.get(key)
