@@ -38,6 +38,12 @@ def test_cli_chain(spark, lake001, lake01, tmp_path, capsys):
     sid = lake001.silver.first().shipment_id
     cli.main(["eta", "--silver", f"{d}/silver", "--shipment", sid, "--registry", f"{d}/reg", "--log", f"{d}/log"])
     cli.main(["eta", "--silver", f"{d}/silver", "--shipment", "SHP-none", "--log", f"{d}/log"])
+    cli.main(["state", "--silver", f"{d}/silver", "--state", f"{d}/state", "--checkpoint", f"{d}/c4", "--once"])
+    capsys.readouterr()
+    cli.main(["eta", "--silver", f"{d}/silver", "--shipment", sid, "--registry", f"{d}/reg"])
+    cli.main(["eta", "--state", f"{d}/state", "--shipment", sid, "--registry", f"{d}/reg"])
+    shown = capsys.readouterr().out.split("\n\n")
+    assert sid in shown[0] and shown[0].strip() == shown[1].strip()      # one bucket, the same answer
     mine = spark.read.json(f"{d}/log").where(F.col("shipment_id") == sid).collect()
     assert len(mine) == 1 and mine[0].method == "model" and mine[0].model_version >= 1
     cli.main(["board", "--silver", f"{d}/silver", "--registry", f"{d}/reg", "--out", f"{d}/board", "--status", f"{d}/status",

@@ -134,7 +134,7 @@ def test_racing_registrations_get_different_versions(spark, lake01, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         got = list(pool.map(lambda i: mdl.register(spark, reg, m, "eta", float(i)), range(4)))
     assert sorted(got) == [1, 2, 3, 4]
-    rows = spark.read.parquet(f"{reg}/versions").collect()
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{reg}/versions").collect()
     assert {(r.version, r.mae) for r in rows} == {(v, float(i)) for i, v in enumerate(got)}
     # a writer that claimed a number and failed: the number is not given again
     assert mdl.claim_version(spark, reg, "eta") == 5

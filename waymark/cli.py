@@ -3,17 +3,20 @@
     python -m waymark bronze     --source ENVELOPES --out BRONZE --checkpoint CKPT [--once]
     python -m waymark silver     --bronze BRONZE --out SILVER --checkpoint CKPT [--once]
     python -m waymark gold       --silver SILVER --status STATUS --exceptions EXC --checkpoint CKPT [--once]
+    python -m waymark state      --silver SILVER --state STATE --checkpoint CKPT [--once]
     python -m waymark query-bronze --bronze BRONZE
     python -m waymark query-gold --silver SILVER --status STATUS --exceptions EXC
     python -m waymark training   --silver SILVER --out TRAINING
     python -m waymark train      --training TRAINING --registry REG [--max-iter N --max-depth N]
     python -m waymark retrain    --training TRAINING --registry REG [--max-iter N --max-depth N]
     python -m waymark score      --requests REQUESTS.json --registry REG --log LOG [--rejects PATH]
-    python -m waymark eta        --silver SILVER --shipment ID --log LOG [--registry REG]
+    python -m waymark eta        --silver SILVER | --state STATE --shipment ID [--log LOG --registry REG]
     python -m waymark drift      --training TRAINING --log LOG
     python -m waymark board      --silver SILVER [--registry REG --out PATH --status STATUS --exceptions EXC]
 
-Rejected requests and the board are written whole (``--rejects``, default LOG-rejects;
+``state`` keeps the table of current rows that ``eta --state`` reads one bucket of, instead of
+the shipment's history in Silver.  A prediction is logged where ``--log`` says so; without it
+``eta`` only shows it.  Rejected requests and the board are written whole (``--rejects``, default LOG-rejects;
 ``--out``); what is shown is only an extract.  Streams take at most ``--max-files`` files
 or ``--max-offsets`` Kafka offsets a batch, so the watermark moves while a backlog is read.
 
@@ -95,6 +98,15 @@ def cmd_gold(spark, a):
         jobs.await_any(spark)
 
 
+def cmd_state(spark, a):
+    from waymark.streaming import jobs, state
+    schema = read_table(spark, a.silver, a.format).schema
+    q = state.run(jobs.file_stream(spark, a.silver, schema, a.format, a.max_files), a.state, a.checkpoint,
+                  available_now=a.once)
+    if not a.once:
+        q.awaitTermination()
+
+
 def cmd_query_bronze(spark, a):
     from waymark.operators import reports
     b = read_table(spark, a.bronze, a.format)
@@ -163,7 +175,15 @@ def cmd_eta(spark, a):
     from waymark.operators import eta
     from waymark.sources import tables
     m, version = _model(spark, a)
-    one = eta.shipment_eta(read_table(spark, a.silver, a.format), a.shipment, m, model_version=version).cache()
+    if a.state:
+        from waymark.streaming import state
+        rows = state.read(spark, a.state, a.shipment)
+        if rows is None:
+            print(f"no state table at {a.state}")
+            return
+    else:
+        rows = read_table(spark, a.silver, a.format)
+    one = eta.shipment_eta(rows, a.shipment, m, model_version=version).cache()
     if one.isEmpty():
         print(f"shipment {a.shipment} not found")
         return
@@ -222,6 +242,7 @@ def main(argv=None) -> None:
         p.set_defaults(fn=fn)
     add("bronze", cmd_bronze, "source", "bootstrap", "topic", "out", "checkpoint")
     add("silver", cmd_silver, "bronze", "out", "checkpoint")
+    add("state", cmd_state, "silver", "state", "checkpoint")
     add("gold", cmd_gold, "silver", "status", "exceptions", "checkpoint")
     add("query-bronze", cmd_query_bronze, "bronze")
     add("query-gold", cmd_query_gold, "silver", "status", "exceptions")
@@ -229,7 +250,7 @@ def main(argv=None) -> None:
     add("train", cmd_train, "training", "registry", "max_iter", "max_depth")
     add("retrain", cmd_retrain, "training", "registry", "max_iter", "max_depth")
     add("score", cmd_score, "requests", "registry", "log", "rejects")
-    add("eta", cmd_eta, "silver", "shipment", "registry", "log")
+    add("eta", cmd_eta, "silver", "state", "shipment", "registry", "log")
     add("drift", cmd_drift, "training", "log", "since", "last_n")
     add("board", cmd_board, "silver", "registry", "out", "status", "exceptions")
     a = ap.parse_args(argv)

@@ -10,6 +10,7 @@ can never drift from training.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -199,7 +200,7 @@ def claim_version(spark: SparkSession, registry_dir: str, name: str) -> int:
     all rows and claims whose claim file this caller is the one to create."""
     from waymark.sources import commits
     from waymark.sources.tables import read_table_or_empty
-    versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA)
+    versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA, folders=True)
     latest = versions.where(F.col("model") == name).agg(F.max("version")).first()[0] or 0
     claims = f"{registry_dir}/claims/{name}"
     version = max([int(latest), *[int(n[1:]) for n in commits.names(spark, claims)]]) + 1
@@ -219,14 +220,15 @@ def register(spark: SparkSession, registry_dir: str, model: PipelineModel, name:
     model.write().save(path)          # a version that exists is never overwritten
     row = spark.createDataFrame([(name, version, path, mae)],
                                 "model string, version bigint, path string, mae double")
-    write_table(row.withColumn("created", F.current_timestamp()), f"{registry_dir}/versions")
+    # A folder for each row: appends to one folder at once would remove each other's files.
+    write_table(row.withColumn("created", F.current_timestamp()), f"{registry_dir}/versions/{name}-v{version}")
     return version
 
 
 def set_alias(spark: SparkSession, registry_dir: str, name: str, alias: str, version: int) -> None:
     from waymark.sources.tables import write_table
     row = spark.createDataFrame([(name, alias, version)], "model string, alias string, version bigint")
-    write_table(row.withColumn("set_at", F.current_timestamp()), f"{registry_dir}/aliases")
+    write_table(row.withColumn("set_at", F.current_timestamp()), f"{registry_dir}/aliases/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def resolve_alias(spark: SparkSession, registry_dir: str, name: str,
@@ -240,12 +242,12 @@ def resolve_version(spark: SparkSession, registry_dir: str, name: str = "eta-pre
     """The model version the alias points to now (the latest assignment wins) and its
     number; resolved per job, so a promotion takes effect without a restart."""
     from waymark.sources.tables import read_table_or_empty
-    aliases = read_table_or_empty(spark, f"{registry_dir}/aliases", ALIAS_SCHEMA)
+    aliases = read_table_or_empty(spark, f"{registry_dir}/aliases", ALIAS_SCHEMA, folders=True)
     cur = (aliases.where((F.col("model") == name) & (F.col("alias") == alias))
                   .agg(F.max_by("version", "set_at")).first()[0])
     if cur is None:
         return None, None
-    versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA)
+    versions = read_table_or_empty(spark, f"{registry_dir}/versions", REGISTRY_SCHEMA, folders=True)
     path = versions.where((F.col("model") == name) & (F.col("version") == cur)) \
                    .select("path").first()
     return (PipelineModel.load(path[0]), int(cur)) if path else (None, None)
