@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm import decontaminate, mixing, order_minhash, pii, toxicity
-from waymark.llm.common import read, ship, stored
+from waymark.llm.common import read, stored
 from waymark.llm.queries import PII_KEY
 
 
@@ -23,9 +23,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of least id, of each near-duplicate class."""
-    ship(spark)
-    gone = order_minhash.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_wm_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_wm_id"), "left_anti")
+    return order_minhash.deduplicate(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

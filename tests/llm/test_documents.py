@@ -141,6 +141,46 @@ def test_near_duplicates_brute_force(spark, rows):
     assert order_minhash.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark, rows):
+    """Two texts under one id, one text under two ids, a row twice, ids beyond 2^53 beside nulls."""
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    big = 2 ** 53 + 1
+    data = [(5, a), (5, b), (2, b), (7, c), (7, c), (big, d), (big + 1, d), (None, d), (None, None), (9, None), (9, ""), (9, "")]
+    out = order_minhash.near_duplicates(rows(data, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.class_id, r.kept) for r in out) == Counter(
+        [(5, 5, True), (5, 2, False), (2, 2, True), (7, 7, True), (7, 7, True), (big, big, True), (big + 1, big, False),
+         (None, None, True), (None, None, True), (9, 9, True), (9, 9, True), (9, 9, True)])
+    kept = order_minhash.deduplicate(rows(data, "doc_id long, text string"))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(5, a), (2, b), (7, c), (big, d), (None, d), (None, None), (9, None), (9, ""), (9, "")])
+    assert kept.columns == rows(data, "doc_id long, text string").columns
+
+
+def test_every_text_gets_the_same_number_of_keys():
+    rng = random.Random(2)
+    for n in (1, 3, 20, order_minhash.SHORT, order_minhash.SHORT + 1, 500):
+        g = order_minhash.shingles(prose(rng, n + 4))
+        assert len(g) == n
+        assert len(order_minhash.sketch(g)) == order_minhash.TABLES + (order_minhash.SHORT_TABLES if n <= order_minhash.SHORT else 0)
+
+
+def test_near_duplicates_across_a_common_passage(spark, rows, monkeypatch):
+    """Large mixed buckets: many texts that share a passage, some of them copies in pairs."""
+    monkeypatch.setattr(order_minhash, "FEW", 4)
+    monkeypatch.setattr(order_minhash, "SIDE", 8)
+    rng = random.Random(12)
+    common = prose(rng, 70)
+    texts = {}
+    for i in range(60):
+        own = prose(rng, rng.choice([4, 9, 15, 40])).split()
+        texts[2 * i] = common + " " + " ".join(own)
+        own[rng.randrange(len(own))] = "changed"
+        texts[2 * i + 1] = common + " " + " ".join(own)
+    out = order_minhash.near_duplicates(rows(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in out} == near_brute(texts)
+
+
 # ------------------------------------------------------------------ mixing
 
 def test_poisson_rates_and_determinism(spark, rows):
@@ -295,3 +335,50 @@ def test_repeats_brute_force(spark, rows, window, gram):
     want = sorted([(i, *x) for i, x in zip([*range(len(texts)), 3, -1], repeats_brute(all_texts, window))])
     assert got == want and sum(x[2] for x in want) > 500
     assert repeats.remove_repeats(table.limit(0)).count() == 0
+
+
+def test_a_common_minimizer_sends_each_shard_its_own_passages(spark, rows, monkeypatch):
+    """Pairs of texts that share a passage of their own around one common run of words: the
+    passages that shards receive grow with the texts, not with texts times shards."""
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(repeats, "MIN_SHARDS", 4)
+    counted, real = [], repeats._sent
+
+    def watched(*args):
+        out = real(*args)
+        counted.append(out.count())
+        return out
+    monkeypatch.setattr(repeats, "_sent", watched)
+    run = prose(random.Random(1), 8)
+    for pairs in (40, 160):
+        rng = random.Random(pairs)
+        texts = []
+        for _ in range(pairs):
+            own = prose(rng, 20) + " " + run + " " + prose(rng, 20)
+            texts += [prose(rng, 5) + " " + own, own + " " + prose(rng, 5)]
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in
+               repeats.remove_repeats(rows(list(enumerate(texts)), "doc_id long, text string")).collect()}
+        assert got == dict(enumerate(repeats_brute(texts, 35)))
+    assert counted[1] < 6 * counted[0]
+
+
+def test_repeats_keep_large_ids(spark, rows):
+    big = 2 ** 53 + 1
+    got = repeats.remove_repeats(rows([(big, "a b"), (None, "a b"), (big + 1, None)], "doc_id long, text string"))
+    assert Counter((r.doc_id, r.n_words) for r in got.collect()) == Counter([(big, 2), (None, 2), (big + 1, 0)])
+
+
+# ------------------------------------------------------------------ toxicity, repeated ids
+
+def test_training_rows_of_repeated_ids(spark, rows):
+    """A labelled id that repeats teaches with one text; ids beyond 2^53 beside nulls stay."""
+    big = 2 ** 53 + 1
+    docs = rows([(i % 4 + 1, f"text {i}") for i in range(400)] + [(None, "x"), (big, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (4, 0), (None, 1)], "doc_id long, toxic int")
+    train, sizes = toxicity.training_texts(docs, labels)
+    learned = [i for i in (1, 2, 3, 4) if spark.range(1).select(~toxicity.held_out(toxicity.F.lit(i))).first()[0]]
+    assert train.count() == len(learned)
+    got = toxicity.scores(docs, toxicity.Model({"w:x": 5.0}, -3.0))
+    assert {r.doc_id for r in got.collect()} == {1, 2, 3, 4, None, big}
+    kept = toxicity.reject(docs.withColumn("m", toxicity.F.lit(big)), toxicity.Model({"w:x": 5.0}, -3.0))
+    assert kept.count() == 401 and kept.where(f"m <> {big}").count() == 0 and kept.columns == [*docs.columns, "m"]

@@ -74,6 +74,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` less the columns an operator is about to add (its own win)."""
     taken = {n.lower() for n in names}

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import stored, unused
 
 WIDTH, NEED, MIN_TOKENS = 18, 15, 8
 #: Selected positions; the first two serve items of at least WIDTH tokens.
@@ -119,8 +119,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", key: str
 
 def clean(docs: DataFrame, bench: DataFrame, key: str = "doc_id", **names: str) -> DataFrame:
     """``docs`` without the rows whose key is contaminated (null keys are judged as one key)."""
-    bad = contaminated(docs, bench, key=key, **names).select(F.col("doc_id").alias("_wm_id")).distinct()
-    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("_wm_id")), "left_anti")
+    own = unused(docs, "_wm_id")
+    bad = contaminated(docs, bench, key=key, **names).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col(own)), "left_anti")
 
 
 def oracle(docs: str = "documents", bench: str = "benchmark") -> str:

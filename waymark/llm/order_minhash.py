@@ -9,30 +9,31 @@ order and so to edit distance, not just to the sets.
 *Sketch.*  Each shingle is labelled with its occurrence number.  For each of
 ``TABLES`` seeds the ``TAKE`` labelled shingles of least hash are kept in text
 order; their joint hash is a bucket key.  At similarity 0.8 two texts share a key
-of one table with probability 0.4, so they miss each other in all 24 with
-probability 3e-6.  Texts of up to ``SHORT`` shingles also get ``SHORT_TABLES``
-keys of a single shingle.
+of one table with probability 0.33, so they miss each other in all 36 with
+probability 6e-7.  Texts of up to ``SHORT`` shingles also get ``SHORT_TABLES``
+keys of ``SHORT_TAKE`` shingles.  Every text gets the same number of keys, whatever its neighbours.
 
 *Candidates.*  Texts with equal word sequences are one class, entered once.
-Every text is verified against the most central text of each of its buckets, the one
+Every class is verified against the most central one of each of its buckets, the one
 whose buckets hold most: of many edited copies that is the least edited, near to
 all.  Pairs inside a component cannot change the result and are not made, so a bucket
 of many copies costs one pair for each.  Where a bucket is left in several components,
-pairs across them are verified too: all of them in buckets of at most ``FEW`` texts;
-in larger ones, which a common passage or many much edited copies fill, the texts are
-regrouped by a finer sketch (``FINE``: more shingles to a key and more tables, missing
-a link with probability 6e-7).  Texts connected by its buckets are compared in squares of
-``SIDE`` by ``SIDE`` texts, each a task's matrix product of shingle incidence that
-bounds every pair's matches; only pairs that reach the bound are aligned and only links
-leave the task.
+pairs across them are verified too: all of them in buckets of at most ``FEW`` classes.
+Larger ones, which a common passage or many much edited copies fill, are joined to groups
+where they share classes, and a group is compared in squares of ``SIDE`` by ``SIDE``
+texts, each a task's matrix product of shingle incidence that bounds every pair's
+matches; only pairs that reach the bound are aligned and only links leave the task.
 
 *Verification.*  Bit-parallel alignment of the shingle sequences restricted to
 the band ``|i - j| <= a + b - 2 m0``, where ``m0`` is the least ``m`` that links
 the two; no linking alignment leaves it, so the test is exact.
 
-Null texts and texts without words are linked with nothing.  Rows with a null id
-are kept and get a null class.  Rows that share an id are one document and stay or go
-together.  Long texts are sketched and aligned whole.  Only id and text are used.
+A class is known by the digest of its words, not by an id, so an id may stand by several
+texts: each row gets the class of its own text.  Null texts and texts without words are
+linked with nothing, and so are rows with a null id; all of them stay.  Of a class exactly
+one id and text stays (the least); rows that repeat both are one document to
+``deduplicate``, which keeps one of them.  Long texts are sketched and aligned whole.
+Only id and text are used.
 """
 
 from __future__ import annotations
@@ -45,17 +46,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import ship, stored, unused
 from waymark.llm.components import components
 from waymark.llm.shingles import Words, mixed
 
 SHINGLE, SIMILARITY = 5, 0.8
-TABLES, TAKE = 24, 4
-SHORT, SHORT_TABLES = 44, 8
-#: Largest bucket whose cross pairs are all verified; tables and shingles of the finer
-#: sketch, for all texts and in addition for short ones.
+TABLES, TAKE = 36, 5
+SHORT, SHORT_TABLES, SHORT_TAKE = 44, 16, 2
+#: Largest bucket whose cross pairs are all verified.
 FEW = 32
-FINE, FINE_SHORT = (36, 5), (16, 2)
 SIDE, COLUMNS = 256, 1 << 14
 #: Matrix cells of one step of the sketch; longer texts take the tables in turns.
 CELLS = 1 << 21
@@ -78,7 +77,7 @@ def _labelled(g: np.ndarray) -> np.ndarray:
         return mixed(g + occ * np.uint64(0x9E3779B97F4A7C15)) if occ.any() else mixed(g)
 
 
-_SEEDS = mixed(np.arange(1, 2 * (TABLES + SHORT_TABLES + FINE[0] + FINE_SHORT[0]) + 1, dtype=np.uint64))
+_SEEDS = mixed(np.arange(1, 2 * (TABLES + SHORT_TABLES) + 1, dtype=np.uint64))
 _XOR, _ODD = _SEEDS[::2], _SEEDS[1::2] | np.uint64(1)
 
 
@@ -105,23 +104,10 @@ def sketch(g: np.ndarray) -> np.ndarray:
     label = _labelled(g)
     keys = _keys(g, label, range(TABLES), TAKE)
     if len(g) <= SHORT:
-        keys = np.concatenate([keys, _keys(g, label, range(TABLES, TABLES + SHORT_TABLES), 1)])
+        keys = np.concatenate([keys, _keys(g, label, range(TABLES, TABLES + SHORT_TABLES), SHORT_TAKE)])
     return keys.view(np.int64)
 
 
-def fine_sketch(g: np.ndarray) -> np.ndarray:
-    label, at = _labelled(g), TABLES + SHORT_TABLES
-    keys = _keys(g, label, range(at, at + FINE[0]), FINE[1])
-    if len(g) <= SHORT:
-        keys = np.concatenate([keys, _keys(g, label, range(at + FINE[0], at + FINE[0] + FINE_SHORT[0]), FINE_SHORT[1])])
-    return keys.view(np.int64)
-
-
-def _fine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield pd.DataFrame({"id": b["id"], "key": [fine_sketch(shingles(t)) for t in b["text"]]})
-
-
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         n, digest, keys = np.empty(len(b), np.int64), [], []
@@ -131,7 +117,7 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             digest.append(xxhash.xxh3_128_digest(Words(t, lower=True).data))
             keys.append(sketch(g) if len(g) else np.empty(0, np.int64))
         d = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-        yield pd.DataFrame({"doc_id": b["doc_id"], "n": n, "d1": d[:, 0], "d2": d[:, 1], "keys": keys})
+        yield pd.DataFrame({"doc_id": b["doc_id"], "raw": b["raw"], "n": n, "d1": d[:, 0], "d2": d[:, 1], "keys": keys})
 
 
 def matched(a: list[int], b: list[int], need: int) -> int:
@@ -279,44 +265,77 @@ def _across(of: DataFrame, similarity: float) -> DataFrame:
     return x.join(y, "key").where(fits & (F.col("ac") != F.col("bc")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
-                    similarity: float = SIMILARITY) -> DataFrame:
-    """Per row of ``docs``: doc_id, class_id (least id of its class), kept."""
-    d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    sk = stored(d.mapInPandas(_sketched, "doc_id long, n long, d1 long, d2 long, keys array<long>"), "sketches")
+def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """doc_id, text and the text's digest.  Ids are strings on their way through Python,
+    where a column of numbers and nulls would lose digits."""
+    return docs.select(F.col(f"`{key}`").cast("long").cast("string").alias("doc_id"),
+                       F.col(f"`{text}`").cast("string").alias("text")).withColumn("raw", F.md5("text"))
+
+
+def classified(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """Per row of ``docs``: doc_id, raw (MD5 of the text), class_id and chosen, whether this id and
+    text is the one that its class keeps; class_id is null for rows that no class holds."""
+    ship(docs.sparkSession)
+    d = _lines(docs, text, key)
+    sk = d.mapInPandas(_sketched, "doc_id string, raw string, n long, d1 long, d2 long, keys array<long>")
+    sk = stored(sk.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
     worded = sk.where("n > 0 AND doc_id IS NOT NULL")
-    classes = worded.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = stored(worded.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).select("doc_id", "rep"), "members")
-    entered = worded.join(members.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi") \
-        .select(F.col("doc_id").alias("id"), "n", F.explode("keys").alias("key"))
-    entered = stored(entered.distinct(), "buckets")
+    first = F.min(F.struct("doc_id", "raw"))
+    classes = stored(worded.groupBy("d1", "d2").agg(first.alias("top"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+                     .select("d1", "d2", "top", "n", "keys", F.monotonically_increasing_id().alias("id")), "classes")
+    entered = stored(classes.select("id", "n", F.explode(F.array_distinct("keys")).alias("key")), "buckets")
     sizes = entered.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     held = stored(entered.join(sizes, "key"), "shared-buckets")
     central = held.groupBy("id").agg(F.sum("size").alias("rank"))
     hubs = held.select("key", "id").join(central, "id").groupBy("key") \
         .agg(F.max(F.struct("rank", (-F.col("id")).alias("id"))).alias("top")).select("key", (-F.col("top.id")).alias("hub"))
-    first = stored(held.select("key", "id").join(hubs, "key").where("id <> hub")
-                   .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
-
-    shared = held.select("id").distinct()
-    # One text for each id, also where rows share one.
-    texts = stored(d.join(shared, F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text"),
-                   "pair-texts")
-    links = stored(verify(first, texts, similarity), "hub-links")
+    to_hub = stored(held.select("key", "id").join(hubs, "key").where("id <> hub")
+                    .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
+
+    # The text of a class is that of its least id and digest; exact repeats of that row are one.
+    shared = classes.join(held.select("id").distinct(), "id", "left_semi").select("id", F.col("top.doc_id").alias("top_id"),
+                                                                                  F.col("top.raw").alias("top_raw"))
+    texts = d.join(shared, (F.col("doc_id").cast("long") == F.col("top_id")) & (F.col("raw") == F.col("top_raw")))
+    texts = stored(texts.groupBy("id").agg(F.first("text").alias("text")), "pair-texts")
+    links = stored(verify(to_hub, texts, similarity), "hub-links")
     comp = stored(components(links), "hub-components")
     of = stored(held.join(comp, "id", "left").select("key", "id", "n", "size", F.coalesce("component", "id").alias("component")),
                 "bucket-components")
     few = _across(of.where(F.col("size") <= FEW), similarity)
-    many = _in_several(of.where(F.col("size") > FEW)).select("id", "n", "component").distinct()
-    again = stored(many.join(texts, "id").select("id", "text").mapInPandas(_fine, "id long, key array<long>"), "fine-sketches")
-    fine = stored(again.select("id", F.explode("key").alias("key")).distinct(), "fine-buckets")
-    least = fine.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    grp = components(fine.join(least, "key").where("id > least").select("id", "least").distinct(), "id", "least")
-    grouped = stored(many.join(grp.select("id", F.col("component").alias("grp")), "id"), "fine-groups")
-    wide = stored(across_groups(grouped.select("id", "grp", "component"), texts, similarity), "wide-links")
+    many = stored(_in_several(of.where(F.col("size") > FEW)), "mixed-buckets")
+    least = many.groupBy("key").agg(F.min("id").alias("least"))
+    grp = components(many.select("key", "id").join(least, "key").where("id > least").select("id", "least").distinct(), "id", "least")
+    grouped = stored(many.select("id", "component").distinct().join(grp.select("id", F.col("component").alias("grp")), "id"), "groups")
+    wide = stored(across_groups(grouped, texts, similarity), "wide-links")
     more = stored(verify(few, texts, similarity), "cross-links")
     final = components(links.unionByName(more).unionByName(wide))
-    lines = sk.select("doc_id").join(members.distinct(), "doc_id", "left")
-    return lines.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left") \
-        .select("doc_id", F.coalesce("component", "rep", "doc_id").alias("class_id")) \
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    member = classes.select("id", "d1", "d2", "top").join(final, "id", "left") \
+        .select("d1", "d2", "top", F.coalesce("component", "id").alias("component"))
+    member = stored(member, "members")
+    tops = member.groupBy("component").agg(F.min("top").alias("chosen"))
+    named = member.join(tops, "component").select("d1", "d2", "chosen", F.lit(True).alias("held"))
+    lines = sk.select("doc_id", "raw", "d1", "d2", F.expr("n > 0 AND doc_id IS NOT NULL").alias("held"))
+    return lines.join(named, ["d1", "d2", "held"], "left").select(
+        "doc_id", "raw", F.col("chosen.doc_id").alias("class_id"),
+        (F.struct("doc_id", "raw") == F.col("chosen")).alias("chosen"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
+                    similarity: float = SIMILARITY) -> DataFrame:
+    """Per row of ``docs``: doc_id, class_id (least id of its class), kept."""
+    rows = classified(docs, text, key, similarity)
+    return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+                       F.coalesce("chosen", F.lit(True)).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs``, all columns, with one row of each class; rows that no class holds all stay."""
+    own = unused(docs, "_wm_id"), unused(docs, "_wm_raw")
+    rows = stored(classified(docs, text, key, similarity).where("class_id IS NOT NULL"), "classified")
+    pair = [F.col("doc_id").alias(own[0]), F.col("raw").alias(own[1])]
+    gone = rows.where(~F.col("chosen")).select(*pair).distinct()
+    again = stored(rows.where("chosen").groupBy("doc_id", "raw").count().where("count > 1").select(*pair), "repeated-rows")
+    tagged = docs.withColumn(own[0], F.col(f"`{key}`").cast("long")).withColumn(own[1], F.md5(F.col(f"`{text}`").cast("string")))
+    left = tagged.join(gone, list(own), "left_anti")
+    once = left.join(again, list(own), "left_semi").dropDuplicates(list(own))
+    return left.join(again, list(own), "left_anti").unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
