@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -38,6 +39,18 @@ def test_components(spark, local, monkeypatch):
 
 # ------------------------------------------------------------------ lattice
 
+def test_vectors_of_repeated_ids(spark, rows):
+    """Vectors A and B under one id, B under another; ids beyond 2^53 beside nulls."""
+    rng = np.random.default_rng(1)
+    a, b, c = (rng.normal(size=16).tolist() for _ in range(3))
+    big = 2 ** 53 + 1
+    data = [(5, a), (5, b), (2, b), (7, a), (big, c), (big + 1, c), (None, c), (None, None)]
+    got = lattice.near_duplicates(rows(data, "vec_id long, embedding array<double>")).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == Counter(
+        [(5, 1, 5, True), (5, 1, 2, False), (2, 1, 2, True), (7, 1, 5, False), (big, 1, big, True), (big + 1, 1, big, False),
+         (None, 0, None, True), (None, 0, None, True)])
+
+
 def test_decoding_finds_the_nearest_point():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, 8)) * 2
@@ -172,6 +185,21 @@ def test_rows_that_repeat_keep_the_template(spark, rows):
     assert texts(data * 2) == sorted(once * 2)
 
 
+def test_attributes_by_the_rules():
+    """A quote opens a value only after "="."""
+    assert pages.main_text("<div title=Bob's>one two</div><p>it's three</p>") == "one two\nit's three"
+    assert pages.main_text('<p class="a"b">text here</p>') == "text here"
+    assert pages.main_text("<p title='a>b' class = \"x > y\">kept</p>") == "kept"
+    assert pages.main_text('<p data-x="class=sidebar">kept</p><p title=5">6\' tall</p>') == "kept\n6' tall"
+    assert pages.main_text('<p title="never closed>lost? <b>bold</b>') == "lost? bold"
+
+
+def test_page_ids_beyond_doubles(spark, rows):
+    big = 2 ** 53 + 1
+    got = pages.extract(rows([(big, "http://h/1", "<p>a</p>"), (None, None, None)], "page_id long, url string, html string"))
+    assert Counter((r.page_id, r.text) for r in got.collect()) == Counter([(big, "a"), (None, "")])
+
+
 def test_class_words_keep_the_article():
     want = "Head\nthe text of the page"
     text = "<h1>Head</h1><p>the text of the page</p>"

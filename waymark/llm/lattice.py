@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import ship, stored
 from waymark.llm.components import components
 from waymark.llm.shingles import mixed
 
@@ -220,16 +220,19 @@ def _squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept."""
-    v = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"),
+    ship(vectors.sparkSession)
+    # Ids are strings on their way through Python, where numbers and nulls in one column lose digits.
+    v = vectors.select(F.col(f"`{key}`").cast("long").cast("string").alias("vec_id"),
                        F.col(f"`{embedding}`").cast("array<double>").alias("embedding"))
-    packed = stored(v.mapInPandas(_packed, "vec_id long, d1 long, d2 long, vec binary"), "vectors")
-    good = packed.where("vec IS NOT NULL AND vec_id IS NOT NULL")
-    classes = good.groupBy("d1", "d2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m"))
-    members = stored(good.select("vec_id", "d1", "d2").join(classes, ["d1", "d2"])
-                     .select("vec_id", "id", "m").distinct(), "vector-classes")
-    own = members.select(F.col("id").alias("vec_id"), "m").distinct()
-    entered = good.join(own, "vec_id").select(F.col("vec_id").alias("id"), "m", "vec").dropDuplicates(["id"])
-    rows = stored(entered.mapInPandas(_placed, "cell long, visitor boolean, id long, m long, vec binary"), "cells")
+    packed = v.mapInPandas(_packed, "vec_id string, d1 long, d2 long, vec binary")
+    packed = stored(packed.withColumn("vec_id", F.col("vec_id").cast("long"))
+                    .withColumn("linkable", F.expr("vec IS NOT NULL AND vec_id IS NOT NULL")), "vectors")
+    # Equal vectors are a class of its own number: an id may stand by several vectors.
+    classes = packed.where("linkable").groupBy("d1", "d2").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("m"), F.first("vec").alias("vec"))
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
+    rows = stored(classes.select("id", "m", "vec").mapInPandas(
+        _placed, "cell long, visitor boolean, id long, m long, vec binary"), "cells")
     size = rows.groupBy("cell").agg(F.count(F.when(~F.col("visitor"), 1)).alias("nr"), F.count(F.when(F.col("visitor"), 1)).alias("nc"))
     # A cell that only its one resident looks into has no pairs.
     size = stored(size.where("nr > 0 AND nc > 1")
@@ -246,8 +249,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
                    .mapInPandas(_squares, "id long, n long, root long"), "meetings")
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     comp = components(found.where("id <> root").select("id", "root"), "id", "root")
-    lines = packed.select("vec_id").join(members, "vec_id", "left")
-    return lines.join(counts, "id", "left").join(comp, "id", "left").select(
-        "vec_id", F.coalesce(F.col("n") + F.col("m") - 1, F.col("m") - 1, F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "id", "vec_id").alias("component_id")) \
+    member = stored(classes.select("id", "d1", "d2", "least", "m").join(counts, "id", "left").join(comp, "id", "left")
+                    .withColumn("component", F.coalesce("component", "id")), "vector-members")
+    tops = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = member.join(tops, "component").select(
+        "d1", "d2", F.lit(True).alias("linkable"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
+    lines = packed.select("vec_id", "d1", "d2", "linkable").join(known, ["d1", "d2", "linkable"], "left")
+    return lines.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                        F.coalesce("component_id", "vec_id").alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
