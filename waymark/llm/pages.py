@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import ship, stored
 
 MIN_SIZE, MIN_SHARE, MIN_PAGES = 3, 0.3, 5
 #: Share of an article's text that stands on other pages as well, from which it is a copy.
@@ -66,9 +66,12 @@ QUALIFIERS = frozenset("site page main post article reader user top bottom left
                        "wrapper wrap container box block buttons button links link bar posts articles form item items".split())
 WEAK = frozenset("notice notices alert banner promo share sharing social related menu modal popup widget toolbar".split())
 TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)?",
+# In a tag, a quote opens a value only after "="; any other is a character like others.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)?",
                    re.S)
-ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: One attribute: its name and its value, quoted or not.
+ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+TOLD = frozenset("class id role hidden aria-hidden".split())
 
 
 def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
@@ -91,7 +94,8 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
             yield "close", name, ""
             continue
         attrs = m[3] or ""
-        yield "open", name, " ".join(f"{k.lower()}={v.strip('\"' + chr(39)).lower()}" for k, v in ATTR.findall(attrs))
+        yield "open", name, " ".join(f"{k.lower()}={v.strip('\"' + chr(39)).lower()}" for k, v in ATTR.findall(attrs)
+                                     if k.lower() in TOLD)
         if name in RAW and not attrs.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -323,7 +327,9 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page_html: str = "html") -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (code points)."""
-    p = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
+    ship(pages.sparkSession)
+    # Ids are strings on their way through Python, where numbers and nulls in one column lose digits.
+    p = pages.select(F.col(f"`{key}`").cast("long").cast("string").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                      F.col(f"`{page_html}`").cast("string").alias("html")) \
         .withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/?#:]*)", 1)),
                                        F.lit("")))
@@ -331,4 +337,5 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page_html:
     numbered = p.withColumn("page", F.monotonically_increasing_id())
     t = stored(templates(numbered.select("host", "page", "html")), "templates")
     return p.join(t, "host", "left").select("page_id", "url", "html", "host", "template") \
-        .mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
+        .mapInPandas(_extracted, "page_id string, url string, text string, n_chars long") \
+        .withColumn("page_id", F.col("page_id").cast("long"))
