@@ -17,7 +17,8 @@ reads every whole text once, in Arrow batches, without a shuffle; a word's
 features are looked up once per task.
 
 Null and empty texts get the score of a text without words.  A null id is held
-out.  Rows whose label is null teach nothing.  Repeated rows get equal scores.
+out.  Rows whose label is null teach nothing.  Repeated rows get equal scores.  Of a
+labelled id that repeats, its least label and least text teach.
 Without labelled rows of both classes every score is the share of toxic labels
 (0 if there are none).  Extra columns of the tables are not used.
 """
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import sampled, stored
+from waymark.llm.common import sampled, ship, stored
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 4_000
@@ -92,8 +93,11 @@ def training_texts(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
         taken = part if taken is None else taken.unionByName(part)
     if taken is None:
         taken = known.limit(0)
+    # One label and one text (the least) for each id, also where rows share one: the bound holds.
+    taken = taken.groupBy("id").agg(F.min("y").alias("y"))
     texts = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    return texts.join(F.broadcast(taken), "id").select("text", "y"), sizes
+    one = texts.join(F.broadcast(taken), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
+    return one.select("text", "y"), sizes
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,11 +202,12 @@ def fit(docs: DataFrame, labels: DataFrame, identity: Sequence[str] = IDENTITY,
 
 
 def _scorer(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Series of texts -> series of scores."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, tuple[str, ...]] = {}
         for b in batches:
             out = np.empty(len(b))
-            for k, t in enumerate(b["text"]):
+            for k, t in enumerate(b):
                 seen: set[str] = set()
                 for w in words(t):
                     f = known.get(w)
@@ -214,28 +219,24 @@ def _scorer(model: Model):
                         seen.update(f)
                 logit = model.bias + sum(model.weights[f] for f in sorted(seen))
                 out[k] = 1 / (1 + np.exp(-min(max(logit, -40.0), 40.0)))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": out})
+            yield pd.Series(out)
     return run
 
 
+def score_of(model: Model, text: Column) -> Column:
+    """The score of a text column; only that column goes through Python."""
+    return F.pandas_udf(_scorer(model), "double")(text.cast("string"))
+
+
 def scores(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, score (double), predicted (int) for every row."""
-    d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    s = d.mapInPandas(_scorer(model), "doc_id long, score double")
-    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    ship(docs.sparkSession)
+    d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), score_of(model, F.col(f"`{text}`")).alias("score"))
+    return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _keeper(model: Model, text: str):
-    run = _scorer(model)
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s = next(run(iter([pd.DataFrame({"doc_id": 0, "text": b[text]})])))
-            yield b[(s["score"] < 0.5).to_numpy()]
-    return keep
-
-
 def reject(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs``, all columns, without the rows whose text scores 0.5 or more."""
-    return docs.mapInPandas(_keeper(model, text), docs.schema)
+    ship(docs.sparkSession)
+    return docs.where(score_of(model, F.col(f"`{text}`")) < 0.5)
