@@ -129,18 +129,41 @@ def test_bpe_of_joined_tokens_and_long_pieces(vocabulary, library):
         assert _ids(vocabulary, text) == library.encode_ordinary(text)
 
 
-def test_bpe_backtracks():
-    """Tokens a, b, c, ab, bc, abc's merges: bc first, then a+bc never, so 'abcd' isn't ab+cd."""
-    names = [b"a", b"b", b"c", b"d", b"bc", b"ab", b"cd", b"abcd"]
+def _small(names):
     import base64
-    lines = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(names))
-    v = bpe.Vocabulary(lines, r"\w+")
-    assert v.given[7] is False                           # the merges stop at a, bc, d
+    return bpe.Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(names)), r"\w+")
+
+
+def test_bpe_backtracks():
+    """bc merges before ab and cd, so the merges never give abcd but a, bc, d."""
+    v = _small([b"a", b"b", b"c", b"d", b"bc", b"ab", b"cd", b"abcd"])
+    assert v.given[7] is False
     assert _ids(v, "abcd") == [7]                        # a whole piece is its token
     for text in ("abcdabcd", "abcda", "aabcd", "abab", "cdcd", "abcb"):
         assert _ids(v, text) == v.merged(text.encode())
 
 
+def test_bpe_of_random_vocabularies():
+    """Vocabularies grown by random merges: every pair of tokens and random pieces."""
+    rng = random.Random(11)
+    for _ in range(40):
+        names = [b"a", b"b", b"c"]
+        while len(names) < 25:
+            t = rng.choice(names) + rng.choice(names)
+            if t not in names and len(t) < 9:
+                names.append(t)
+        v = _small(names)
+        given = [r for r in range(len(names)) if v.given[r]]
+        assert given == [r for r in range(len(names)) if v.merged(names[r]) == [r]]
+        for a in given:
+            for b in given:
+                assert v.compatible[a, b] == (v.merged(names[a] + names[b]) == [a, b]), (names, a, b)
+        for _ in range(60):
+            text = "".join(rng.choices("abc", k=rng.randint(1, 40)))
+            if text.encode() not in names:
+                assert _ids(v, text) == v.merged(text.encode()), (names, text)
+
+
 def test_bpe_rows(spark, rows, library):
     data = [(BIG, "two words"), (None, "two words"), (BIG, None), (4, ""), (5, "<|endoftext|> " * 3000), (6, "a\x00b  é"), (BIG, "two words")]
     df = rows(data, "doc_id long, text string")
@@ -152,9 +175,10 @@ def test_bpe_rows(spark, rows, library):
 
 
 def test_bpe_small_memo(spark, vocabulary, library, monkeypatch):
-    small = bpe._Filled(vocabulary._packed, 2, lambda p: len(p) < 3)
-    assert [small[p] for p in ("a", "b", "c", "abc", "a")] == [vocabulary._packed(p) for p in ("a", "b", "c", "abc", "a")]
-    assert len(small) <= 2
+    small = bpe._Filled(vocabulary._packed, 4, lambda p: len(p) < 3)
+    asked = ["a", "b", "c", "abc", "a", "d", "e", "f", "a", "b"]
+    assert [small[p] for p in asked] == [vocabulary._packed(p) for p in asked]
+    assert len(small) <= 2 and len(small._old) <= 2 and "abc" not in small
 
 
 def test_bpe_file_bound(spark, tmp_path, monkeypatch):

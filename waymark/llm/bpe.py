@@ -13,7 +13,8 @@ from left to right:
     shorter prefix is left either, the place is marked and the left neighbour gives way.
     Every place is marked once at most, and tokens have a bounded length, so the work
     is linear in the piece.
-*   Compatibility and the next shorter prefix are memoised by token, short pieces by
+*   Compatibility follows the two tokens' own merges along their common border, a step a
+    merge.  It, the merges and the next shorter prefix are memoised by token, short pieces by
     their text, each up to a fixed number of entries.
 
 Tokens that the merges never give for their own bytes take part only as whole pieces.
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -46,24 +48,31 @@ from waymark.llm.common import ship
 #: Largest vocabulary file that is broadcast.
 MAX_FILE = 64 << 20
 #: Memoised pieces and token pairs of a worker, and the longest piece that is memoised.
-PIECES, PAIRS, PIECE_CHARS = 1 << 18, 1 << 20, 48
+PIECES, PAIRS, PIECE_CHARS = 1 << 19, 1 << 20, 48
 #: Text bytes of one emitted batch.
 BATCH_BYTES = 8 << 20
+#: Above every rank, and the halves of a token that the merges never give.
+NO_MERGE, NEVER = 1 << 32, (-1, -1)
 
 
 class _Filled(dict):
-    """A dict that computes missing values and keeps them while there is room."""
+    """A dict that computes missing values.  Once half its room is full, what it holds becomes
+    the old half: values asked for again come back from there, the others are forgotten."""
 
     def __init__(self, compute: Callable, room: int, fits: Callable | None = None):
         super().__init__()
-        self._compute, self._room, self._fits = compute, room, fits
+        self._compute, self._half, self._fits, self._old = compute, max(1, room // 2), fits, {}
 
     def __missing__(self, key):
-        value = self._compute(key)
-        if self._fits is None or self._fits(key):
-            if len(self) >= self._room:
-                self.clear()
-            self[key] = value
+        value = self._old.get(key)
+        if value is None:
+            value = self._compute(key)
+            if self._fits is not None and not self._fits(key):
+                return value
+        if len(self) >= self._half:
+            self._old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -79,27 +88,71 @@ class Vocabulary:
             if t:
                 self.machine.add_word(t.decode("latin-1"), (r, len(t)))
         self.machine.make_automaton()
-        self.given = _Filled(lambda r: self.merged(self.token[r]) == [r], PAIRS)
+        self.halves = _Filled(self._halves, PAIRS)
+        self.given = _Filled(lambda r: self.halves[r] is not NEVER, PAIRS)
+        self.in_order = _Filled(self._in_order, PAIRS)
+        self.left = _Filled(lambda r: self._edge(r, 0), PAIRS)
+        self.right = _Filled(lambda r: self._edge(r, 1), PAIRS)
         self.compatible = _Filled(self._compatible, PAIRS)
         self.shorter = _Filled(self._shorter, PAIRS)
         self.packed = _Filled(self._packed, PIECES, lambda piece: len(piece) <= PIECE_CHARS)
 
-    def merged(self, data: bytes) -> list[int]:
-        """The merges themselves, lowest rank first and leftmost on ties; for the few bytes
-        of a token or two."""
+    def merged(self, data: bytes, stop: int | None = None) -> list[int]:
+        """The merges themselves, lowest rank first and leftmost on ties, for the few bytes
+        of a token; up to, and without, the merge to ``stop``."""
         parts = [data[i:i + 1] for i in range(len(data))]
         while len(parts) > 1:
             ranks = [self.rank.get(a + b, -1) for a, b in zip(parts, parts[1:])]
             least = min((r for r in ranks if r >= 0), default=-1)
-            if least < 0:
+            if least < 0 or least == stop:
                 break
             i = ranks.index(least)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.rank[p] for p in parts]
 
+    def _halves(self, r: int) -> tuple[int, ...]:
+        """The two tokens whose merge gives this one, none for a single byte, ``NEVER`` where
+        the merges of its bytes don't end in it."""
+        if len(self.token[r]) == 1:
+            return ()
+        parts = tuple(self.merged(self.token[r], r))
+        return parts if len(parts) == 2 else NEVER
+
+    def _in_order(self, r: int) -> bool:
+        """Whether a token and all its parts rank after their own parts, as training leaves them."""
+        parts = self.halves[r]
+        return parts is not NEVER and all(x < r and self.in_order[x] for x in parts)
+
+    def _edge(self, r: int, side: int) -> tuple[int, ...]:
+        """The tokens that stand at one end of a token while its merges go on: the byte first,
+        the token itself last."""
+        out = [r]
+        while self.halves[out[-1]]:
+            out.append(self.halves[out[-1]][side])
+        return tuple(reversed(out))
+
     def _compatible(self, pair: tuple[int, int]) -> bool:
-        a, b = pair
-        return self.merged(self.token[a] + self.token[b]) == [a, b]
+        """Merging the joined bytes of two tokens follows the merges of each, in order of
+        rank, the left one's first on ties.  They stay apart if at no time what ends the left one and
+        what begins the right one merge before either's own next merge.  Tokens that rank before
+        their parts merge at other times, so theirs are carried out."""
+        if not (self.in_order[pair[0]] and self.in_order[pair[1]]):
+            return self.merged(self.token[pair[0]] + self.token[pair[1]]) == list(pair)
+        ends, begins = self.right[pair[0]], self.left[pair[1]]
+        token, rank = self.token, self.rank
+        i = j = 0
+        while True:
+            next_a = ends[i + 1] if i + 1 < len(ends) else NO_MERGE
+            next_b = begins[j + 1] if j + 1 < len(begins) else NO_MERGE
+            across = rank.get(token[ends[i]] + token[begins[j]], NO_MERGE)
+            if across < next_a and across <= next_b and across != NO_MERGE:
+                return False
+            if next_a == next_b == NO_MERGE:
+                return True
+            if next_a <= next_b:
+                i += 1
+            else:
+                j += 1
 
     def _shorter(self, r: int) -> int:
         """The longest proper prefix of a token that is a token, or -1."""
@@ -116,7 +169,7 @@ class Vocabulary:
         if whole >= 0:
             return array("I", [whole])
         n = len(data)
-        longest = array("i", [-1]) * n
+        longest = [-1] * n if n <= PIECE_CHARS else array("i", [-1]) * n
         for end, (r, size) in self.machine.iter(data.decode("latin-1")):
             longest[end + 1 - size] = r        # matches come by their ends, so the longest is last
         token, compatible, shorter, given = self.token, self.compatible, self.shorter, self.given
@@ -143,7 +196,10 @@ class Vocabulary:
         return out
 
     def _packed(self, piece: str) -> bytes:
-        return np.array(self.piece(piece.encode("utf-8")), "<u4").tobytes()
+        ids = self.piece(piece.encode("utf-8"))
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.packed.__getitem__, self.pieces.findall(text)))
