@@ -177,7 +177,7 @@ class Lake:
         nodes = (key[0], f"eta_{kind}_nodes", key[2])
         if tables.path_of(nodes) is None:
             table = tables.materialize(self.spark, nodes, lambda: mdl.ensemble(fitted, path))
-            if self.spark.sparkContext.master.startswith("local"):
+            if self.spark.sparkContext.master.startswith("local["):      # one machine, one process
                 version = tables.data_version(self.spark.read.parquet(src))
                 table.coalesce(1).write.mode("overwrite").parquet(
                     f"file://{tables.oracle_copy()}/kind={kind}/version={version}")
