@@ -337,31 +337,6 @@ def test_repeats_brute_force(spark, rows, window, gram):
     assert repeats.remove_repeats(table.limit(0)).count() == 0
 
 
-def test_a_common_minimizer_sends_each_shard_its_own_passages(spark, rows, monkeypatch):
-    """Pairs of texts that share a passage of their own around one common run of words: the
-    passages that shards receive grow with the texts, not with texts times shards."""
-    monkeypatch.setattr(repeats, "SHARD_BYTES", 4000)
-    monkeypatch.setattr(repeats, "MIN_SHARDS", 4)
-    counted, real = [], repeats._sent
-
-    def watched(*args):
-        out = real(*args)
-        counted.append(out.count())
-        return out
-    monkeypatch.setattr(repeats, "_sent", watched)
-    run = prose(random.Random(1), 8)
-    for pairs in (40, 160):
-        rng = random.Random(pairs)
-        texts = []
-        for _ in range(pairs):
-            own = prose(rng, 20) + " " + run + " " + prose(rng, 20)
-            texts += [prose(rng, 5) + " " + own, own + " " + prose(rng, 5)]
-        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in
-               repeats.remove_repeats(rows(list(enumerate(texts)), "doc_id long, text string")).collect()}
-        assert got == dict(enumerate(repeats_brute(texts, 35)))
-    assert counted[1] < 6 * counted[0]
-
-
 def test_repeats_keep_large_ids(spark, rows):
     big = 2 ** 53 + 1
     got = repeats.remove_repeats(rows([(big, "a b"), (None, "a b"), (big + 1, None)], "doc_id long, text string"))
