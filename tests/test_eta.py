@@ -201,3 +201,23 @@ def test_ensemble_table_is_the_model(spark, lake01, tmp_path):
                 r = nodes[t, r.left if x <= r.threshold else r.right]
             total += weight[t] * r.value
         assert abs(total - row.prediction) < 1e-9
+
+
+def test_boosting_starts_from_checkpointed_vectors(spark, lake01, monkeypatch):
+    """Each level of each tree is a job whose tasks carry the lineage of the rows boosted on."""
+    from pyspark.ml.regression import GBTRegressor
+    seen, real = [], GBTRegressor.fit
+
+    def fit(self, rows, *args):
+        seen.append((rows.columns, rows._jdf.queryExecution().analyzed().toString(), self.getCacheNodeIds()))
+        return real(self, rows, *args)
+
+    monkeypatch.setattr(GBTRegressor, "fit", fit)
+    train, test = mdl.split(lake01.training)
+    m = mdl.fit(train, dict(maxIter=2, maxDepth=2))
+    columns, plan, node_ids = seen[0]
+    assert columns == ["features", mdl.TARGET] and plan.startswith("LogicalRDD") and "\n" not in plan.strip()
+    assert node_ids is False
+    whole = mdl.eta_pipeline(dict(maxIter=2, maxDepth=2)).fit(train)      # the same model as in one pipeline
+    assert m.stages[-1].toDebugString.split("\n")[1:] == whole.stages[-1].toDebugString.split("\n")[1:]
+    assert m.transform(test).columns == whole.transform(test).columns
