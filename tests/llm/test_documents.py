@@ -67,6 +67,19 @@ def test_decontamination_brute_force(spark, rows):
     assert decontaminate.clean(table, bench.limit(0)).count() == 63
 
 
+def test_decontamination_hashes_positions_in_rows(spark, rows):
+    """Seeds of a text are hashed in compiled rows, not by a lambda over its positions; texts too short
+    for a seed and separators alone match nothing."""
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    docs = rows([(1, f"x {item} y"), (2, ""), (3, " ,;"), (4, "alpha beta gamma delta"), (5, item), (6, None),
+                 (7, "alpha beta gamma delta epsilon")], "doc_id long, text string")
+    bench = rows([(1, item)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, bench)
+    assert sorted((r.doc_id, r.item_id, r.n_equal) for r in found.collect()) == [(1, 1, 8), (5, 1, 8)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(2" in plan and not any("lambdafunction(CASE WHEN" in x and "xxhash64(2" in x for x in plan.split("\n"))
+
+
 # ------------------------------------------------------------------ Order MinHash
 
 def edited(rng, ws, k):

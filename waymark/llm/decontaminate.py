@@ -45,12 +45,15 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def _seed(hashes: Column, i: Column, mask: tuple[int, ...], tag: int) -> Column:
+    """The seed's hash at position i, or null where the mask sticks out."""
+    parts = [F.get(hashes, i + o) for o in mask]
+    return F.when(i + mask[-1] < F.size(hashes), F.xxhash64(F.lit(tag), *parts))
+
+
 def _seeds(hashes: Column, mask: tuple[int, ...], tag: int) -> Column:
-    """Array over positions 0 .. n-1: the seed's hash, or null where the mask sticks out."""
-    def seed(h: Column, i: Column) -> Column:
-        parts = [F.get(hashes, i + o) for o in mask]
-        return F.when(i + mask[-1] < F.size(hashes), F.xxhash64(F.lit(tag), *parts))
-    return F.transform(hashes, seed)
+    """Array over positions 0 .. n-1: the seed's hash there."""
+    return F.transform(hashes, lambda _, i: _seed(hashes, i, mask, tag))
 
 
 def _token_hashes(text: Column) -> Column:
@@ -84,14 +87,15 @@ def contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", key: str
     d = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_wm_text")).where("_wm_text IS NOT NULL")
     # explode(array(x)) keeps Spark from computing x anew for each of its uses.
     hashed = d.select("doc_id", F.xxhash64("_wm_text").alias("text_hash"),
-                      F.explode(F.array(_token_hashes(F.col("_wm_text")))).alias("h"))
-    masks = [*MASKS, SHORT_MASK]
-    every = F.concat(*[_seeds(F.col("h"), m, k) for k, m in enumerate(masks)])
-    placed = hashed.select("doc_id", "text_hash", F.size("h").alias("n"), F.posexplode(every).alias("at", "seed")) \
-        .where("seed IS NOT NULL")
+                      F.explode(F.array(_token_hashes(F.col("_wm_text")))).alias("h")) \
+        .where(F.size("h") > SHORT_MASK[-1])
+    # A row for each position, within the stage that hashes it: compiled, unlike a lambda over the array.
+    at = hashed.select("doc_id", "text_hash", "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
+    every = F.array(*[_seed(F.col("h"), F.col("at"), m, k) for k, m in enumerate([*MASKS, SHORT_MASK])])
+    placed = at.select("doc_id", "text_hash", "at", F.explode(every).alias("seed")).where("seed IS NOT NULL")
     hits = placed.join(seeds, "seed") \
         .select("doc_id", "text_hash", "item_id", "item_n",
-                (F.col("at") % F.col("n") - F.col("item_pos")).alias("diagonal")).distinct()
+                (F.col("at") - F.col("item_pos")).alias("diagonal")).distinct()
     per_text = hits.groupBy("doc_id", "text_hash") \
         .agg(F.collect_list(F.struct("item_id", "item_n", "diagonal")).alias("hits"))
     texts = d.withColumn("text_hash", F.xxhash64("_wm_text")).alias("d")
