@@ -126,3 +126,45 @@ def test_require_event_time_option(spark):
                                "shipment_id string, lat double, lon double, event_time timestamp")
     assert so.validate(df).count() == 2
     assert so.validate(df, require_event_time=True).count() == 1
+
+
+def test_a_message_is_parsed_once(spark):
+    env = spark.createDataFrame([("S", '{"shipment_id":"S","lat":"x","lon":2.5,"seq":7,"event_time":"2024-01-01T00:00:00+00:00"}', 0, 1, None),
+                                 ("T", '[{"shipment_id":"T","seq":8}]', 0, 2, None), ("U", "", 0, 3, None),
+                                 ("V", '{"shipment_id":"V","lat":1.5,', 0, 4, None)], envelope.ENVELOPE_SCHEMA)
+    dec = envelope.decode_envelope(env)
+    plan = dec._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    rows = [(r.shipment_id, r.lat, r.lon, r.seq) for r in dec.orderBy("kafka_offset").collect()]
+    # a field of another type is NULL, the other fields stay; an array or text cut short gives NULLs
+    assert rows == [("S", None, 2.5, 7)] + [(None, None, None, None)] * 3
+
+
+def test_enrichment_is_short_enough_to_be_compiled(spark, lake001):
+    """The JVM compiles no method of more than 8,000 bytes; it interprets it."""
+    import re
+    path = so.scratch_path(spark, "bronze")
+    envelope.decode_envelope(lake001.envelopes).limit(100).write.parquet(path)
+    rows = so.enrich(spark.read.parquet(path), lake001.route_arrays, lake001.facilities)
+    code = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_unrolled_route_distance_equals_the_join(spark):
+    """Routes of one, two and three segments, some without length, an unknown and a missing route."""
+    from waymark.config import Settings
+    segs = spark.createDataFrame([("A", [(0.0, 0.0, 3.0, 4.0)]), ("B", [(1.0, 1.0, 1.0, 1.0), (1.0, 1.0, -5.0, 2.0)]),
+                                  ("C", [(11000.0, 150.0, 11010.0, 150.0), (11010.0, 150.0, 11010.0, 150.0),
+                                         (11010.0, 150.0, 11000.0, 140.0)]), ("D", [])],
+                                 "route_id string, segs array<struct<ax double, ay double, bx double, by double>>")
+    nan = float("nan")
+    at = [(0.0, 0.0), (1.3, 103.8), (-2.0, 98.9), (1.2, nan), (None, 1.0), (0.01, 0.02)]
+    pts = spark.createDataFrame([(r, *p) for r in ("A", "B", "C", "D", "E", None) for p in at], "route_id string, lat double, lon double")
+    key = ("route_id", "lat", "lon")
+    def rows(df):
+        return sorted((tuple(str(r[c]) for c in (*key, "d")) for r in df.collect()))
+    assert rows(so.dist_to_route(pts, segs, Settings(), "d")) == rows(so._dist_to_route_join(pts, segs, Settings(), "d"))
+    for one in ("A", "D"):
+        few = segs.where(F.col("route_id") == one)
+        assert rows(so.dist_to_route(pts, few, Settings(), "d")) == rows(so._dist_to_route_join(pts, few, Settings(), "d"))
