@@ -350,6 +350,39 @@ def test_repeats_brute_force(spark, rows, window, gram):
     assert repeats.remove_repeats(table.limit(0)).count() == 0
 
 
+def test_repeats_compile_what_a_shard_can_hold(monkeypatch):
+    """Of a common minimizer's passages a shard compiles those of its own texts, some at a time."""
+    import pandas as pd
+    rng, sizes, real = random.Random(3), [], repeats.ahocorasick.Automaton
+
+    class Machine:
+        def __init__(self, *a):
+            self.inner, self.n = real(*a), 0
+
+        def add_word(self, w):
+            self.n += 1
+            self.inner.add_word(w)
+
+        def make_automaton(self):
+            sizes.append(self.n)
+            self.inner.make_automaton()
+
+        def __len__(self):
+            return len(self.inner)
+
+        def iter(self, s):
+            return self.inner.iter(s)
+
+    passages = [" ".join(prose(rng, 40).split()[:40]) for _ in range(400)]
+    texts = ["start " + p + " end" for p in passages[:30]] + [None, "a b c"]
+    monkeypatch.setattr(repeats.ahocorasick, "Automaton", Machine)
+    monkeypatch.setattr(repeats, "MACHINE_WORDS", 400, raising=False)
+    located = repeats._located(8) if repeats._located.__code__.co_argcount == 1 else repeats._located
+    got = located((0,), pd.DataFrame({"k": range(len(texts)), "text": texts}), pd.DataFrame({"words": [p.encode() for p in passages]}))
+    assert got["n_removed"].tolist() == [len(p.split()) for p in passages[:30]] + [0, 0]
+    assert max(sizes) <= 10 and sum(sizes) == 30
+
+
 def test_repeats_keep_large_ids(spark, rows):
     big = 2 ** 53 + 1
     got = repeats.remove_repeats(rows([(big, "a b"), (None, "a b"), (big + 1, None)], "doc_id long, text string"))
